@@ -220,7 +220,7 @@ class Inputs:
 
     # Order and event lines as NDJSON text
 
-    EVENT_PAYLOAD = "event_id string, user_id string, event_type string, ts string, props string"
+    EVENT_PAYLOAD = ("event_id", "user_id", "event_type", "ts", "props")
 
     def event_lines(self) -> DataFrame:
         """One JSON line per event. Some lines are cut, not JSON, a JSON array, or blank."""

@@ -24,7 +24,7 @@ def null_counts(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
 def count_violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Any number of row-level checks over one table in one pass: (check_name, violations)."""
     counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
-    return counts.unpivot([], list(checks), "check_name", "violations")
+    return counts.unpivot([], [F.col(f"`{name}`") for name in checks], "check_name", "violations")
 
 
 def not_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

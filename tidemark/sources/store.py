@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,12 +47,10 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The stored rows, or none where nothing was written yet."""
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    try:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(declared).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], declared)
-        raise
+    return spark.createDataFrame([], declared)
 
 
 @dataclass(frozen=True)
