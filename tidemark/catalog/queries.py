@@ -702,7 +702,7 @@ def cohort_retention(w):
 
 @query
 def revenue_rank(w):
-    totals = marts.product_totals(w.table("fct_order_items"), w.table("fct_orders"))
+    totals = w.stage(marts.product_totals(w.table("fct_order_items"), w.table("fct_orders")), "product_sold")
     return ranking.with_rank(totals, "revenue_cents", "revenue_rank").select("product_sk", "revenue_cents", "revenue_rank")
 
 
@@ -769,11 +769,13 @@ def raw_counts(w):
 def lineage_listing(w):
     """One lineage row per stored order batch, as a listing."""
     store = RawStore(w.spark, _fresh(w, "listing"))
-    batches = w.inputs.raw("orders").groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n")).orderBy("_batch_id")
-    for batch, n in batches.collect():  # one row per batch
-        store.record_lineage(
-            SOURCES["orders"], batch, NOW, {"rows_extracted": n, "rows_loaded": n, "rows_quarantined": 0}, "incremental"
-        )
+    batches = w.inputs.raw("orders").groupBy(F.col("_batch_id").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("rows_extracted")
+    )
+    store.record_lineage_of(SOURCES["orders"], batches.withColumns({
+        "rows_loaded": F.col("rows_extracted"), "rows_quarantined": F.lit(0),
+        "ingested_at": F.lit(NOW), "run_mode": F.lit("incremental"),
+    }))
     return store.lineage().select("batch_id", "source_name", "rows_extracted", "rows_loaded", "run_mode").orderBy("batch_id")
 
 
@@ -819,7 +821,7 @@ def bq05_cohorts(w):
 
 @query
 def bq06_rank_movement(w):
-    return reports.rank_movement(w.table("fct_order_items"), w.table("fct_orders"), w.table("dim_product"))
+    return reports.rank_movement(w.table("fct_order_items"), w.table("fct_orders"), w.table("dim_product"), w.stage)
 
 
 @query
@@ -1018,7 +1020,7 @@ def stream_ndjson_available_now(w):
 
 def _event_stream(w, folder):
     """Every event twice, in files of their own."""
-    events = w.inputs.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = w.inputs.table("events").withColumn("event_time", F.col("ts").cast("timestamp"))
     for copy in (1, 2):
         events.withColumn("copy", F.lit(copy)).write.mode("append").parquet(folder)
     return w.spark.readStream.schema(w.spark.read.parquet(folder).schema).parquet(folder)
@@ -1029,17 +1031,14 @@ def stream_dedup(w):
     base = _fresh(w, "stream-dedup")
     stream = _event_stream(w, f"{base}/in")
     by_file = F.pmod(F.xxhash64("_metadata.file_path", "_metadata.file_block_start"), F.lit(64))
-    unique = jobs.without_replays(stream, ["event_id"], "ts", spread=by_file).drop("copy")
+    unique = jobs.without_replays(stream, ["event_id"], "event_time", spread=by_file).drop("copy")
     jobs.append_to(unique, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return w.spark.read.parquet(f"{base}/out").select(
-        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts")
-    )
+    return w.spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "ts")
 
 
 @query
 def events_daily_window(w):
-    events = w.inputs.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return jobs.daily_counts(events, "ts", "value", "event_type")
+    return jobs.daily_counts(w.inputs.table("events"), "ts", "value", "event_type")
 
 
 @query

@@ -4,6 +4,8 @@ queries read are written once per application, to the shared folder, and read ba
 from __future__ import annotations
 
 import hashlib
+import itertools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +13,26 @@ from tidemark.catalog.inputs import FIRST_SNAPSHOT, SECOND_SNAPSHOT, Inputs
 from tidemark.plans import core, marts, staging
 from tidemark.schemas import CONTRACTED_TABLES, contract
 from tidemark.operators.quality import enforce_contract
-from tidemark.session import shared_dir
+from tidemark.session import fit_to_input, shared_dir
+
+LAYERS = (
+    ("dim_region", "dim_product", "dim_date", "snap_customer"),
+    ("dim_customer",),
+    ("fct_orders",),
+    ("fct_order_items", "fct_payments"),
+    ("fct_returns",),
+    ("mart_sales", "mart_customer_retention", "mart_product_performance", "mart_returns", "mart_inventory"),
+)
 
 _written: set[str] = set()
+_stages = itertools.count()
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.inputs = Inputs(spark, sf_dir)
+        fit_to_input(spark, self.inputs.dir)
         digest = hashlib.md5(self.inputs.dir.encode()).hexdigest()[:12]
         self.root = f"{shared_dir(spark)}/warehouse-{digest}"
 
@@ -40,6 +53,19 @@ class Warehouse:
             _written.add(path)
         return self.spark.read.parquet(path)
 
+    def build(self) -> None:
+        """Write all tables. Those of one layer do not depend on each other, so their jobs run side by
+        side and fill the gaps that small stages leave."""
+        for layer in LAYERS:
+            with ThreadPoolExecutor(len(layer)) as pool:
+                list(pool.map(self.table, layer))
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate to a folder of its own and read it back."""
+        path = f"{self.root}/staged/{name}-{next(_stages)}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     # History and dimensions
 
     def _snap_customer(self) -> DataFrame:
@@ -92,7 +118,7 @@ class Warehouse:
     def _mart_product_performance(self) -> DataFrame:
         t = self.table
         return marts.mart_product_performance(
-            t("dim_product"), t("fct_order_items"), t("fct_orders"), t("fct_returns")
+            t("dim_product"), t("fct_order_items"), t("fct_orders"), t("fct_returns"), self.stage
         )
 
     def _mart_returns(self) -> DataFrame:

@@ -25,9 +25,9 @@ def value_band(value: Column) -> Column:
 
 
 def running_counts(values: DataFrame, value: str, descending: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
-    """(by, value, rows, before): for each distinct non-NULL value, the number of rows that come before
-    it, over the whole table or within each ``by`` group. A group may hold any share of the rows: its
-    bands are ordered in parallel too."""
+    """(by, value, rows, before, total): for each distinct non-NULL value, the number of rows that come
+    before it and the number of all rows, over the whole table or within each ``by`` group. A group may
+    hold any share of the rows: its bands are ordered in parallel too."""
     def way(column):
         return F.col(column).desc() if descending else F.col(column).asc()
 
@@ -35,6 +35,8 @@ def running_counts(values: DataFrame, value: str, descending: bool = False, by:
         values.where(F.col(value).isNotNull())
         .groupBy(*by, value).agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("_band", value_band(F.col(value)))
+        # The filter the join below would infer; stated here, both its sides share one exchange.
+        .where(F.col("_band").isNotNull())
     )
     preceding = (Window.unboundedPreceding, -1)
     earlier_in_band = Window.partitionBy(*by, "_band").orderBy(way(value)).rowsBetween(*preceding)
@@ -42,16 +44,22 @@ def running_counts(values: DataFrame, value: str, descending: bool = False, by:
     earlier_bands = Window.partitionBy(*by).orderBy(way("_band")).rowsBetween(*preceding)
     bands = (
         counted.groupBy(*by, "_band").agg(F.sum("rows").alias("_rows"))
-        .withColumn("_before_band", F.coalesce(F.sum("_rows").over(earlier_bands), F.lit(0)))
+        .withColumns({
+            "_before_band": F.coalesce(F.sum("_rows").over(earlier_bands), F.lit(0)),
+            "total": F.sum("_rows").over(Window.partitionBy(*by)),
+        })
         .drop("_rows")
     )
     before = F.col("_before_band") + F.coalesce(F.sum("rows").over(earlier_in_band), F.lit(0))
-    return counted.join(bands, [*by, "_band"]).withColumn("before", before).select(*by, value, "rows", "before")
+    return counted.join(bands, [*by, "_band"]).withColumn("before", before).select(
+        *by, value, "rows", "before", "total"
+    )
 
 
 def with_rank(df: DataFrame, value: str, rank: str, descending: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
     """SQL ``rank()`` by a bigint column, over the whole table or within ``by`` (whose columns must not
-    be NULL); NULL values share the last rank."""
+    be NULL); NULL values share the last rank. ``df`` is used twice, so hand in a written table where
+    it is costly."""
     last = F.lit(-(2**63) + 1 if descending else 2**63 - 1)
     keyed = df.withColumn("_value", F.coalesce(F.col(value), last))
     ranked = running_counts(keyed, "_value", descending, by).select(
@@ -62,8 +70,7 @@ def with_rank(df: DataFrame, value: str, rank: str, descending: bool = True, by:
 
 def exact_median(df: DataFrame, value: str, alias: str = "median") -> DataFrame:
     """One row: the exact median of a bigint column (mean of the two middle rows when even)."""
-    counts = running_counts(df, value)
-    total = df.where(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts, total = running_counts(df, value), F.col("total")
     # 0-based positions of the two middle rows; they coincide for an odd number of rows.
     low, high = F.floor((total - 1) / 2), F.floor(total / 2)
     first, last = F.col("before"), F.col("before") + F.col("rows") - 1

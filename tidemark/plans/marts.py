@@ -6,6 +6,8 @@ dimension attributes are joined after the aggregation that shrinks the fact, not
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ from tidemark.schemas import REVENUE_STATUSES, contract
 
 VELOCITY_DAYS = 30
 
+# Writes an intermediate under a name and returns it as read back, ending its lineage.
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def unstaged(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 def revenue_orders(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.where(F.col("status").isin(*REVENUE_STATUSES))
@@ -201,9 +210,11 @@ def returned_by_product(fct_returns: DataFrame, fct_order_items: DataFrame) -> D
 
 
 def mart_product_performance(
-    dim_product: DataFrame, fct_order_items: DataFrame, fct_orders: DataFrame, fct_returns: DataFrame
+    dim_product: DataFrame, fct_order_items: DataFrame, fct_orders: DataFrame, fct_returns: DataFrame,
+    stage: Stage = unstaged,
 ) -> DataFrame:
-    """One row per product sold. The returns side is not filtered by order status."""
+    """One row per product sold. The returns side is not filtered by order status. ``stage`` may write
+    the totals per product, which the ranking uses twice."""
     totals = (
         product_totals(fct_order_items, fct_orders)
         .join(returned_by_product(fct_returns, fct_order_items), "product_sk", "left")
@@ -211,7 +222,7 @@ def mart_product_performance(
         .join(dim_product.select("product_sk", "product_id", "name", "category", "brand"), "product_sk")
     )
     rate = F.when(F.col("units_sold") > 0, F.col("returned_units").cast("double") / F.col("units_sold")).otherwise(0.0)
-    return with_rank(totals, "revenue_cents", "revenue_rank").select(
+    return with_rank(stage(totals, "product_totals"), "revenue_cents", "revenue_rank").select(
         "product_sk", "product_id", "name", "category", "brand", "units_sold",
         cents_to_dollars("revenue_cents").alias("product_revenue"),
         "order_count",

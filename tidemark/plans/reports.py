@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import cents_to_dollars, guarded_ratio, month_start
 from tidemark.operators.ranking import with_rank
-from tidemark.plans.marts import customer_months, returned_items, revenue_orders
+from tidemark.plans.marts import Stage, customer_months, returned_items, revenue_orders, unstaged
 
 # Reports group exact cents: a dollar column of the sales mart, times 100, is a whole number of cents.
 
@@ -129,7 +129,9 @@ def cohorts_by_person(fct_orders: DataFrame, dim_customer: DataFrame) -> DataFra
     )
 
 
-def rank_movement(fct_order_items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame) -> DataFrame:
+def rank_movement(
+    fct_order_items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, stage: Stage = unstaged
+) -> DataFrame:
     """Revenue rank of each product within each month, and its change against the product's previous
     month with sales."""
     orders = revenue_orders(fct_orders).select("order_sk", month_start("order_ts").alias("order_month"))
@@ -139,7 +141,7 @@ def rank_movement(fct_order_items: DataFrame, fct_orders: DataFrame, dim_product
     )
     history = Window.partitionBy("product_sk").orderBy("order_month")
     return (
-        with_rank(monthly, "cents", "revenue_rank", by=("order_month",))
+        with_rank(stage(monthly, "product_months"), "cents", "revenue_rank", by=("order_month",))
         .withColumn("previous_rank", F.lag("revenue_rank").over(history))
         .join(dim_product.select("product_sk", "product_id"), "product_sk")
         .select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _scratch: dict[str, str] = {}
 
@@ -33,6 +33,47 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Bytes a reduce task should get, how far parquet unfolds, and the most partitions one shuffle may open.
+_TASK_BYTES = 128 * 1024 * 1024
+_EXPANSION = 3
+_MOST_PARTITIONS = 40_000
+
+
+def fit_to_input(spark: SparkSession, folder: str) -> None:
+    """Size shuffles for the data in ``folder``, on a session handed in from outside.
+
+    Shuffles open as many partitions as the input calls for, never fewer than the session's setting, and
+    adaptive execution merges small ones back. A skewed join is split even where the plan above it then
+    needs one more exchange. Settings the caller made are left alone.
+    """
+    conf = spark.conf
+    if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
+        wanted = min(-(-stored_bytes(spark, folder) * _EXPANSION // _TASK_BYTES), _MOST_PARTITIONS)
+        if wanted > int(conf.get("spark.sql.shuffle.partitions")):
+            conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    forced = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    if conf.get(forced) != "true":
+        conf.set(forced, "true")
+
+
+# Inputs up to this size may be redistributed before use.
+_SMALL_INPUT = 1 << 30
+_LEAST_TASK_BYTES = 1 << 19
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
+
+
+def spread_small(spark: SparkSession, scan: DataFrame, path: str) -> DataFrame:
+    """A small input in one row group is one task, whatever the number of cores. Up to 1 GB it is
+    dealt out to them; larger inputs bring enough splits and are returned as they are."""
+    size = stored_bytes(spark, path)
+    parts = min(spark.sparkContext.defaultParallelism, size // _LEAST_TASK_BYTES)
+    return scan.repartition(parts) if size <= _SMALL_INPUT and parts > 1 else scan
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediates. The cluster names it in ``spark.checkpoint.dir``; only where
     that is unset (tests, one machine) a temporary folder of this application is used."""

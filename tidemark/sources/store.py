@@ -50,7 +50,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(declared).parquet(path)
-    return spark.createDataFrame([], declared)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields])
 
 
 @dataclass(frozen=True)
@@ -145,16 +145,21 @@ class RawStore:
     # Lineage: one row per (batch, source); a rerun replaces its own
 
     def record_lineage(self, spec: SourceSpec, batch_id: str, at: str, counts: dict[str, int], mode: str) -> None:
-        row = self.spark.range(1).select(
-            F.lit(spec.source_ref).alias("source_ref"),
-            F.lit(f"raw.{spec.name}").alias("target_raw_table"),
-            F.lit(at).cast("timestamp_ntz").alias("ingested_at"),
-            *[F.lit(counts[c]).cast("bigint").alias(c) for c in ("rows_extracted", "rows_loaded", "rows_quarantined")],
-            F.lit(mode).alias("run_mode"),
-            F.lit(spec.name).alias("source_name"),
-            F.lit(batch_id).alias("batch_id"),
+        values = {**counts, "batch_id": batch_id, "ingested_at": at, "run_mode": mode}
+        row = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
+        self.record_lineage_of(spec, row)
+
+    def record_lineage_of(self, spec: SourceSpec, batches: DataFrame) -> None:
+        """``batches``: one row per batch, with its id, time, counts and mode."""
+        rows = batches.withColumns({
+            "source_ref": F.lit(spec.source_ref), "target_raw_table": F.lit(f"raw.{spec.name}"),
+            "source_name": F.lit(spec.name),
+        })
+        declared = T.StructType.fromDDL(_LINEAGE)
+        write_partitions(
+            rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields]),
+            self._at("lineage"), "source_name", "batch_id",
         )
-        write_partitions(row, self._at("lineage"), "source_name", "batch_id")
 
     def lineage(self) -> DataFrame:
         return read_or_empty(self.spark, self._at("lineage"), _LINEAGE)

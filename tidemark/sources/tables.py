@@ -84,9 +84,9 @@ def merge_partitions(
     in_touched = F.col(partition).isin([t for t in touched if t is not None])
     if None in touched:
         in_touched = in_touched | F.col(partition).isNull()
-    upsert(target.where(in_touched), source, keys).write.mode("overwrite").partitionBy(partition).parquet(
-        f"{staging}/merged"
-    )
+    # Rebalanced so that each partition gets few files of an even size, a large one several.
+    result = upsert(target.where(in_touched), source, keys).hint("rebalance", partition)
+    result.write.mode("overwrite").partitionBy(partition).parquet(f"{staging}/merged")
     merged = spark.read.schema(schema).parquet(f"{staging}/merged")
     write_partitions(merged, path, partition)
     left = {r[0] for r in merged.select(partition).distinct().collect()}

@@ -79,12 +79,12 @@ def without_replays(
 
 
 def daily_counts(events: DataFrame, event_time: str, value: str, by: str, days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Rows and value per day and group; a day closes ``days`` after it. The same plan serves a stream
-    and a batch (where the watermark has no effect). Values are summed in whole cents, so that the order
-    of arrival does not show in the sums."""
+    """Rows and value per day and group; on a stream, a day closes ``days`` after it. Values are summed in
+    whole cents, so that the order of arrival does not show in the sums."""
     day = F.window(event_time, "1 day")
+    timely = events.withWatermark(event_time, f"{days} days") if events.isStreaming else events
     return (
-        events.withWatermark(event_time, f"{days} days").groupBy(day.alias("_day"), by)
+        timely.groupBy(day.alias("_day"), by)
         .agg(F.count(F.lit(1)).alias("events"), F.sum(F.round(F.col(value) * 100).cast("bigint")).alias("value_cents"))
         .select(F.col("_day.start").cast("date").alias("day"), by, "events", "value_cents")
     )
