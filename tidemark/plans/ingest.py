@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ def run_records(
     batch; that one is observed on the way, and where an executor is lost it may count a repeated task
     twice.
     """
+    # A repeat without rows leaves the batch's earlier ones in place; they are not this run's.
+    run_id = uuid.uuid4().hex
     mark = store.mark(spec) if spec.watermark and not full else None
     if "_malformed" not in records.columns:
         records = records.withColumns({"_malformed": F.lit(False), "_line": F.lit(None).cast("string")})
@@ -47,19 +51,20 @@ def run_records(
         F.lit(ingested_at).cast("timestamp_ntz").alias("_ingested_at"),
         F.lit(spec.source_ref).alias("_source_file"),
         F.col(ROW_NUMBER).cast("bigint").alias("_source_row_number"),
-        F.col(FILE).alias(FILE),
+        F.col(FILE).alias("_origin_file"),
         F.when(F.col("_outcome") == MALFORMED, intake.MALFORMED)
-        .when(F.col("_outcome") == GATED, intake.UNKNOWN_CUSTOMER).alias("reason"),
+        .when(F.col("_outcome") == GATED, intake.UNKNOWN_CUSTOMER).alias("_reject_reason"),
         F.when(F.col("_outcome") == MALFORMED, "line is not a JSON object")
         .when(
             F.col("_outcome") == GATED,
             F.concat(F.lit("customer_id "), shown, F.lit(" not present in raw.customers")),
-        ).alias("error_detail"),
+        ).alias("_reject_detail"),
         F.when(F.col("_outcome") == MALFORMED, raw_excerpt("_line"))
         .when(F.col("_outcome") == GATED, raw_excerpt(F.to_json(F.struct(*spec.payload))))
-        .alias("raw_record"),
+        .alias("_reject_record"),
         "_outcome",
         F.lit(batch_id).alias("_batch_id"),
+        F.lit(run_id).alias("_run_id"),
     )
 
     replaced = _rows_to_replace(store, spec, batch_id)
@@ -67,7 +72,7 @@ def run_records(
 
     written = store.landed(spec).where(F.col("_batch_id") == batch_id)
     high = F.max(F.when(F.col("_outcome") != MALFORMED, F.col(spec.watermark))) if spec.watermark else F.lit(None)
-    this_run = written.where(F.col("_ingested_at") == F.lit(ingested_at).cast("timestamp_ntz"))
+    this_run = written.where(F.col("_run_id") == run_id)
     counts = this_run.agg(
         *[F.count_if(F.col("_outcome") == o).alias(o) for o in (KEPT, GATED, MALFORMED)],
         high.cast("string").alias("max_mark"),

@@ -23,7 +23,8 @@ from tidemark.schemas import METADATA, SourceSpec
 KEPT, GATED, MALFORMED = "kept", "gated", "malformed"
 
 _META = "_source_name string, _ingested_at timestamp_ntz, _source_file string, _source_row_number bigint"
-_REJECT = "source_file string, reason string, error_detail string, raw_record string"
+# Names of their own, since a payload may hold a "reason" too.
+_REJECT = "_origin_file string, _reject_reason string, _reject_detail string, _reject_record string, _run_id string"
 _PARTITIONS = "_outcome string, _batch_id string"
 _LINEAGE = (
     "source_ref string, target_raw_table string, ingested_at timestamp_ntz, rows_extracted bigint, "
@@ -98,18 +99,22 @@ class RawStore:
 
     def write_quarantine(self, entries: DataFrame, spec: SourceSpec, batch_id: str, at: str) -> None:
         """Rejects alone. An empty input writes nothing."""
-        rows = entries.withColumnRenamed("source_row_number", "_source_row_number").withColumns({
-            **{c: F.lit(None).cast("string") for c in spec.payload},
-            "_source_name": F.lit(spec.name), "_ingested_at": F.lit(at).cast("timestamp_ntz"),
-            "_source_file": F.lit(spec.source_ref), "_batch_id": F.lit(batch_id),
-            "_outcome": F.when(F.col("reason") == "malformed_json", MALFORMED).otherwise(GATED),
-        })
+        rows = entries.select(
+            *[F.lit(None).cast("string").alias(c) for c in spec.payload],
+            F.lit(spec.name).alias("_source_name"), F.lit(at).cast("timestamp_ntz").alias("_ingested_at"),
+            F.lit(spec.source_ref).alias("_source_file"), F.col("source_row_number").alias("_source_row_number"),
+            F.col("source_file").alias("_origin_file"), F.col("reason").alias("_reject_reason"),
+            F.col("error_detail").alias("_reject_detail"), F.col("raw_record").alias("_reject_record"),
+            F.when(F.col("reason") == "malformed_json", MALFORMED).otherwise(GATED).alias("_outcome"),
+            F.lit(batch_id).alias("_batch_id"),
+        )
         self.write_batch(rows, spec)
 
     def quarantine(self, spec: SourceSpec) -> DataFrame:
         return self.landed(spec).where(F.col("_outcome") != KEPT).select(
-            "source_file", F.col("_source_row_number").alias("source_row_number"), "reason", "error_detail",
-            "raw_record", "_source_name", "_batch_id", "_ingested_at",
+            F.col("_origin_file").alias("source_file"), F.col("_source_row_number").alias("source_row_number"),
+            F.col("_reject_reason").alias("reason"), F.col("_reject_detail").alias("error_detail"),
+            F.col("_reject_record").alias("raw_record"), "_source_name", "_batch_id", "_ingested_at",
         )
 
     # Snapshot commits

@@ -47,10 +47,10 @@ def ingest_ndjson(
                 F.current_timestamp().cast("timestamp_ntz").alias("_ingested_at"),
                 F.lit(spec.source_ref).alias("_source_file"),
                 F.lit(None).cast("bigint").alias("_source_row_number"),
-                "source_file",
-                F.when(bad, intake.MALFORMED).alias("reason"),
-                F.when(bad, "line is not a JSON object").alias("error_detail"),
-                F.when(bad, raw_excerpt("_line")).alias("raw_record"),
+                F.col("source_file").alias("_origin_file"),
+                F.when(bad, intake.MALFORMED).alias("_reject_reason"),
+                F.when(bad, "line is not a JSON object").alias("_reject_detail"),
+                F.when(bad, raw_excerpt("_line")).alias("_reject_record"),
                 F.when(bad, MALFORMED).otherwise(KEPT).alias("_outcome"),
                 F.lit(f"stream-{number:010d}").alias("_batch_id"),
             ),
