@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.inputs import Inputs
 from tidemark.catalog.queries import registered
 from tidemark.operators import intake, joins
-from tidemark.plans import core, marts
+from tidemark.plans import checks, core, marts
 from tidemark.session import fit_to_input, spread_small
 from tidemark.sources import relational
 
@@ -74,6 +74,22 @@ def test_hot_customer_is_split_in_the_as_of_join(spark):
     assert plain[0] == 30000
 
 
+@pytest.mark.parametrize("check", ["flag", "missing", "versions"])
+def test_hot_customer_is_split_against_distinct_keys(spark, check):
+    facts, known = hot(spark).withColumn("order_id", F.col("order_item_sk")), versions(spark).unionByName(versions(spark))
+    build = {
+        "flag": lambda: intake.flag_known_keys(facts, "customer_id", known.where("customer_id <> 'C0'"), "customer_id", "known").where("not known"),
+        "missing": lambda: joins.without_match(facts, "customer_id", known.where("customer_id <> 'C0'"), "customer_id"),
+        "versions": lambda: checks.not_one_version(
+            facts.withColumn("customer_sk", F.col("customer_id")), known.withColumn("customer_sk", F.col("customer_id"))
+        ),
+    }[check]
+    with settings(spark, **TIGHT):
+        df = build()
+        assert "skew=true" in executed(df)
+        assert df.count() == (30000 if check == "versions" else facts.where("customer_id = 'C0'").count())
+
+
 def test_hot_order_is_split_before_the_product_totals(spark):
     orders = spark.range(9973).select(F.concat(F.lit("O"), "id").alias("order_sk"), F.lit("shipped").alias("status"))
     items = hot(spark)

@@ -14,7 +14,7 @@ from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators import dedup, intake, joins, merge, quality, ranking, scd2
 from tidemark.plans import checks, core, ingest, marts, observability, reports, staging
 from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceSpec, contract
-from tidemark.session import shared_dir
+from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
 from tidemark.sources.store import RawStore, current_marks
 from tidemark.sources.tables import VersionedTable, merge_partitions
@@ -1032,7 +1032,8 @@ def stream_dedup(w):
     stream = _event_stream(w, f"{base}/in")
     by_file = F.pmod(F.xxhash64("_metadata.file_path", "_metadata.file_block_start"), F.lit(64))
     unique = jobs.without_replays(stream, ["event_id"], "event_time", spread=by_file).drop("copy")
-    jobs.append_to(unique, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    partitions = max(partitions_for(stored_bytes(w.spark, f"{base}/in")), w.spark.sparkContext.defaultParallelism)
+    jobs.append_to(unique, f"{base}/out", f"{base}/checkpoint", partitions).awaitTermination()
     return w.spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "ts")
 
 

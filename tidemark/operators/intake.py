@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import raw_excerpt
+from tidemark.operators.joins import distinct_keys
 from tidemark.schemas import SourceSpec
 
 MALFORMED = "malformed_json"
@@ -90,7 +91,7 @@ def flag_known_keys(df: DataFrame, key: str, known: DataFrame, known_key: str, f
     Rows without a key probe with a value of their own that matches nothing, so that they do not all
     meet in one task.
     """
-    keys = known.select(F.col(known_key).alias("_known_key")).where("_known_key is not null").distinct()
+    keys = _known_keys(known.where(F.col(known_key).isNotNull()), known_key)
     no_key = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
     return (
         df.withColumn("_probe", F.coalesce(F.col(key).cast("string"), no_key))
@@ -100,13 +101,17 @@ def flag_known_keys(df: DataFrame, key: str, known: DataFrame, known_key: str, f
     )
 
 
+def _known_keys(known: DataFrame, known_key: str) -> DataFrame:
+    return distinct_keys(known.select(F.col(known_key).cast("string").alias("_known_key")), ["_known_key"])
+
+
 def fk_kept(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
-    keys = known.select(F.col(known_key).alias("_known_key")).distinct()
+    keys = _known_keys(known, known_key)
     return df.join(keys, F.col(key) == F.col("_known_key"), "left_semi")
 
 
 def fk_rejected(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
-    keys = known.select(F.col(known_key).alias("_known_key")).distinct()
+    keys = _known_keys(known, known_key)
     return df.join(keys, F.col(key) == F.col("_known_key"), "left_anti")
 
 

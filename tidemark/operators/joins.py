@@ -1,10 +1,8 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import _all
-
 
 def as_of(
     facts: DataFrame, versions: DataFrame, key: str, at: str,
@@ -25,17 +23,21 @@ def as_of(
     return f.join(v, matched, "inner").select("f.*", *extra)
 
 
+def distinct_keys(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
+    """One row per key, to be joined on these keys with a side where one of them may be hot.
+
+    Grouping by the keys alone would leave the rows already placed by key, and the join would then run on
+    the aggregate without an exchange of its own; adaptive execution splits a hot key only between two
+    plain exchanges. The hash as a further grouping column changes no group, but asks for that exchange,
+    of one row per key.
+    """
+    counted = df.groupBy(*keys, F.xxhash64(*keys).alias("_key_hash"))
+    unique = counted.agg(*[e.alias(n) for n, e in aggregates.items()]) if aggregates else counted.agg(F.lit(1).alias("_one"))
+    return unique.select(*keys, *aggregates)
+
+
 def without_match(child: DataFrame, fk: str, parent: DataFrame, pk: str, null_fk: bool = True) -> DataFrame:
     """Child rows whose key has no parent. ``null_fk`` decides whether a NULL key counts."""
     rows = child if null_fk else child.where(F.col(fk).isNotNull())
-    keys = parent.select(F.col(pk).alias("_parent_key")).distinct()
+    keys = distinct_keys(parent.select(F.col(pk).alias("_parent_key")), ["_parent_key"])
     return rows.join(keys, F.col(fk) == F.col("_parent_key"), "left_anti")
-
-
-def left_with_defaults(left: DataFrame, right: DataFrame, keys: list[str], defaults: dict) -> DataFrame:
-    """Left join to a side that is already one row per key, filling what is missing."""
-    return left.join(right, keys, "left").fillna(defaults)
-
-
-def on_equal(left: str, right: str, keys: list[str]):
-    return _all([F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])

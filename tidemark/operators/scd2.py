@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import distinct_keys
+
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 VERSION_ID, VERSION_TIME = "dbt_scd_id", "dbt_updated_at"
 
@@ -67,7 +69,7 @@ def structure_violations(history: DataFrame, key: str) -> DataFrame:
 def duplicate_versions(history: DataFrame, key: str) -> DataFrame:
     """Rows that share (key, start) with another row. Groups are counted with map-side combine first;
     only the rare repeated ones are joined back."""
-    repeated = history.groupBy(key, VALID_FROM).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+    repeated = distinct_keys(history, [key, VALID_FROM], cnt=F.count(F.lit(1))).where("cnt > 1")
     h, r = history.alias("h"), repeated.alias("r")
     same = F.col(f"h.{key}").eqNullSafe(F.col(f"r.{key}")) & F.col(f"h.{VALID_FROM}").eqNullSafe(
         F.col(f"r.{VALID_FROM}")

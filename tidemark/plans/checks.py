@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality, scd2
-from tidemark.operators.joins import without_match
+from tidemark.operators.joins import distinct_keys, without_match
 from tidemark.operators.ranking import exact_median
 from tidemark.schemas import (
     CURRENCIES, ORDER_STATUSES, PAYMENT_METHODS, PAYMENT_STATUSES, PRICE_OUTLIER_CENTS, PRICE_OUTLIER_MEDIANS,
@@ -77,7 +77,7 @@ def future_orders(fct_orders: DataFrame, as_of: str) -> DataFrame:
 def not_one_version(fct_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Orders that do not join to exactly one customer version. Versions are counted per key first, so
     the join never multiplies rows; unlike an inner join alone it also reports zero matches."""
-    versions = dim_customer.groupBy("customer_sk").agg(F.count(F.lit(1)).alias("dim_matches"))
+    versions = distinct_keys(dim_customer, ["customer_sk"], dim_matches=F.count(F.lit(1)))
     return (
         fct_orders.select("order_id", "customer_sk").join(versions, "customer_sk", "left")
         .fillna({"dim_matches": 0}).where("dim_matches <> 1").select("order_id", "dim_matches")

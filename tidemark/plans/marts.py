@@ -274,11 +274,13 @@ def mart_inventory(
         fct_order_items.join(recent, "order_sk", "left_semi").groupBy("product_sk")
         .agg((F.sum("quantity") / F.lit(float(VELOCITY_DAYS))).alias("avg_daily_units_sold"))
     )
-    products = dim_product.select("product_sk", "product_id", "name", "category", "brand")
+    products = (
+        dim_product.select("product_sk", "product_id", "name", "category", "brand")
+        .join(velocity, "product_sk", "left").fillna({"avg_daily_units_sold": 0.0})
+    )
     stock, reorder = F.col("stock_on_hand"), F.col("reorder_point")
     return (
         stg_inventory_levels.join(products, "product_id")
-        .join(velocity, "product_sk", "left").fillna({"avg_daily_units_sold": 0.0})
         .withColumns({
             "snapshot_date": F.col("updated_at"),
             "days_of_cover": whole_ratio(stock, "avg_daily_units_sold"),

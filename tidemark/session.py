@@ -39,6 +39,11 @@ _EXPANSION = 3
 _MOST_PARTITIONS = 40_000
 
 
+def partitions_for(stored: int) -> int:
+    """Shuffle partitions for so many bytes of parquet."""
+    return max(1, min(-(-stored * _EXPANSION // _TASK_BYTES), _MOST_PARTITIONS))
+
+
 def fit_to_input(spark: SparkSession, folder: str) -> None:
     """Size shuffles for the data in ``folder``, on a session handed in from outside.
 
@@ -48,7 +53,7 @@ def fit_to_input(spark: SparkSession, folder: str) -> None:
     """
     conf = spark.conf
     if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
-        wanted = min(-(-stored_bytes(spark, folder) * _EXPANSION // _TASK_BYTES), _MOST_PARTITIONS)
+        wanted = partitions_for(stored_bytes(spark, folder))
         if wanted > int(conf.get("spark.sql.shuffle.partitions")):
             conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     forced = "spark.sql.adaptive.forceOptimizeSkewedJoin"

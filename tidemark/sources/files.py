@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import SourceSpec
+from tidemark.session import shared_dir
+
+# About 200 bytes each: a file path and two numbers.
+BROADCAST_SPLITS = 1_000_000
 
 ROW_NUMBER = "source_row_number"
 FILE = "source_file"
@@ -17,8 +23,10 @@ def number_rows(scan: DataFrame, first: int = 1) -> DataFrame:
 
     Within one split, ``monotonically_increasing_id`` grows in reading order, so a row's place in its
     split is the distance to the split's first id. Adding the row counts of the file's earlier splits
-    gives the place in the file. Only the per-split table (one small row per split) is windowed; the
-    rows themselves are joined to it by (file, split start), which no single group dominates.
+    gives the place in the file. Only the per-split table is windowed: one small row per split, written
+    to shared storage in a first pass over the files. It is broadcast where its row count allows, so that
+    the second pass does not shuffle the lines; beyond that they are joined by (file, split start). Both
+    passes run over one listing of the files, which Spark packs into the same tasks each time.
     """
     located = scan.select(
         "*",
@@ -26,12 +34,18 @@ def number_rows(scan: DataFrame, first: int = 1) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_split"),
     ).withColumn("_id", F.monotonically_increasing_id())
     earlier = Window.partitionBy(FILE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
+    per_split = (
         located.groupBy(FILE, "_split")
         .agg(F.min("_id").alias("_first_id"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first_id"))
         .drop("_rows", "_first_id")
     )
+    spark = scan.sparkSession
+    folder = f"{shared_dir(spark)}/splits/{uuid.uuid4().hex}"
+    per_split.write.parquet(folder)
+    splits = spark.read.parquet(folder)
+    if splits.count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
     return (
         located.join(splits, [FILE, "_split"])
         .withColumn(ROW_NUMBER, F.col("_id") + F.col("_offset") + first)

@@ -106,9 +106,17 @@ def upsert_stream(
     )
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    _state_on_disk(stream.sparkSession)
-    return (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def append_to(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> StreamingQuery:
+    """``state_partitions`` is fixed by a checkpoint's first run; the session's shuffle setting without it."""
+    spark = stream.sparkSession
+    _state_on_disk(spark)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(state_partitions or before))
+    try:
+        return (
+            stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+    finally:
+        spark.conf.set(setting, before)
