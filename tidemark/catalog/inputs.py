@@ -240,7 +240,7 @@ class Inputs:
             F.when(key % 500 == 3, F.substring(line, 1, 20)).when(key % 500 == 4, "not-json")
             .when(key % 500 == 5, "[1]").when(key % 500 == 6, "  ")
         )
-        return self.table("events").select(
+        return self._spread("events").select(
             F.coalesce(broken, line).alias("value"),
             F.concat(F.lit("dt="), F.col("ts").cast("date").cast("string"), F.lit(".ndjson")).alias("source_file"),
             key.alias("source_row_number"),

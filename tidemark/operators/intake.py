@@ -12,6 +12,9 @@ from tidemark.functions import raw_excerpt
 from tidemark.operators.joins import distinct_keys
 from tidemark.schemas import SourceSpec
 
+# What a line is stripped of before it is parsed.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
 MALFORMED = "malformed_json"
 UNKNOWN_CUSTOMER = "invalid_fk_customer"
 
@@ -55,21 +58,21 @@ def parse_json_lines(lines: DataFrame, payload: T.StructType, line_column: str =
     """
     corrupt = "_corrupt_line"
     schema = T.StructType([*payload.fields, T.StructField(corrupt, T.StringType())])
-    stripped = F.trim(F.regexp_replace(F.col(line_column), r"^\s+|\s+$", ""))
     kept = [c for c in lines.columns if c != line_column]
-    parsed = (
-        lines.withColumn("_line", stripped)
+    parsed = F.from_json("_line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    fields = [F.col(f"`{f.name}`") for f in payload.fields]
+    return (
+        lines.select(*kept, F.trim(F.col(line_column), F.lit(WHITESPACE)).alias("_line"))
         .where(F.col("_line") != "")
-        .withColumn(
-            "_json",
-            F.from_json("_line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}),
+        # Spark would copy a parsing expression into every filter above it. It does not move filters
+        # below a generator, so each line is parsed once.
+        .select(*kept, "_line", F.inline(F.array(parsed)))
+        .withColumn("_malformed", F.col(corrupt).isNotNull() | ~F.col("_line").startswith("{"))
+        .select(
+            *kept, "_line", "_malformed",
+            *[F.when(~F.col("_malformed"), field).alias(f.name) for f, field in zip(payload.fields, fields)],
         )
     )
-    bad = F.col(f"_json.{corrupt}").isNotNull() | ~F.col("_line").startswith("{")
-    fields = [
-        F.when(~F.col("_malformed"), F.col(f"_json.{f.name}")).alias(f.name) for f in payload.fields
-    ]
-    return parsed.withColumn("_malformed", bad).select(*kept, "_line", "_malformed", *fields)
 
 
 def above_mark(df: DataFrame, field: str, mark: str | None) -> DataFrame:
