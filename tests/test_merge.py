@@ -48,6 +48,16 @@ def test_filter_before_dedup_equals_filter_after(spark, rows):
     assert 0 < before.count() < 60 and rows(before) == rows(after)
 
 
+def test_text_cut_reaches_the_scan(spark, rows, tmp_path):
+    times = [(str(i), f"2026-01-{i:02d}T00:00:00Z") for i in range(1, 29)]
+    spark.createDataFrame(times, "k string, updated_at string").write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    cut = merge.lookback_cut(raw.select(F.col("updated_at").cast("timestamp_ntz").alias("updated_at")))
+    as_text = merge.increment_before_dedup(raw, "updated_at", cut, "%Y-%m-%dT%H:%M:%SZ")
+    assert "GreaterThan(updated_at,2026-01-21T00:00:00Z)" in as_text._jdf.queryExecution().toString()
+    assert rows(as_text) == rows(merge.increment_before_dedup(raw, "updated_at", cut)) and as_text.count() == 7
+
+
 def test_empty_target_has_no_cut(spark):
     empty = spark.sql("select timestamp_ntz'2026-01-01' updated_at").where("false")
     cut = merge.lookback_cut(empty)

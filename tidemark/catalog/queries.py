@@ -613,7 +613,7 @@ def incremental_lookback(w):
     """What an increment over a target that ends at a cut takes in: filtered before the dedup."""
     target = w.table("fct_orders").where(F.col("updated_at") <= F.lit(LATE_CUT).cast("timestamp_ntz"))
     cut = merge.lookback_cut(target)
-    increment = merge.increment_before_dedup(w.inputs.raw("orders"), "updated_at", cut)
+    increment = merge.increment_before_dedup(w.inputs.raw("orders"), "updated_at", cut, "%Y-%m-%d %H:%M:%S")
     return staging.stg_orders(increment).select("order_id", "status", "total_amount_cents", "updated_at")
 
 

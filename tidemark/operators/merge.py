@@ -22,19 +22,23 @@ def lookback_cut(target: DataFrame, field: str = "updated_at", days: int = LOOKB
     return target.agg(cut.alias("cut")).first()["cut"]
 
 
-def since_cut(field: str, cut, as_text: bool = False) -> Column:
-    """Strictly newer than the cut; everything when there is none."""
+def since_cut(field: str, cut, text_form: str | None = None) -> Column:
+    """Strictly newer than the cut; everything when there is none.
+
+    With ``text_form`` (say ``%Y-%m-%dT%H:%M:%SZ``) the field is text in that one form throughout, and is
+    compared as text, which a scan can use to skip row groups. Otherwise it is compared as a time.
+    """
     if cut is None:
         return F.lit(True)
-    return F.col(field) > (F.lit(str(cut)) if as_text else F.lit(str(cut)).cast("timestamp_ntz"))
+    if text_form:
+        return F.col(field) > F.lit(cut.strftime(text_form))
+    return F.col(field).cast("timestamp_ntz") > F.lit(str(cut)).cast("timestamp_ntz")
 
 
-def increment_before_dedup(raw: DataFrame, order_by: str, cut) -> DataFrame:
+def increment_before_dedup(raw: DataFrame, order_by: str, cut, text_form: str | None = None) -> DataFrame:
     """Filter a raw table to the increment *before* the latest-version dedup.
 
     Same rows as filtering afterwards, because a key passes only if its newest row passes, and then
     that row is in the filtered set. Holds only where dedup and filter use the same column.
     """
-    if cut is None:
-        return raw
-    return raw.where(F.col(order_by).cast("timestamp_ntz") > F.lit(str(cut)).cast("timestamp_ntz"))
+    return raw.where(since_cut(order_by, cut, text_form))

@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch: dict[str, str] = {}
+_input_bytes: dict[str, int] = {}
 
 
 def build_session(
@@ -53,7 +54,7 @@ def fit_to_input(spark: SparkSession, folder: str) -> None:
     """
     conf = spark.conf
     if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
-        wanted = partitions_for(stored_bytes(spark, folder))
+        wanted = partitions_for(input_bytes(spark, folder))
         if wanted > int(conf.get("spark.sql.shuffle.partitions")):
             conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     forced = "spark.sql.adaptive.forceOptimizeSkewedJoin"
@@ -71,10 +72,17 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """``stored_bytes`` of an input, listed once: inputs do not change under an application."""
+    if path not in _input_bytes:
+        _input_bytes[path] = stored_bytes(spark, path)
+    return _input_bytes[path]
+
+
 def spread_small(spark: SparkSession, scan: DataFrame, path: str) -> DataFrame:
     """A small input in one row group is one task, whatever the number of cores. Up to 1 GB it is
     dealt out to them; larger inputs bring enough splits and are returned as they are."""
-    size = stored_bytes(spark, path)
+    size = input_bytes(spark, path)
     parts = min(spark.sparkContext.defaultParallelism, size // _LEAST_TASK_BYTES)
     return scan.repartition(parts) if size <= _SMALL_INPUT and parts > 1 else scan
 
