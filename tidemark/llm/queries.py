@@ -7,17 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, url_filter
+from tidemark.llm import exact_dedup, packing, sharding, simhash, url_filter
+from tidemark.llm.expected import STATEMENTS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(spark, _table(spark, sf_dir, "documents")).drop("fp")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), keep=False)
 
@@ -27,8 +36,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_url_filter, op9_sharding, op10_packing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_url_filter, op8_simhash, op9_sharding, op10_packing)}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return dict(STATEMENTS)
