@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, sharding, simhash, url_filter
+from tidemark.llm import encoding, exact_dedup, packing, quality, sharding, simhash, url_filter
+from tidemark.llm.common import id_fold
 from tidemark.llm.expected import STATEMENTS
 
 
@@ -15,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = quality.score(spark, docs, labels, teaches=id_fold(F.col("doc_id"), 4) != 2)
+    return scored.select("doc_id", (id_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, _table(spark, sf_dir, "documents"))
 
@@ -23,6 +30,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.digests(encoding.encode(_table(spark, sf_dir, "documents")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(spark, _table(spark, sf_dir, "documents")).drop("fp")
 
@@ -36,7 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_url_filter, op8_simhash, op9_sharding, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op4_url_filter, op6_sentencepiece, op8_simhash, op9_sharding, op10_packing)}
 
 
 def statements() -> dict[str, str]:
