@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encoding, exact_dedup, packing, quality, sharding, simhash, url_filter
+from tidemark.llm import encoding, exact_dedup, language, packing, quality, sharding, simhash, url_filter
 from tidemark.llm.common import id_fold
 from tidemark.llm.expected import STATEMENTS
 
@@ -34,6 +34,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(encoding.encode(_table(spark, sf_dir, "documents")))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = id_fold(F.col("doc_id"), 5)
+    found = language.identify(spark, _table(spark, sf_dir, "documents"), teaches=fold != 0)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(spark, _table(spark, sf_dir, "documents")).drop("fp")
 
@@ -47,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op4_url_filter, op6_sentencepiece, op8_simhash, op9_sharding, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op4_url_filter, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing)}
 
 
 def statements() -> dict[str, str]:
