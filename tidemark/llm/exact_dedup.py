@@ -24,7 +24,9 @@ from tidemark.llm.common import fresh_path, hash_bitmap, in_bitmap, written
 #: Files of the narrow stream in one micro-batch.
 FILES_PER_BATCH = 1000
 _STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # State stores may be many and small: they take the disk they use, not a reserve of several MB each.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
