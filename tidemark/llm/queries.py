@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encoding, exact_dedup, language, packing, quality, sharding, simhash, url_filter
+from tidemark.llm import encoding, exact_dedup, imatch, language, packing, quality, secrets, sharding, simhash, url_filter
 from tidemark.llm.common import id_fold
 from tidemark.llm.expected import STATEMENTS
 
@@ -26,10 +26,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, _table(spark, sf_dir, "documents"))
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_spans(_table(spark, sf_dir, "documents"), narrow=True)
+    kinds = [rule.kind for rule in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(F.array_remove(F.transform("spans", lambda s: s["kind"] == F.lit(kind)), False)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
+    spans = secrets.written_out(F.col("spans"))
+    return found.select("doc_id", *counts, F.sha2(secrets.written_out(base).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(encoding.encode(_table(spark, sf_dir, "documents")))
 
@@ -53,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op4_url_filter, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_imatch, op4_url_filter, op5_secret_scan, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing)}
 
 
 def statements() -> dict[str, str]:
