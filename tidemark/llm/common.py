@@ -54,6 +54,23 @@ def in_bitmap(bitmap: Column, value: Column, slots: int = 1 << 20) -> Column:
     return F.bit_get(word, (slot % _WORD_BITS).cast("int")) == 1
 
 
+def slots_for(rows: int) -> int:
+    """Slots that leave a bitmap for so many keys sparse: 2**20 (128 KB) to 2**25 (4 MB), whatever the number."""
+    return min(max(1 << 20, 1 << (16 * rows).bit_length()), 1 << 25)
+
+
+def marked_rows(docs: DataFrame, key: Column, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows whose ``key`` is surely not in ``decisions`` (key, ...), and the others, left-joined
+    with it. Only the others are shuffled. ``decisions`` is a written table with one row for each key.
+
+    The exchange is a merge join at every size, so that a plan seen on little data is the plan on much."""
+    slots = slots_for(decisions.count())
+    bitmap = hash_bitmap(decisions, "key", slots).scalar()
+    hit = in_bitmap(bitmap, key, slots)
+    maybe = docs.where(hit).withColumn("__key", key)
+    return docs.where(~hit | hit.isNull()), maybe.join(decisions.hint("merge"), F.expr("__key <=> key"), "left")
+
+
 def without(df: DataFrame, *names: str) -> list[Column]:
     """The columns of ``df`` but those whose name, in either case, an operator is about to write."""
     taken = {n.lower() for n in names}

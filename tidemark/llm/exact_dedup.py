@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_path, hash_bitmap, in_bitmap, written
+from tidemark.llm.common import fresh_path, hash_bitmap, in_bitmap, marked_rows, written
 
 #: Files of the narrow stream in one micro-batch.
 FILES_PER_BATCH = 1000
@@ -113,8 +113,14 @@ def dedup(
 
 def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that repeat the text of another one. Of rows that share id and text one stays."""
-    kept = dedup(spark, docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    hashed = docs.select("*", sha256(normalised(F.col("text"))).alias("__sha"))
-    joined = hashed.join(kept, (F.col("doc_id").eqNullSafe(F.col("__id"))) & (hashed["__sha"] == kept["__sha"])).select(*docs.columns, kept["__sha"].alias("__sha"))
-    same = Window.partitionBy("doc_id", "__sha").orderBy(F.lit(0))
-    return joined.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(*docs.columns)
+    key = _row_key(F.col("doc_id"), sha256(normalised(F.col("text"))))
+    rows = dedup(spark, docs).groupBy(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("key")).agg(F.max("kept").alias("__stays"), F.count("*").alias("n"))
+    decisions = written(rows.where("not __stays or n > 1").select("key", "__stays"), "dedup-decisions")
+    others, marked = marked_rows(docs, key, decisions)
+    same = Window.partitionBy("__key").orderBy(F.lit(0))
+    stays = marked.withColumn("__n", F.row_number().over(same)).where("__stays is null or (__stays and __n = 1)")
+    return others.union(stays.select(*docs.columns))
+
+
+def _row_key(doc_id: Column, sha: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), sha)

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hash_bitmap, in_bitmap, written
 
 BAND, SLOTS = (0.005, 0.1), 1 << 19
-#: Sub-lexicon k has the terms whose k-th hash ends in so many zero bits: all of the lexicon, a quarter, an eighth, and
-#: several of the smaller sizes, which survive larger edits.
-SUBSETS = (0, 2, 3, *(4,) * 5, *(bits for bits in (5, 6, 7, 8) for _ in range(8)))
+#: Sub-lexicon k has the terms whose k-th hash ends in so many zero bits: all of the lexicon, an eighth, a sixteenth,
+#: and several of the smaller sizes, which survive larger edits.
+SUBSETS = (0, 3, 4, *(5,) * 5, *(bits for bits in (6, 7, 8, 9) for _ in range(8)))
 
 
 def terms(text: Column) -> Column:

@@ -13,13 +13,12 @@ result. Neither doc_id nor any column but the text enters a score.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
@@ -36,7 +35,6 @@ _CLASSES = {
 _CLASS_OF = np.zeros(256, np.int64)
 for _k, _chars in enumerate(_CLASSES.values(), 1):
     _CLASS_OF[list(_chars)] = _k
-_UPPER_WORD = re.compile(r"[^\W\d_]", re.S)
 STATISTICS = len(_CLASSES) + 15
 
 
@@ -170,14 +168,19 @@ def fit(spark: SparkSession, train: DataFrame, folds: int = FOLDS, ridge: float
     return Scorer(fourier, solve(list(range(folds))), at, value)
 
 
-def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches) -> DataFrame:
-    """(doc_id, score, predicted) for each row of ``docs``. ``labels`` (doc_id, quality) teach where ``teaches``, a
-    condition on doc_id, holds."""
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[Scorer, DataFrame]:
+    """A scorer, and the written statistics (doc_id, x) of ``docs``. ``labels`` (doc_id, quality) teach where
+    ``teaches``, a condition on doc_id, holds."""
     features = written(_features_of(docs), "quality-statistics")
     labelled = labels.where("doc_id is not null and quality is not null").where(teaches)
     train = features.join(labelled.select(F.col("doc_id").cast("bigint"), F.col("quality").cast("double").alias("y")), "doc_id")
     train = written(train.select("x", "y", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold")), "quality-train")
-    scorer = fit(spark, train)
+    return fit(spark, train), features
+
+
+def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches: Column) -> DataFrame:
+    """(doc_id, score, predicted) for each row of ``docs``."""
+    scorer, features = learn(spark, docs, labels, teaches)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,3 +188,15 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches) -> D
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(value), pa.array((value >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return features.mapInArrow(scored, "doc_id bigint, score double, predicted int")
+
+
+def kept_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches: Column) -> DataFrame:
+    """``docs`` without those that the classifier rejects. The texts are scored where they lie; no row is shuffled."""
+    scorer, _ = learn(spark, docs, labels, teaches)
+
+    @F.arrow_udf("boolean")
+    def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(scorer(np.array([statistics(t.as_py()) for t in texts])) >= THRESHOLD if len(texts) else [], pa.bool_())
+
+    return docs.where(good("text"))

@@ -5,7 +5,7 @@ trigrams that every match must contain. The index lists, for each trigram of the
 (in lower case); intersecting the lists gives a rule's candidates, and only they are matched against the expression.
 A rule without a mandatory trigram is matched against every row while the index is built.
 
-The text of candidates is fetched by a join. A bitmap of fixed size over the candidates' keys keeps most other
+The text of candidates is fetched by a join. A bitmap of bounded size over the candidates' keys keeps most other
 texts out of that exchange; it never drops a candidate. Matches and their places come from marking every match in the
 text, splitting at the marks, and adding up the lengths of the parts, in code points.
 
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_bitmap, in_bitmap, without, written
+from tidemark.llm.common import hash_bitmap, in_bitmap, marked_rows, slots_for, without, written
 
 _OPEN, _CLOSE, _NEUTRAL = "\x01", "\x02", "\x03"
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -192,8 +192,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     found = []
     if indexed:
         chosen = written(candidates(index(docs, tuple(indexed)), tuple(indexed)), "secret-candidates")
-        bitmap = hash_bitmap(chosen, "__hash").scalar()
-        texts = docs.select(*_key(text), text.alias("__text")).where(in_bitmap(bitmap, F.col("__hash")))
+        slots = slots_for(chosen.count())
+        bitmap = hash_bitmap(chosen, "__hash", slots).scalar()
+        texts = docs.select(*_key(text), text.alias("__text")).where(in_bitmap(bitmap, F.col("__hash"), slots))
         verify = texts.alias("t").join(chosen.hint("merge").alias("c"), F.expr("t.__hash = c.__hash and t.__id <=> c.__id"))
         each = [F.when(F.array_contains("kinds", rule.kind), _spans(F.col("__text"), rule)).otherwise(F.array().cast(SPANS)) for rule in indexed]
         found.append(verify.select("t.__id", "t.__hash", F.concat(*each).alias("spans")))
@@ -209,13 +210,16 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, narrow: bool = False) -> DataFrame:
     """``docs`` (with ``narrow``: doc_id alone) and spans, an array that is empty where nothing was found."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = written(scan(docs, rules), "secret-spans")
+    found = scan(docs, rules).select(_row_key(F.col("__id"), F.col("__hash")).alias("key"), F.col("spans").alias("__spans"))
+    key = _row_key(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    others, marked = marked_rows(docs, key, written(found, "secret-spans"))
     columns = [F.col("doc_id")] if narrow else without(docs, "spans")
-    names = ["doc_id"] if narrow else [c for c in docs.columns if c.lower() != "spans"]
-    rows = docs.select(*(c.alias(f"c{i}") for i, c in enumerate(columns)), *(k.alias(n) for k, n in zip(_key(text), ("__row_id", "__row_hash"))))
-    joined = rows.join(found, F.expr("__row_hash = __hash and __row_id <=> __id"), "left")
-    return joined.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    none = F.array().cast(SPANS)
+    return others.select(*columns, none.alias("spans")).union(marked.select(*columns, F.coalesce("__spans", none).alias("spans")))
+
+
+def _row_key(doc_id: Column, text_hash: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), text_hash.cast("string"))
 
 
 def written_out(spans: Column) -> Column:
@@ -235,3 +239,13 @@ def redacted(text: Column, spans: Column) -> Column:
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.char_length(text)))
     return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+
+
+def redacted_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with every found secret replaced in the text, and n_chars as it is afterwards."""
+    text = redacted(F.col("text"), F.col("spans"))
+    scanned = with_spans(docs, rules)
+    return scanned.select(*(
+        text.alias(c) if c == "text" else F.when(F.size("spans") > 0, F.char_length(text).cast("bigint")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        for c in docs.columns
+    ))

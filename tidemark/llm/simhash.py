@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import marked_rows, written
 from tidemark.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -155,3 +155,10 @@ def near_groups(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, shin
     return marked.join(of_fp, "fp", "left").select(
         "doc_id", "fp", hex16.alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
+
+
+def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest doc_id; rows without a doc_id stay."""
+    grouped = near_groups(spark, docs).where("doc_id <> component_id").select(F.col("doc_id").alias("key"), F.lit(True).alias("__goes")).distinct()
+    others, marked = marked_rows(docs, F.col("doc_id").cast("bigint"), written(grouped, "simhash-decisions"))
+    return others.union(marked.where("__goes is null").select(*docs.columns))
