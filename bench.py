@@ -31,12 +31,13 @@ def main() -> None:
     from tidemark.catalog.warehouse import Warehouse
     from tidemark.plans import ingest
     from tidemark.schemas import SOURCES
-    from tidemark.session import build_session, shared_dir
+    from tidemark.session import INPUT_PARTITIONS, build_session, shared_dir
     from tidemark.sources.files import scan_ndjson_lines
     from tidemark.sources.store import RawStore
 
     spark = build_session("tidemark-bench", f"local[{CPUS}]", shuffle_partitions=int(CPUS))
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set(INPUT_PARTITIONS, CPUS)  # one row group a table at this size
     warehouse, timings = Warehouse(spark, SF_DIR), {}
     warehouse.inputs.table("region").count()
 

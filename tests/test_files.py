@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from tidemark.operators import intake
 from tidemark.schemas import SOURCES
 from tidemark.sources import files
@@ -48,7 +50,7 @@ def test_ndjson_splits_good_from_malformed(spark, write_lines):
     assert [(r.region_id, r.country, r.source_row_number) for r in valid] == [("RG1", '{"iso":"US"}', 1), ("RG1", '{"iso":"US"}', 6)]
     bad = intake.malformed_entries(parsed, "source_file", "source_row_number").orderBy("source_row_number").collect()
     assert [r.source_row_number for r in bad] == [2, 3, 5, 7, 8, 9, 10]
-    assert {r.reason for r in bad} == {"malformed_json"} and len(bad[4].raw_record) == 2000
+    assert {r.reason for r in bad} == {"malformed_json"} and len(bad[4].raw_record) == 3000
 
 
 def test_json_array_versions(spark, write_lines, tmp_path):
@@ -58,3 +60,49 @@ def test_json_array_versions(spark, write_lines, tmp_path):
     assert [(r.product_id, r.brand, r.price_cents, r.source_row_number) for r in got] == [
         ("P1", None, "5", 1), ("P2", "B", None, 1), ("P3", None, None, 2)
     ]
+
+
+def test_numbers_hold_when_parallelism_changes_after_the_call(spark, write_lines, tmp_path):
+    for f in range(2):
+        write_lines(f"late/{f}.ndjson", *[f"{f}-{i}" for i in range(1, 30_001)])
+    names = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")
+    try:
+        for name, value in zip(names, ("2", "1024", "134217728")):
+            spark.conf.set(name, value)
+        lines = files.scan_ndjson_lines(spark, str(tmp_path / "late"))
+        for name, value in zip(names, ("9", "1024", "20000")):
+            spark.conf.set(name, value)
+        got = lines.collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert len(got) == 60_000 and all(r.value == f"{r.source_file[-8]}-{r.source_row_number}" for r in got)
+
+
+def test_csv_files_of_different_headers(spark, write_lines, tmp_path):
+    write_lines("c/1.csv", "region_id,region_name,country", 'RG1,"two', 'lines",US')
+    write_lines("c/2.csv", "country,region_id,region_name", "FR,RG2,south", "DE,RG3,")
+    write_lines("c/3.csv", "region_name,surplus,region_id", "west,x,RG4")
+    got = files.scan_csv(spark, str(tmp_path / "c"), REGIONS).orderBy("region_id").collect()
+    assert [(r.region_id, r.region_name, r.country, r.source_row_number, r.source_file[-5:]) for r in got] == [
+        ("RG1", "two\nlines", "US", 2, "1.csv"), ("RG2", "south", "FR", 2, "2.csv"), ("RG3", None, "DE", 3, "2.csv"), ("RG4", "west", None, 2, "3.csv")
+    ]
+
+
+def test_lines_that_are_not_exactly_one_object(spark):
+    lines = [
+        '{"region_id":"a"} xyz', '{"region_id":"a"}{"region_id":"b"}', "{'region_id':'a'}", '{"region_id":"a"},{"region_id":"b"}', '{"region_id":NaN}', '{"region_id":"a"}]',
+        '{"region_id":"a"', "{}", '{"region_id":null,"country":[1,{"x":2}]}', '{"region_id":"é \\" ]}"}',
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "n int, value string")
+    rows = {r.n: r for r in intake.parse_json_lines(frame, REGIONS.payload_schema).collect()}
+    assert [rows[i]._malformed for i in range(10)] == [True] * 7 + [False] * 3
+    assert (rows[8].region_id, rows[8].country, rows[9].region_id) == (None, '[1,{"x":2}]', 'é " ]}')
+
+
+@pytest.mark.parametrize("document", ['{"detail":"Service Unavailable"}', '[{"product_id":"P1"}] x', "[1]", '[{"product_id":"P1"}'])
+def test_a_document_that_is_no_array_of_objects_fails(spark, tmp_path, document):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "d.json").write_text(document + "\n")
+    with pytest.raises(Exception, match="is not a JSON array of objects"):
+        files.scan_json_array(spark, str(tmp_path / "bad"), SOURCES["products"]).collect()

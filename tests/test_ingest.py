@@ -1,4 +1,4 @@
-"""Runs of single sources on small files: batches, replays, gates, failures."""
+"""Ingestion runs of sources in each shape: what is loaded, rejected, skipped and replaced, and what a failure leaves."""
 
 import json
 
@@ -9,134 +9,134 @@ from tidemark.operators import intake
 from tidemark.operators.quality import table_checksum
 from tidemark.plans import ingest
 from tidemark.schemas import SOURCES
-from tidemark.sources import files
+from tidemark.sources import files, relational
 from tidemark.sources.store import RawStore
 
-ORDERS, CUSTOMERS = SOURCES["orders"], SOURCES["customers"]
-NOW = "2026-01-10 00:00:00"
+RETURNS, ORDERS, REGIONS, PRODUCTS, PAYMENTS = (SOURCES[n] for n in ("returns", "orders", "regions", "products", "payments"))
+AT = "2019-03-05 06:07:08"
 
 
-def order(key, updated="2026-01-01T12:00:00Z", customer="C1", total="1000"):
-    return json.dumps({
-        "order_id": key, "customer_id": customer, "order_ts": "2026-01-01T12:00:00Z", "status": "delivered",
-        "total_amount_cents": total, "currency": "USD", "updated_at": updated,
-    })
+def returned(key, day, item="I-7", **more):
+    return json.dumps({"return_id": key, "order_item_id": item, "returned_at": f"2019-02-{day:02d}", "reason": "damaged", "quantity": 2, **more})
+
+
+def placed(key, customer, minute):
+    return json.dumps({"order_id": key, "customer_id": customer, "updated_at": f"2019-02-01T00:{minute:02d}:00Z"})
 
 
 @pytest.fixture()
 def store(spark, tmp_path):
-    return RawStore(spark, str(tmp_path / "store"))
+    return RawStore(spark, str(tmp_path / "raw"))
 
 
 @pytest.fixture()
-def load(spark, store, write_lines, tmp_path):
-    """Write lines of one day, then run the source over all days so far."""
-    def run(day, batch, *lines, at=NOW, **kwargs):
+def drop(spark, store, write_lines, tmp_path):
+    """Add a file to a source's folder and run the source over the folder."""
+    def run(spec, name, batch, *lines, at=AT, **kwargs):
         if lines:
-            write_lines(f"orders/dt={day}.ndjson", *lines)
-        scan = files.scan_ndjson_lines(spark, str(tmp_path / "orders"))
-        return ingest.run_ndjson(store, ORDERS, scan, batch, at, **kwargs)
+            write_lines(f"{spec.name}/{name}", *lines)
+        return ingest.run_ndjson(store, spec, files.scan_ndjson_lines(spark, str(tmp_path / spec.name)), batch, at, **kwargs)
 
     return run
 
 
-def customers(spark, *ids):
-    return spark.createDataFrame([(i,) for i in ids], "customer_id string")
-
-
-def snapshot(spark, write_lines, name, *ids):
-    path = write_lines(name, ",".join(CUSTOMERS.payload), *[f"{i},A,B,,X,RG1,consumer,2024-09-01,2024-09-01" for i in ids])
-    return files.scan_csv(spark, path, CUSTOMERS)
-
-
-def test_malformed_lines_are_quarantined(store, load):
-    stats = load("2026-01-01", "b1", order("O1"), '{"order_id": ', "garbage")
-    assert (stats["loaded"], stats["quarantined"], stats["extracted"]) == (1, 2, 1)
-    counts = intake.count_by_reason(store.quarantine(ORDERS)).collect()
-    assert [tuple(r) for r in counts] == [("malformed_json", 2)]
-    assert {r.source_row_number for r in store.quarantine(ORDERS).collect()} == {2, 3}
-
-
-def test_unknown_customers_are_gated_but_move_the_mark(spark, store, load):
-    stats = load("2026-01-01", "b1", order("O1"), order("O2", customer="C999999", updated="2026-01-05T00:00:00Z"),
-                 order("O3", customer=None), known_customers=customers(spark, "C1", None))
-    assert (stats["loaded"], stats["quarantined"]) == (1, 2)
-    assert {r.error_detail for r in store.quarantine(ORDERS).collect()} == {
-        "customer_id C999999 not present in raw.customers", "customer_id None not present in raw.customers"
-    }
-    assert store.mark(ORDERS) == "2026-01-05T00:00:00Z"
-
-
-def test_replays_are_skipped_and_changes_kept(store, load):
-    load("2026-01-01", "b1", order("O1"), order("O2"))
-    stats = load("2026-01-04", "b2", order("O2", "2026-01-04T00:00:00Z", total="1137"), order("O1"), order("O5", "2026-01-04T01:00:00Z"))
-    assert (stats["skipped_replayed"], stats["loaded"], stats["duplicates_vs_existing_batches"]) == (3, 2, 1)
-    counts = dict(store.raw(ORDERS).groupBy("order_id").count().collect())
-    assert counts == {"O1": 1, "O2": 2, "O5": 1}
-
-
-def test_rerun_without_news_extracts_nothing(store, load):
-    first = load("2026-01-01", "b1", order("O1"))
-    again = load("2026-01-01", "b2")
-    assert first["watermark_advanced"] and not again["watermark_advanced"]
-    assert (again["extracted"], again["loaded"], store.raw(ORDERS).count()) == (0, 0, 1)
-    assert store.lineage().count() == 1
-
-
-def test_same_batch_id_replaces_its_rows(store, load):
-    lines = [order(f"O{i}") for i in range(4)]
-    assert load("2026-01-01", "b1", *lines)["loaded"] == 4
-    assert load("2026-01-01", "b1")["extracted"] == 0
-    stats = load("2026-01-01", "b1", full=True, at="2026-01-11 00:00:00")
-    assert (stats["loaded"], stats["replaced_prior_rows"], store.raw(ORDERS).count()) == (4, 4, 4)
-    assert [r.run_mode for r in store.lineage().collect()] == ["full"]
-
-
-def test_failure_leaves_rows_and_mark_untouched(spark, store, load, write_lines, tmp_path):
-    load("2026-01-01", "b1", order("O1"))
-    write_lines("orders/dt=2026-01-02.ndjson", order("O2", "2026-01-02T00:00:00Z"))
-    scan = files.scan_ndjson_lines(spark, str(tmp_path / "orders"))
-    broken = intake.parse_json_lines(scan, ORDERS.payload_schema).withColumn(
-        "status", F.when(F.col("order_id") == "O2", F.raise_error(F.lit("lost"))).otherwise(F.col("status"))
-    )
-    with pytest.raises(Exception, match="lost"):
-        ingest.run_records(store, ORDERS, broken, "b2", NOW)
-    assert store.raw(ORDERS).count() == 1 and store.mark(ORDERS) == "2026-01-01T12:00:00Z"
-    assert load("2026-01-02", "b2")["loaded"] == 1
-    assert store.mark(ORDERS) == "2026-01-02T00:00:00Z"
-
-
-def test_snapshot_rerun_and_replacement(spark, store, write_lines):
-    first = ingest.run_records(store, CUSTOMERS, snapshot(spark, write_lines, "c1.csv", "C1", "C2"), "b1", NOW)
-    before = table_checksum(store.raw(CUSTOMERS), CUSTOMERS.payload).first()
-    again = ingest.run_records(store, CUSTOMERS, snapshot(spark, write_lines, "c1.csv", "C1", "C2"), "b1", NOW)
-    assert (first["loaded"], again["replaced_prior_rows"]) == (2, 2)
-    assert table_checksum(store.raw(CUSTOMERS), CUSTOMERS.payload).first() == before
-
-    newer = ingest.run_records(store, CUSTOMERS, snapshot(spark, write_lines, "c2.csv", "C1", "C2", "C3"), "b2", NOW)
-    assert (newer["replaced_prior_rows"], newer["duplicates_vs_existing_batches"]) == (2, 2)
-    assert store.raw(CUSTOMERS).count() == 3 and store.batches(CUSTOMERS).count() == 3
-
-
-def test_empty_snapshot_changes_nothing(spark, store, write_lines):
-    ingest.run_records(store, CUSTOMERS, snapshot(spark, write_lines, "c1.csv", "C1"), "b1", NOW)
-    stats = ingest.run_records(store, CUSTOMERS, snapshot(spark, write_lines, "c0.csv"), "b2", NOW)
-    assert stats["loaded"] == 0 and store.raw(CUSTOMERS).count() == 1
-
-
-def test_marks_are_monotonic_per_source(store):
-    returns = SOURCES["returns"]
-    assert store.mark(ORDERS) is None
-    moves = [store.record_mark(ORDERS, m, f"b{i}", NOW) for i, m in enumerate(("2026-08-01", "2026-07-01", "2026-08-01"))]
-    assert moves == [True, False, False]
-    assert store.record_mark(returns, "2026-01-01", "b9", NOW)
-    assert (store.mark(ORDERS), store.mark(returns)) == ("2026-08-01", "2026-01-01")
-
-
-def test_quarantine_counts(spark, store):
-    entries = spark.createDataFrame([("f", 1, "a", "d", "r"), ("f", 2, "b", "d", "r")],
-                                    "source_file string, source_row_number long, reason string, error_detail string, raw_record string")
-    store.write_quarantine(entries, ORDERS, "b1", NOW)
-    store.write_quarantine(entries.where("false"), ORDERS, "b2", NOW)
-    assert dict(intake.count_by_reason(store.quarantine(ORDERS)).collect()) == {"a": 1, "b": 1}
-    assert intake.count_by_reason(store.quarantine(SOURCES["returns"])).collect() == []
+def held(store, spec, *columns):
+    return sorted(tuple(r) for r in store.raw(spec).select(*columns).collect())
+
+
+def test_what_a_line_lacks_decides_where_it_goes(spark, store, drop):
+    known = spark.createDataFrame([("north",), (None,)], "customer_id string")
+    lines = [placed("p1", "north", 1), placed("p2", "south", 9), placed("p3", None, 2), placed("p4", "north", 3) + " tail", "{'order_id':'p5'}", "", '{"order_id":"' + "z" * 5000]
+    stats = drop(ORDERS, "a.ndjson", "first", *lines, known_customers=known)
+    assert (stats["extracted"], stats["loaded"], stats["quarantined"]) == (3, 1, 5)
+    rejects = {r.source_row_number: r for r in store.quarantine(ORDERS).collect()}
+    assert {n: r.reason for n, r in rejects.items()} == {2: intake.UNKNOWN_CUSTOMER, 3: intake.UNKNOWN_CUSTOMER, 4: intake.MALFORMED, 5: intake.MALFORMED, 7: intake.MALFORMED}
+    assert rejects[7].raw_record == lines[6] and json.loads(rejects[2].raw_record)["customer_id"] == "south"
+    # A row whose customer is unknown has been seen all the same.
+    assert store.mark(ORDERS) == "2019-02-01T00:09:00Z"
+
+
+def test_only_what_is_newer_than_the_mark_is_loaded_again(store, drop):
+    drop(RETURNS, "1.ndjson", "one", returned("r1", 3), returned("r2", 4), returned("r3", 4))
+    stats = drop(RETURNS, "2.ndjson", "two", returned("r2", 6, quantity=1), returned("r4", 4), returned("r5", 5))
+    assert (stats["skipped_replayed"], stats["loaded"], stats["duplicates_vs_existing_batches"], stats["duplicates_in_batch"]) == (4, 2, 1, 0)
+    assert held(store, RETURNS, "return_id", "quantity", "_batch_id") == [
+        ("r1", "2", "one"), ("r2", "1", "two"), ("r2", "2", "one"), ("r3", "2", "one"), ("r5", "2", "two")
+    ]
+    idle = drop(RETURNS, "", "three")
+    assert (idle["extracted"], idle["skipped_replayed"], idle["watermark_advanced"]) == (0, 6, False)
+    assert sorted(r.batch_id for r in store.lineage().collect()) == ["one", "two"]
+
+
+def test_a_full_run_under_an_old_id_takes_its_place(store, drop):
+    drop(RETURNS, "1.ndjson", "b", *[returned(f"r{n}", n, item=f"I-{n}") for n in range(1, 8)])
+    assert drop(RETURNS, "", "b")["loaded"] == 0 and store.raw(RETURNS).count() == 7
+    stats = drop(RETURNS, "", "b", full=True, at="2019-03-06 00:00:00")
+    assert (stats["loaded"], stats["replaced_prior_rows"], store.raw(RETURNS).count()) == (7, 7, 7)
+    assert [(r.run_mode, str(r.ingested_at)) for r in store.lineage().collect()] == [("full", "2019-03-06 00:00:00")]
+
+
+def test_nothing_moves_when_a_run_breaks(spark, store, drop, write_lines, tmp_path):
+    drop(RETURNS, "1.ndjson", "one", returned("r1", 3))
+    before = held(store, RETURNS, *RETURNS.payload), store.mark(RETURNS), store.lineage().count()
+    write_lines("returns/2.ndjson", returned("r2", 8), returned("r3", 9))
+    parsed = intake.parse_json_lines(files.scan_ndjson_lines(spark, str(tmp_path / "returns")), RETURNS.payload_schema)
+    torn = parsed.withColumn("reason", F.when(F.col("return_id") == "r3", F.raise_error(F.lit("disk gone"))).otherwise(F.col("reason")))
+    with pytest.raises(Exception, match="disk gone"):
+        ingest.run_records(store, RETURNS, torn, "two", AT)
+    assert before == (held(store, RETURNS, *RETURNS.payload), store.mark(RETURNS), store.lineage().count())
+    assert drop(RETURNS, "", "two")["loaded"] == 2 and store.mark(RETURNS) == "2019-02-09"
+
+
+def test_csv_snapshots_replace_each_other(spark, store, write_lines):
+    def run(batch, *regions):
+        path = write_lines(f"{batch}.csv", "country,region_id,region_name", *[f"X,{r},Name of {r}" for r in regions])
+        return ingest.run_records(store, REGIONS, files.scan_csv(spark, path, REGIONS), batch, AT)
+
+    assert run("s1", "u", "v")["loaded"] == 2
+    checksum = table_checksum(store.raw(REGIONS), REGIONS.payload).first()
+    assert run("s1", "u", "v")["replaced_prior_rows"] == 2
+    assert table_checksum(store.raw(REGIONS), REGIONS.payload).first() == checksum
+    later = run("s2", "v", "w", "x")
+    assert (later["replaced_prior_rows"], later["duplicates_vs_existing_batches"]) == (2, 1)
+    assert held(store, REGIONS, "region_id") == [("v",), ("w",), ("x",)] and store.batches(REGIONS).count() == 3
+    assert run("s3")["loaded"] == 0 and store.raw(REGIONS).count() == 3
+
+
+def test_json_snapshots_run_whole_or_not_at_all(spark, store, write_lines):
+    path = write_lines("d/1.json", json.dumps([{"product_id": "k1", "brand": None}, {"product_id": "k2", "name": "n"}]))
+    stats = ingest.run_snapshot(store, PRODUCTS, files.scan_json_array(spark, path, PRODUCTS), "j1", AT)
+    assert (stats["loaded"], stats["extracted"], stats["watermark_advanced"]) == (2, 2, False)
+    error = write_lines("d/2.json", json.dumps({"detail": "try later"}))
+    with pytest.raises(Exception, match="not a JSON array"):
+        ingest.run_snapshot(store, PRODUCTS, files.scan_json_array(spark, error, PRODUCTS), "j2", AT)
+    assert held(store, PRODUCTS, "product_id", "_source_row_number") == [("k1", 1), ("k2", 2)]
+
+
+def test_relational_runs_read_above_the_mark(spark, store):
+    def table(*rows):
+        return spark.createDataFrame([(k, 9, n, f"2019-02-0{d} 10:00:00") for k, n, d in rows], "payment_id int, order_id int, amount_cents long, updated_at string").withColumn(
+            "updated_at", F.col("updated_at").cast("timestamp_ntz")
+        )
+
+    first = ingest.run_relational(store, PAYMENTS, table((1, 500, 1), (2, 600, 2)), "q1", AT)
+    assert (first["loaded"], first["max_observed_watermark"]) == (2, "2019-02-02 10:00:00")
+    second = ingest.run_relational(store, PAYMENTS, table((1, 500, 1), (2, 650, 3), (3, 700, 2)), "q2", AT)
+    assert (second["loaded"], second["duplicates_vs_existing_batches"]) == (1, 1)
+    assert held(store, PAYMENTS, "payment_id", "amount_cents", "status") == [("1", "500", None), ("2", "600", None), ("2", "650", None)]
+    assert relational.high_mark(store.raw(PAYMENTS), "updated_at").first()[0] == "2019-02-03 10:00:00"
+
+
+def test_a_mark_only_rises_and_each_source_has_its_own(store):
+    assert store.mark(PAYMENTS) is None
+    assert [store.record_mark(PAYMENTS, value, f"x{n}", AT) for n, value in enumerate(["5", "4", "5", "6"])] == [True, False, False, True]
+    assert store.record_mark(RETURNS, "1", "y", AT) and (store.mark(PAYMENTS), store.mark(RETURNS)) == ("6", "1")
+
+
+def test_rejects_without_rows_leave_no_trace(spark, store):
+    schema = "source_file string, source_row_number long, reason string, error_detail string, raw_record string"
+    rows = spark.createDataFrame([("f", n, "why" if n % 2 else "other", "d", "r" * n) for n in range(1, 6)], schema)
+    store.write_quarantine(rows, RETURNS, "w1", AT)
+    store.write_quarantine(rows.limit(0), RETURNS, "w2", AT)
+    assert dict(intake.count_by_reason(store.quarantine(RETURNS)).collect()) == {"why": 3, "other": 2}
+    assert store.quarantine(ORDERS).count() == 0

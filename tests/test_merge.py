@@ -78,3 +78,50 @@ def test_publish_gate(spark, tmp_path):
     assert [r.v for r in table.read().collect()] == [1]
     assert table.publish_if(frame(spark, ("a", "1", 5), ("b", "2", 6)), audit, partition_by=["month"])[1] == 0
     assert sorted(r.v for r in table.read().collect()) == [5, 6]
+
+
+@pytest.mark.parametrize("kind, before, after", [
+    ("string", "a/b", "c"), ("string", "a=b c%:", "x"), ("string", None, "x"), ("string", "x", None), ("string", "", "x"), ("string", "x", ""),
+    ("timestamp_ntz", "2024-01-01 10:00:00", "2024-01-02 00:00:00.5"), ("date", "2024-01-01", None), ("boolean", "true", "false"), ("int", "7", "-8"),
+    ("decimal(10,2)", "1.50", "2.00"),
+])
+def test_a_row_that_moves_leaves_no_old_version(spark, tmp_path, kind, before, after):
+    path = str(tmp_path / "t")
+
+    def apply(n, *changes):
+        rows = spark.createDataFrame(list(changes), "id string, p string, v int").withColumn("p", F.col("p").cast(kind))
+        merge_partitions(spark, path, rows, ["id"], "p", str(tmp_path / f"s{n}"))
+        return rows.schema
+
+    apply(1, ("k", before, 1), ("other", "1" if kind in ("int", "decimal(10,2)") else "2030-05-05" if kind != "boolean" else "true", 1))
+    schema = apply(2, ("k", after, 2))
+    got = spark.read.schema(schema).parquet(path).where("id = 'k'").select(F.col("p").cast("string"), "v").collect()
+    want = spark.createDataFrame([(after or None,)], "p string").select(F.col("p").cast(kind).cast("string")).first()[0]
+    assert [tuple(r) for r in got] == [(want, 2)] and spark.read.schema(schema).parquet(path).count() == 2
+
+
+def test_columns_of_one_side_are_kept(spark, tmp_path):
+    path, n = str(tmp_path / "t"), iter(range(9))
+
+    def apply(rows, schema):
+        merge_partitions(spark, path, spark.createDataFrame(rows, schema), ["id"], "p", str(tmp_path / f"s{next(n)}"))
+
+    apply([("a", "1", 1, "x"), ("b", "1", 2, "y"), ("c", "2", 3, "z")], "id string, p string, v int, extra string")
+    apply([("a", "1", 10, 0.5)], "id string, p string, v int, late double")
+    got = spark.read.schema("id string, v int, extra string, late double, p string").parquet(path).collect()
+    assert {(r.id, r.v, r.extra, r.late) for r in got} == {("a", 10, None, 0.5), ("b", 2, "y", None), ("c", 3, "z", None)}
+
+
+def test_an_older_row_does_not_replace_a_newer_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n, (month, v) in enumerate([("m1", 5), ("m1", 1), ("m2", 3), ("m2", 6)]):
+        merge_partitions(spark, path, frame(spark, ("a", month, v)), ["id"], "month", str(tmp_path / f"s{n}"), order_by="v")
+    assert [(r.month, r.v) for r in spark.read.parquet(path).collect()] == [("m2", 6)]
+
+
+def test_rows_that_cannot_move_are_sought_in_their_partition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    merge_partitions(spark, path, frame(spark, ("a", "m1", 1), ("b", "m2", 2)), ["id"], "month", str(tmp_path / "s1"))
+    assert merge_partitions(spark, path, frame(spark, ("a", "m1", 10)), ["id"], "month", str(tmp_path / "s2"), moves=False) == 1
+    got = spark.read.schema("id string, month string, v long").parquet(path).select("id", "month", "v")
+    assert rows(got) == [("a", "m1", 10), ("b", "m2", 2)]

@@ -43,3 +43,14 @@ def test_median_is_exact(spark, seed, n):
     data = values(seed, n)
     df = spark.createDataFrame([(v,) for v in data] + [(None,)], "v long")
     assert ranking.exact_median(df, "v").first()[0] == statistics.median(data)
+
+
+@pytest.mark.parametrize("values", ["10_000_000_000_000 + id", "-1000000000000 - id * 3", "id * id * id * 1000", "9223372036854775807 - id", "case when id % 2 = 0 then 5 else 1000000000000 + id end"])
+def test_clustered_values_are_spread_and_ranked_exactly(spark, values):
+    rows = spark.range(20_000).selectExpr("id", f"cast({values.replace('_', '')} as bigint) v")
+    got = ranking.with_rank(rows, "v", "r")
+    assert got.join(rows.selectExpr("id", "rank() over (order by v desc) want"), "id").where("r <> want").count() == 0
+    band = ranking.value_band(F.col("v"))
+    ends = rows.select("v", band.alias("b")).groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    slices = rows.select("v", band.alias("b")).distinct().join(ends, "b").groupBy("b", ranking.value_slice(F.col("v"), F.col("lo"), F.col("hi"))).count()
+    assert slices.agg(F.max("count")).first()[0] <= 200

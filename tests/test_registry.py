@@ -4,10 +4,13 @@ import pytest
 from conftest import SF
 
 import __spark_entry__
+from tidemark.catalog.queries import registered
 from verification.blocks import BLOCKS
 from verification.compare import connect, difference
+from verification.oracle_sql import statements
 
-QUERIES, EXPECTED = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+# Queries of other parts that the entry point adds have tests of their own.
+QUERIES, EXPECTED = registered(), statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +20,7 @@ def duck():
 
 def test_every_query_has_an_expected_result():
     assert set(QUERIES) == set(EXPECTED) and len(QUERIES) > 130 and len(BLOCKS) > 40
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(EXPECTED) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

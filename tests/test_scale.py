@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.inputs import Inputs
 from tidemark.catalog.queries import registered
-from tidemark.operators import intake, joins
+from tidemark.operators import dedup, intake, joins
 from tidemark.plans import checks, core, marts
-from tidemark.session import fit_to_input, spread_small
+from tidemark.session import INPUT_PARTITIONS, dealt_out, fit_to_input, shared_dir
 from tidemark.sources import relational
 
 
@@ -143,25 +143,79 @@ def test_dimension_is_not_broadcast_beyond_the_threshold(spark):
         assert "BroadcastHashJoin" not in executed(joins.as_of(hot(spark), versions(spark), "customer_id", "order_ts"))
 
 
-def test_small_inputs_are_dealt_out_and_shuffles_fit_the_input(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(300_000).select(F.md5(F.col("id").cast("string")).alias("h")).coalesce(1).write.parquet(path)
-    assert spread_small(spark, spark.read.parquet(path), path).rdd.getNumPartitions() == 4
-    tiny = str(tmp_path / "tiny")
-    spark.range(10).write.parquet(tiny)
-    before = spark.read.parquet(tiny)
-    assert spread_small(spark, before, tiny) is before
+def sparse_table(folder, gigabytes):
+    folder.mkdir(parents=True)
+    with open(folder / "big", "wb") as f:
+        f.truncate(gigabytes << 30)
+
+
+def test_shuffles_fit_the_largest_table_of_each_folder(spark, tmp_path):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    fit_to_input(spark, path)
-    assert spark.conf.get(key, None) is None
+    for name, gigabytes in (("first", 1), ("second", 1000)):
+        for table in ("a", "b"):
+            sparse_table(tmp_path / name / table, gigabytes)
     with settings(spark, spark__sql__shuffle__partitions="1"):
-        sparse = tmp_path / "sparse"
-        sparse.mkdir()
-        with open(sparse / "big", "wb") as f:
-            f.truncate(1 << 30)
-        fit_to_input(spark, str(sparse))
-        assert spark.conf.get(key) == "24"
-    spark.conf.unset(key)
+        for name, partitions in (("first", "24"), ("second", "24000"), ("first", "24")):
+            fit_to_input(spark, str(tmp_path / name))
+            assert spark.conf.get(key) == partitions
+    with settings(spark, spark__sql__shuffle__partitions="100"):
+        fit_to_input(spark, str(tmp_path / "first"))
+        assert spark.conf.get(key, None) is None
+    with settings(spark, **{key.replace(".", "__"): "7"}):
+        fit_to_input(spark, str(tmp_path / "second"))
+        assert spark.conf.get(key) == "7"
+
+
+def test_inputs_are_dealt_out_only_on_request(spark):
+    scan = spark.range(10)
+    assert dealt_out(spark, scan) is scan
+    with settings(spark, **{INPUT_PARTITIONS.replace(".", "__"): "3"}):
+        assert dealt_out(spark, scan).rdd.getNumPartitions() == 3
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        applicationId, master = "cluster-app", "spark://host:7077"
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+
+
+def test_keys_of_an_increment_do_not_move_history(spark, tmp_path):
+    spark.range(200_000).select((F.col("id") % 50_000).cast("string").alias("k")).write.parquet(str(tmp_path / "old"))
+    spark.range(49_990, 50_010).select(F.col("id").cast("string").alias("k")).write.parquet(str(tmp_path / "new"))
+
+    def stage(df):
+        df.write.parquet(str(tmp_path / "staged"))
+        return spark.read.parquet(str(tmp_path / "staged"))
+
+    found = dedup.duplicates_vs_existing(spark.read.parquet(str(tmp_path / "new")), spark.read.parquet(str(tmp_path / "old")), ["k"], stage)
+    plan = executed(found)
+    assert found.first()[0] == 10 and "SortMergeJoin" not in plan
+
+
+def test_relational_scans_without_bounds_are_refused():
+    for split, bounds in ((None, (1, 2)), ("id", None), ("id", (1, None))):
+        with pytest.raises(ValueError, match="bound"):
+            relational.jdbc_options("jdbc:x", "t", split, bounds)
+    assert relational.jdbc_options("jdbc:x", "t", "id", (1, 9))["numPartitions"] == "16"
+
+
+def test_new_raw_data_reaches_every_table(spark, tmp_path):
+    for table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    build = registered()["mart_sales"]
+    before = build(spark, str(tmp_path)).count()
+    orders = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderstatus = 'F'").limit(50)
+    orders.withColumn("o_orderkey", F.col("o_orderkey") + 90_000_000).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    known = orders.where("o_orderkey % 200 <> 0").count()
+    assert build(spark, str(tmp_path)).count() == before + known
 
 
 def test_calendar_covers_whole_years(spark):

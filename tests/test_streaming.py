@@ -68,3 +68,5 @@ def test_upsert_over_runs(spark, tmp_path, rows):
 
     assert run(("a", "m1", "1"), ("a", "m1", "2"), ("b", "m2", "1")) == [("a", "m1", "2"), ("b", "m2", "1")]
     assert run(("b", "m2", "5"), ("c", "m1", "1")) == [("a", "m1", "2"), ("b", "m2", "5"), ("c", "m1", "1")]
+    # An older version that arrives later changes nothing, in its own partition or another.
+    assert run(("a", "m1", "1"), ("b", "m3", "4"), ("c", "m1", "2")) == [("a", "m1", "2"), ("b", "m2", "5"), ("c", "m1", "2")]

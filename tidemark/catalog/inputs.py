@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.intake import stamp_metadata
 from tidemark.schemas import SOURCES
-from tidemark.session import spread_small
+from tidemark.session import dealt_out
 
 # Run times of the two customer snapshots, and "now" for age checks.
 FIRST_SNAPSHOT = "1995-01-01 00:00:00"
@@ -30,7 +30,7 @@ class Inputs:
 
     def _spread(self, name: str) -> DataFrame:
         """For row-wise heavy work; a plain aggregate is faster on the scan as it is."""
-        return spread_small(self.spark, self.table(name), f"{self.dir}/{name}.parquet")
+        return dealt_out(self.spark, self.table(name))
 
     def raw(self, source: str) -> DataFrame:
         return getattr(self, f"_{source}")()
@@ -228,7 +228,8 @@ class Inputs:
     EVENT_PAYLOAD = ("event_id", "user_id", "event_type", "ts", "props")
 
     def event_lines(self) -> DataFrame:
-        """One JSON line per event. Some lines are cut, not JSON, a JSON array, or blank."""
+        """One JSON line per event. Some lines are cut, not JSON, a JSON array, blank, or an object with text
+        behind it, followed by itself, or in single quotes."""
         key = F.col("event_id")
         at = F.concat(F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T"), F.lit("Z"))
         line = F.concat(
@@ -239,6 +240,8 @@ class Inputs:
         broken = (
             F.when(key % 500 == 3, F.substring(line, 1, 20)).when(key % 500 == 4, "not-json")
             .when(key % 500 == 5, "[1]").when(key % 500 == 6, "  ")
+            .when(key % 500 == 7, F.concat(line, F.lit(" xyz"))).when(key % 500 == 8, F.concat(line, line))
+            .when(key % 500 == 9, F.translate(line, '"', "'"))
         )
         return self._spread("events").select(
             F.coalesce(broken, line).alias("value"),

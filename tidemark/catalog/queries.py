@@ -12,12 +12,12 @@ from tidemark import functions as fn
 from tidemark.catalog.inputs import NOW, SECOND_SNAPSHOT, Inputs
 from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators import dedup, intake, joins, merge, quality, ranking, scd2
-from tidemark.plans import checks, core, ingest, marts, observability, reports, staging
+from tidemark.plans import checks, core, increments, ingest, marts, observability, reports, staging
 from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceSpec, contract
 from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
 from tidemark.sources.store import RawStore, current_marks
-from tidemark.sources.tables import VersionedTable, merge_partitions
+from tidemark.sources.tables import VersionedTable
 from tidemark.streaming import jobs
 
 MARK = "1999-06-01 00:00:00"
@@ -70,12 +70,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 @query
 def scan_csv_customers(w):
-    folder = _fresh(w, "csv")
-    spec = SOURCES["customers"]
-    w.inputs.raw("customers").select(*spec.payload).write.csv(
-        folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
-    return files.scan_csv(w.spark, folder, spec).select(*spec.payload)
+    """Files of two column orders; some cells have line breaks."""
+    folder, spec = _fresh(w, "csv"), SOURCES["customers"]
+    second_name = F.when(F.col("customer_id").cast("bigint") % 50 == 0, F.concat("last_name", F.lit("\nII"))).otherwise(F.col("last_name"))
+    customers = w.inputs.raw("customers").select(*spec.payload).withColumn("last_name", second_name)
+    odd = F.col("customer_id").cast("bigint") % 2 == 1
+    for name, rows, columns in (("odd", odd, spec.payload), ("even", ~odd, reversed(spec.payload))):
+        customers.where(rows).select(*columns).write.csv(
+            f"{folder}/{name}", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+    return files.scan_csv(w.spark, f"{folder}/*", spec).select(*spec.payload)
 
 
 @query
@@ -92,17 +96,12 @@ def ndjson_quarantine(w):
 
 @query
 def scan_ndjson_files(w):
-    """Lines of all files: how many, the sum of the files' last line numbers, how many parse."""
+    """Every line of the daily files with its file and number, blank and broken ones included."""
     folder = _fresh(w, "ndjson")
-    w.inputs.event_lines().select("value").write.text(folder)
-    lines = files.scan_ndjson_lines(w.spark, folder)
-    last = lines.groupBy("source_file").agg(F.max("source_row_number").alias("n")).agg(F.sum("n"))
-    parsed = intake.parse_json_lines(lines, EVENTS.payload_schema)
-    return parsed.agg(
-        last.scalar().alias("numbered_lines"),
-        F.count_if(~F.col("_malformed")).alias("valid_lines"),
-        F.count_if("_malformed").alias("malformed_lines"),
-    )
+    lines = w.inputs.event_lines().withColumn("dt", F.substring("source_file", 4, 10))
+    lines.repartition("dt").sortWithinPartitions("dt", "source_row_number").select("dt", "value").write.partitionBy("dt").text(folder)
+    day = F.concat(F.lit("dt="), F.col("dt").cast("string"), F.lit(".ndjson"))
+    return files.scan_ndjson_lines(w.spark, folder).select("value", day.alias("day_file"), F.col("source_row_number").alias("line_number"))
 
 
 @query
@@ -298,7 +297,7 @@ def dup_in_batch(w):
 def dup_vs_existing(w):
     items = w.inputs.raw("order_items")
     newest = F.col("_batch_id") == "2001"
-    return dedup.duplicates_vs_existing(items.where(newest), items.where(~newest), ["item_id"])
+    return dedup.duplicates_vs_existing(items.where(newest), items.where(~newest), ["item_id"], lambda keys: w.stage(keys, "new-keys"))
 
 
 def _quarantine(w):
@@ -619,26 +618,19 @@ def incremental_lookback(w):
 
 @query
 def incremental_parity(w):
-    """Lines built at once, and built in three increments into a partitioned table."""
-    raw, folder = w.inputs.raw("order_items"), _fresh(w, "parity")
-    orders, products = w.table("fct_orders"), w.table("dim_product")
-
-    def fact(rows):
-        lines = core.fct_order_items(staging.stg_order_items(rows), orders, products)
-        return lines.withColumn("ship_year", F.year("updated_at").cast("string"))
-
-    for n, until in enumerate((CUT, LATE_CUT, None)):
-        arrived = raw if until is None else raw.where(F.col("updated_at") <= until)
-        if n:
-            stored = w.spark.read.parquet(f"{folder}/table")
-            arrived = merge.increment_before_dedup(arrived, "updated_at", merge.lookback_cut(stored))
-        merge_partitions(w.spark, f"{folder}/table", fact(arrived), ["item_id"], "ship_year", f"{folder}/staging-{n}")
-    columns = contract("fct_order_items").fieldNames()
-    merged = w.spark.read.parquet(f"{folder}/table")
-    return _union([
-        quality.table_checksum(df, columns).withColumn("path", F.lit(path))
-        for path, df in (("full", fact(raw)), ("incremental", merged))
-    ])
+    """Each fact built at once, and built in three increments into a partitioned table."""
+    sides, folder = [], _fresh(w, "parity")
+    for name, fact in increments.FACTS.items():
+        raw, path = w.inputs.raw(fact.source), f"{folder}/{name}"
+        for n, until in enumerate((CUT, LATE_CUT, None)):
+            arrived = raw if until is None else raw.where(F.col(fact.raw_mark) <= until)
+            increments.build_increment(w.spark, path, name, arrived, w.table, f"{folder}/staging-{name}-{n}", period="yyyy")
+        merged = increments.stored_fact(w.spark, path, name)
+        sides += [
+            quality.table_checksum(df, contract(name).fieldNames()).withColumns({"fact": F.lit(name), "path": F.lit(label)})
+            for label, df in (("full", increments.full(name, raw, w.table)), ("incremental", merged))
+        ]
+    return _union(sides)
 
 
 # Intermediate views and aggregates
@@ -866,24 +858,39 @@ def dq_accepted_values(w):
 
 def _grain(mart, keys):
     def build(w):
-        return quality.broken_grain(w.table(mart), keys)
+        whole = w.table(mart)
+        return quality.broken_grain(whole.unionByName(whole.where(_REPEATED[mart])), keys)
 
     build.__name__ = f"dq_grain_{mart}"
     return query(build)
 
 
+# Checks that the built tables pass run on tables with faults put in: rows repeated, values changed, versions lost.
+_REPEATED = {
+    "mart_sales": "cast(order_id as bigint) % 10 = 0", "mart_customer_retention": "month(cohort_month) = 1",
+    "mart_product_performance": "cast(product_id as bigint) % 10 = 0", "mart_returns": "reason = 'damaged'",
+    "mart_inventory": "cast(product_id as bigint) % 10 = 0",
+}
+
+
+def _every_tenth(key, rest=0):
+    return F.col(key).cast("bigint") % 10 == rest
+
+
 for _mart, _keys in checks.GRAINS.items():
     _grain(_mart, _keys)
 
 
 @query
 def dq_net_le_gross(w):
-    return checks.net_above_gross(w.table("mart_sales"))
+    raised = F.when(_every_tenth("order_id"), F.col("gross_revenue") + 1).otherwise(F.col("net_revenue"))
+    return checks.net_above_gross(w.table("mart_sales").withColumn("net_revenue", raised))
 
 
 @query
 def dq_status_leak(w):
-    return checks.leaked_statuses(w.table("mart_sales"))
+    leaked = F.when(_every_tenth("order_id"), "placed").otherwise(F.col("status"))
+    return checks.leaked_statuses(w.table("mart_sales").withColumn("status", leaked))
 
 
 @query
@@ -893,12 +900,19 @@ def dq_no_future(w):
 
 @query
 def dq_scd2_one_version(w):
-    return checks.not_one_version(w.table("fct_orders"), w.table("dim_customer"))
+    versions = w.table("dim_customer")
+    doctored = versions.where(~_every_tenth("customer_id")).unionByName(versions.where(_every_tenth("customer_id", 1)))
+    return checks.not_one_version(w.table("fct_orders"), doctored)
 
 
 @query
 def dq_scd2_structure(w):
-    return scd2.structure_violations(w.table("snap_customer"), "customer_id")
+    history, start = w.table("snap_customer"), F.col(scd2.VALID_FROM)
+    doctored = history.withColumns({
+        scd2.VALID_FROM: F.when(~_every_tenth("customer_id"), start),
+        scd2.VALID_TO: F.when(_every_tenth("customer_id", 1), start).otherwise(F.col(scd2.VALID_TO)),
+    })
+    return scd2.structure_violations(doctored, "customer_id")
 
 
 @query
@@ -944,17 +958,30 @@ def dq_payment_reconcile(w):
     return fact.unionByName(view)
 
 
-def _check_tables(w):
-    views = {
-        "stg_customers": lambda: w.staged("customers"), "stg_payments": lambda: w.staged("payments"),
-        "raw_orders": lambda: w.inputs.raw("orders"), "quarantine": lambda: _quarantine(w),
-    }
-    return lambda name: views[name]() if name in views else w.table(name)
+class _CheckTables:
+    """The tables that checks read. Staging and quarantine are plans; read by several checks, they are written
+    first."""
+
+    def __init__(self, w):
+        self._w, self._written = w, {}
+
+    def __call__(self, name):
+        if name.startswith("raw_"):
+            return self._w.inputs.raw(name.removeprefix("raw_"))
+        if name != "quarantine" and not name.startswith("stg_"):
+            return self._w.table(name)
+        if name not in self._written:
+            plan = _quarantine(self._w) if name == "quarantine" else self._w.staged(name.removeprefix("stg_"))
+            self._written[name] = self.stage(plan, name)
+        return self._written[name]
+
+    def stage(self, df, name):
+        return self._w.stage(df, name)
 
 
 @query
 def obs_quality_checks(w):
-    return checks.check_results(_check_tables(w))
+    return checks.check_results(_CheckTables(w))
 
 
 @query
@@ -1044,11 +1071,15 @@ def events_daily_window(w):
 
 @query
 def stream_upsert(w):
-    """Raw order lines streamed into a table partitioned by year, newest version per order."""
+    """Raw order lines streamed into a table partitioned by year in several micro-batches, newest version per
+    order; the corrected versions arrive before the original ones."""
     base = _fresh(w, "stream-upsert")
     spec = SOURCES["orders"]
-    w.inputs.raw("orders").select(*spec.payload).write.parquet(f"{base}/in")
-    stream = w.spark.readStream.schema(spec.payload_schema).parquet(f"{base}/in").withColumn(
+    for corrected in (1, 0):
+        rows = w.inputs.raw("orders").where(F.col("_source_row_number") % 2 == corrected)
+        rows.select(*spec.payload).repartition(2).write.mode("append").parquet(f"{base}/in")
+    reader = w.spark.readStream.schema(spec.payload_schema).option("maxFilesPerTrigger", 2)
+    stream = reader.parquet(f"{base}/in").withColumn(
         "order_year", F.substring("order_ts", 1, 4)
     )
     jobs.upsert_stream(

@@ -1,5 +1,6 @@
 """Layers over the given tables. Staging stays a view; history, dimensions, facts and marts that several
-queries read are written once per application, to the shared folder, and read back: their lineage ends there."""
+queries read are written once per application and state of the inputs, to the shared folder, and read back:
+their lineage ends there."""
 
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from tidemark.catalog.inputs import FIRST_SNAPSHOT, SECOND_SNAPSHOT, Inputs
 from tidemark.plans import core, marts, staging
 from tidemark.schemas import CONTRACTED_TABLES, contract
 from tidemark.operators.quality import enforce_contract
-from tidemark.session import fit_to_input, shared_dir
+from tidemark.session import fit_to_input, input_state, shared_dir
 
 LAYERS = (
     ("dim_region", "dim_product", "dim_date", "snap_customer"),
@@ -33,7 +34,8 @@ class Warehouse:
         self.spark = spark
         self.inputs = Inputs(spark, sf_dir)
         fit_to_input(spark, self.inputs.dir)
-        digest = hashlib.md5(self.inputs.dir.encode()).hexdigest()[:12]
+        # What is written belongs to the inputs as they are now: after new data all tables are built anew.
+        digest = hashlib.md5(f"{self.inputs.dir} {input_state(spark, self.inputs.dir)}".encode()).hexdigest()[:12]
         self.root = f"{shared_dir(spark)}/warehouse-{digest}"
 
     def staged(self, source: str) -> DataFrame:

@@ -29,7 +29,7 @@ def is_truthy(value) -> Column:
 
 
 def raw_excerpt(value) -> Column:
-    """What quarantine keeps of a rejected record."""
+    """The beginning of a long text, for display. Stored records stay whole."""
     return F.substring(_column(value), 1, RAW_EXCERPT_CHARS)
 
 

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,20 +37,28 @@ def duplicates_in_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def duplicates_vs_existing(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicates_vs_existing(
+    batch: DataFrame, existing: DataFrame, keys: Sequence[str], stage: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
     """One row: rows of ``batch`` whose key already occurs in ``existing`` (rows of other batches).
 
-    Both sides are reduced to one row per key before they meet, so the join has no hot key.
+    History is reduced to the keys of the batch before it is made distinct, so what is shuffled does not
+    grow with the age of the warehouse. ``stage`` writes the batch's keys and reads them back: of a
+    written table Spark knows the size when it plans, and does not move history to meet a small one.
     """
-    new = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).alias("new")
-    old = existing.select(*keys).distinct().alias("old")
-    same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
-    matched = new.join(old, _all(same), "left_semi")
+    new = stage(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    old = _where_key_in(existing.select(*keys), new, keys).distinct()
+    matched = _where_key_in(new, old, keys)
     return matched.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("duplicates_vs_existing_batches")
     )
 
 
+def _where_key_in(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key, NULL included, occurs among the others'."""
+    return rows.alias("l").join(others.alias("r"), _all([F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]), "left_semi")
+
+
 def _all(conditions):
     combined = conditions[0]
     for condition in conditions[1:]:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import raw_excerpt
 from tidemark.operators.joins import distinct_keys
 from tidemark.schemas import SourceSpec
 
@@ -51,23 +50,23 @@ def stamp_metadata(
 
 
 def parse_json_lines(lines: DataFrame, payload: T.StructType, line_column: str = "value") -> DataFrame:
-    """Parse JSON object lines. Blank lines vanish; a line that is no JSON object gets
+    """Parse JSON object lines. Blank lines vanish; a line that is not exactly one JSON object gets
     ``_malformed = true`` and NULL payload. Never raises on bad text.
 
-    ``lines`` keeps its other columns; nested values land as JSON text.
+    The parser stops at the end of the first value and would let text behind it pass. So each line is
+    parsed as the only element of an array, in a document with one more field behind the array, and both
+    must come out. ``lines`` keeps its other columns; nested values land as JSON text.
     """
-    corrupt = "_corrupt_line"
-    schema = T.StructType([*payload.fields, T.StructField(corrupt, T.StringType())])
     kept = [c for c in lines.columns if c != line_column]
-    parsed = F.from_json("_line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    fields = [F.col(f"`{f.name}`") for f in payload.fields]
+    parsed = json_document(F.concat(F.lit("["), F.col("_line"), F.lit("]")), payload)
+    fields = [F.col("_records")[0][f.name] for f in payload.fields]
     return (
         lines.select(*kept, F.trim(F.col(line_column), F.lit(WHITESPACE)).alias("_line"))
         .where(F.col("_line") != "")
         # Spark would copy a parsing expression into every filter above it. It does not move filters
         # below a generator, so each line is parsed once.
         .select(*kept, "_line", F.inline(F.array(parsed)))
-        .withColumn("_malformed", F.col(corrupt).isNotNull() | ~F.col("_line").startswith("{"))
+        .withColumn("_malformed", ~is_complete(F.col("_records"), F.col("_end")) | (F.size("_records") != 1) | ~F.col("_line").startswith("{"))
         .select(
             *kept, "_line", "_malformed",
             *[F.when(~F.col("_malformed"), field).alias(f.name) for f, field in zip(payload.fields, fields)],
@@ -75,6 +74,20 @@ def parse_json_lines(lines: DataFrame, payload: T.StructType, line_column: str =
     )
 
 
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def json_document(array: Column, payload: T.StructType) -> Column:
+    """A JSON array of objects, as text, parsed to ``_records`` and ``_end``; ``is_complete`` tells whether
+    all of the text is that array."""
+    schema = T.StructType([T.StructField("_records", T.ArrayType(payload)), T.StructField("_end", T.BooleanType())])
+    return F.from_json(F.concat(F.lit('{"_records":'), array, F.lit(',"_end":true}')), schema, _STRICT)
+
+
+def is_complete(records: Column, end: Column) -> Column:
+    return F.coalesce(end, F.lit(False)) & records.isNotNull() & ~F.exists(F.coalesce(records, F.array()), lambda r: r.isNull())
+
+
 def above_mark(df: DataFrame, field: str, mark: str | None) -> DataFrame:
     """Rows without a watermark value, and rows newer than the stored mark. Text comparison, which
     suits ISO-uniform values only. ``mark=None`` keeps everything."""
@@ -124,7 +137,7 @@ def malformed_entries(parsed: DataFrame, file: str, number: str) -> DataFrame:
         F.col(number).cast("bigint").alias("source_row_number"),
         F.lit(MALFORMED).alias("reason"),
         F.lit("line is not a JSON object").alias("error_detail"),
-        raw_excerpt("_line").alias("raw_record"),
+        F.col("_line").alias("raw_record"),
     )
 
 
@@ -135,7 +148,7 @@ def rejected_entries(rejected: DataFrame, spec: SourceSpec, number: str, key: st
         F.col(number).cast("bigint").alias("source_row_number"),
         F.lit(UNKNOWN_CUSTOMER).alias("reason"),
         F.concat(F.lit(f"{key} "), shown, F.lit(" not present in raw.customers")).alias("error_detail"),
-        raw_excerpt(F.to_json(F.struct(*spec.payload))).alias("raw_record"),
+        F.to_json(F.struct(*spec.payload)).alias("raw_record"),
     )
 
 

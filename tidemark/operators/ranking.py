@@ -2,8 +2,10 @@
 
 A whole-number value is mapped, monotonically, to one of a bounded number of value bands: its binary order of
 magnitude plus the ``MANTISSA_BITS`` bits after the leading one. Values are first counted per distinct
-value (ties and hot values collapse there), then ordered inside each band in parallel; only the band
-totals, whose number is bounded by construction, are ordered in one task. The result is exact.
+value (ties and hot values collapse there). A band is cut into 2^``SLICE_BITS`` slices of equal width
+between the least and the greatest value it has, so values that lie close together are told apart by their
+later bits. Values are ordered inside a slice, slices inside a band, in parallel; only the band totals,
+whose number is bounded by construction, are ordered in one task. The result is exact.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MANTISSA_BITS = 10
+SLICE_BITS = 10
 
 
 def value_band(value: Column) -> Column:
@@ -24,6 +27,13 @@ def value_band(value: Column) -> Column:
     return F.when(value < 0, -band - 1).otherwise(band).cast("bigint")
 
 
+def value_slice(value: Column, least: Column, most: Column) -> Column:
+    """Monotone in ``value`` between ``least`` and ``most`` of one band: at most 2^SLICE_BITS + 1 results. A
+    band is no wider than 2^(63 - MANTISSA_BITS), so nothing overflows."""
+    width = F.call_function("shiftright", most - least, F.lit(SLICE_BITS)) + 1
+    return F.floor((value - least) / width).cast("bigint")
+
+
 def running_counts(values: DataFrame, value: str, descending: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, value, rows, before, total): for each distinct non-NULL value, the number of rows that come
     before it and the number of all rows, over the whole table or within each ``by`` group. A group may
@@ -39,19 +49,20 @@ def running_counts(values: DataFrame, value: str, descending: bool = False, by:
         .where(F.col("_band").isNotNull())
     )
     preceding = (Window.unboundedPreceding, -1)
-    earlier_in_band = Window.partitionBy(*by, "_band").orderBy(way(value)).rowsBetween(*preceding)
+    ends = counted.groupBy(*by, "_band").agg(F.min(value).alias("_least"), F.max(value).alias("_most"), F.sum("rows").alias("_rows"))
     # One row per band: the only window a single task may hold whole.
     earlier_bands = Window.partitionBy(*by).orderBy(way("_band")).rowsBetween(*preceding)
-    bands = (
-        counted.groupBy(*by, "_band").agg(F.sum("rows").alias("_rows"))
-        .withColumns({
-            "_before_band": F.coalesce(F.sum("_rows").over(earlier_bands), F.lit(0)),
-            "total": F.sum("_rows").over(Window.partitionBy(*by)),
-        })
-        .drop("_rows")
-    )
-    before = F.col("_before_band") + F.coalesce(F.sum("rows").over(earlier_in_band), F.lit(0))
-    return counted.join(bands, [*by, "_band"]).withColumn("before", before).select(
+    bands = ends.withColumns({
+        "_before_band": F.coalesce(F.sum("_rows").over(earlier_bands), F.lit(0)),
+        "total": F.sum("_rows").over(Window.partitionBy(*by)),
+    }).drop("_rows")
+    sliced = counted.join(bands, [*by, "_band"]).withColumn("_slice", value_slice(F.col(value), F.col("_least"), F.col("_most")))
+    per_slice = sliced.groupBy(*by, "_band", "_slice").agg(F.sum("rows").alias("_rows"))
+    earlier_slices = Window.partitionBy(*by, "_band").orderBy(way("_slice")).rowsBetween(*preceding)
+    slices = per_slice.withColumn("_before_slice", F.coalesce(F.sum("_rows").over(earlier_slices), F.lit(0))).drop("_rows")
+    earlier_values = Window.partitionBy(*by, "_band", "_slice").orderBy(way(value)).rowsBetween(*preceding)
+    before = F.col("_before_band") + F.col("_before_slice") + F.coalesce(F.sum("rows").over(earlier_values), F.lit(0))
+    return sliced.join(slices, [*by, "_band", "_slice"]).withColumn("before", before).select(
         *by, value, "rows", "before", "total"
     )
 

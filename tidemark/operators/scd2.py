@@ -100,31 +100,28 @@ def with_next_start(history: DataFrame, key: str) -> DataFrame:
     )
 
 
-def gaps(history: DataFrame, key: str) -> DataFrame:
-    """Closed versions whose end is not the start of the key's next version."""
-    started = history.where(F.col(VALID_FROM).isNotNull())
-    return with_next_start(started, key).where(
-        F.col(VALID_TO).isNotNull()
-        & F.col("next_valid_from").isNotNull()
-        & (F.col(VALID_TO) != F.col("next_valid_from"))
-    )
+#: Names of the broken rules in the report.
+SEVERAL_OPEN, GAP, NO_START = "multiple_current", "validity_gap", "null_valid_from"
 
 
 def violations(history: DataFrame, key: str) -> DataFrame:
-    """(issue, key, detail) for: not exactly one current version, a gap, a version without a start."""
-    current = (
-        history.where(F.col(VALID_TO).isNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        .where("n <> 1")
-        .select(F.lit("multiple_current").alias("issue"), key, F.col("n").cast("string").alias("detail"))
-    )
-    gap = gaps(history, key).select(
-        F.lit("validity_gap").alias("issue"),
-        key,
-        F.concat(
-            F.col(VALID_FROM).cast("string"), F.lit(" -> "), F.col("next_valid_from").cast("string")
-        ).alias("detail"),
-    )
-    no_start = history.where(F.col(VALID_FROM).isNull()).select(
-        F.lit("null_valid_from").alias("issue"), key, F.col(VERSION_ID).alias("detail")
-    )
-    return current.unionByName(gap).unionByName(no_start)
+    """(issue, key, detail), one row per broken rule, from one pass over the versions: a key has one open
+    version at most, a version ends where the next begins, and every version has a start.
+
+    A version says which of its own rules it breaks; an open one also casts a vote for its key, and keys
+    with several votes are reported. Only votes and broken versions are grouped.
+    """
+    ends, follows = F.col(VALID_TO), F.col("next_valid_from")
+    apart = F.col(VALID_FROM).isNotNull() & (ends != follows)
+    found = F.array_compact(F.array(
+        F.when(ends.isNull(), _issue(SEVERAL_OPEN, F.lit(None).cast("string"))),
+        F.when(apart, _issue(GAP, F.concat_ws(" -> ", F.col(VALID_FROM).cast("string"), follows.cast("string")))),
+        F.when(F.col(VALID_FROM).isNull(), _issue(NO_START, F.col(VERSION_ID).cast("string"))),
+    ))
+    reported = with_next_start(history, key).select(key, F.inline(found)).groupBy("issue", key, "detail").agg(F.count(F.lit(1)).alias("n"))
+    vote = F.col("issue") == SEVERAL_OPEN
+    return reported.where(~vote | (F.col("n") > 1)).select("issue", key, F.when(vote, F.col("n").cast("string")).otherwise(F.col("detail")).alias("detail"))
+
+
+def _issue(name: str, detail: Column) -> Column:
+    return F.struct(F.lit(name).alias("issue"), detail.alias("detail"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,36 +29,87 @@ GRAINS = {
     "mart_inventory": ("product_id", "warehouse_id"),
 }
 
+# The columns that must be filled, the columns whose values must not repeat, the columns whose values
+# must occur in another table's column, and the columns that take listed values only.
 REQUIRED = {
-    "fct_orders": ("order_sk", "order_id", "customer_sk", "order_date_sk", "status", "total_amount_cents"),
-    "fct_order_items": ("order_item_sk", "item_id", "order_sk", "product_sk", "quantity", "unit_price_cents"),
-    "fct_payments": ("payment_sk", "payment_id", "order_sk", "payment_date_sk", "amount_cents", "status"),
-    "fct_returns": ("return_sk", "return_id", "order_item_sk", "return_date_sk", "reason", "quantity"),
-    "dim_customer": ("customer_sk", "customer_id", "region_sk", "segment", "dbt_valid_from", "is_current"),
-    "dim_product": ("product_sk", "product_id", "name", "category", "price_cents"),
+    "raw_customers": ("customer_id",), "raw_regions": ("region_id",),
+    "raw_orders": ("order_id", "customer_id", "order_ts", "status", "total_amount_cents", "updated_at"),
+    "raw_returns": ("return_id", "order_item_id", "returned_at", "reason"), "raw_products": ("product_id", "category"),
+    "raw_order_items": ("item_id", "order_id"), "raw_payments": ("payment_id", "order_id"),
+    "raw_inventory_levels": ("product_id", "warehouse_id", "stock_on_hand"),
+    "stg_customers": ("customer_id", "region_id", "signup_date", "updated_at"),
+    "stg_regions": ("region_id", "region_name", "country"),
+    "stg_orders": ("order_id", "customer_id", "order_ts", "status", "total_amount_cents", "updated_at"),
+    "stg_returns": ("return_id", "order_item_id", "returned_at", "quantity"),
+    "stg_products": ("product_id", "category", "price_cents", "active"),
+    "stg_order_items": ("item_id", "order_id", "product_id", "quantity", "unit_price_cents", "line_amount_cents"),
+    "stg_payments": ("payment_id", "order_id", "amount_cents", "event_ts", "updated_at"),
+    "stg_inventory_levels": ("product_id", "warehouse_id", "stock_on_hand", "reorder_point", "updated_at"),
+    "dim_region": ("region_sk", "region_id", "region_name", "country"),
+    "dim_product": ("product_sk", "product_id", "name", "category", "price_cents", "active"),
+    "dim_date": ("date_sk", "date", "year", "month"),
+    "dim_customer": (
+        "customer_sk", "customer_id", "first_name", "last_name", "region_sk", "segment", "signup_date", "dbt_valid_from", "is_current",
+    ),
+    "fct_orders": (
+        "order_sk", "order_id", "customer_sk", "order_date_sk", "status", "total_amount_cents", "order_ts", "updated_at",
+    ),
+    "fct_order_items": (
+        "order_item_sk", "item_id", "order_sk", "product_sk", "quantity", "unit_price_cents", "line_amount_cents", "updated_at",
+    ),
+    "fct_payments": (
+        "payment_sk", "payment_id", "order_sk", "payment_date_sk", "amount_cents", "status", "event_ts", "updated_at",
+    ),
+    "fct_returns": (
+        "return_sk", "return_id", "order_item_sk", "return_date_sk", "reason", "quantity", "returned_at", "updated_at",
+    ),
+    "mart_sales": ("order_sk", "order_id", "date", "region_name", "gross_revenue", "net_revenue"),
+    "mart_customer_retention": ("cohort_month", "customers", "retention_rate"),
+    "mart_product_performance": ("product_sk", "product_id", "product_revenue", "units_sold", "return_rate"),
+    "mart_returns": ("return_date_sk", "reason", "category", "total_returned_units", "total_returned_revenue"),
+    "mart_inventory": ("product_sk", "warehouse_id", "stock_on_hand", "low_stock_flag"),
 }
 
 KEYS = {
-    "fct_orders": "order_sk", "fct_order_items": "order_item_sk", "fct_payments": "payment_sk",
-    "fct_returns": "return_sk", "dim_customer": "customer_sk", "dim_product": "product_sk",
+    "raw_customers": ("customer_id",), "raw_regions": ("region_id",), "raw_products": ("product_id",),
+    "stg_customers": ("customer_id",), "stg_regions": ("region_id",), "stg_orders": ("order_id",), "stg_returns": ("return_id",),
+    "stg_products": ("product_id",), "stg_order_items": ("item_id",), "stg_payments": ("payment_id",),
+    "dim_region": ("region_sk", "region_id"), "dim_product": ("product_sk", "product_id"), "dim_date": ("date_sk", "date"),
+    "dim_customer": ("customer_sk",), "fct_orders": ("order_sk", "order_id"), "fct_order_items": ("order_item_sk", "item_id"),
+    "fct_payments": ("payment_sk", "payment_id"), "fct_returns": ("return_sk", "return_id"), "mart_sales": ("order_sk",),
+    "mart_product_performance": ("product_sk",),
 }
 
 REFERENCES = (
+    ("stg_customers", "region_id", "stg_regions", "region_id"),
+    ("dim_customer", "region_sk", "dim_region", "region_sk"),
     ("fct_orders", "customer_sk", "dim_customer", "customer_sk"),
+    ("fct_orders", "order_date_sk", "dim_date", "date_sk"),
     ("fct_order_items", "order_sk", "fct_orders", "order_sk"),
     ("fct_order_items", "product_sk", "dim_product", "product_sk"),
     ("fct_payments", "order_sk", "fct_orders", "order_sk"),
+    ("fct_payments", "payment_date_sk", "dim_date", "date_sk"),
     ("fct_returns", "order_item_sk", "fct_order_items", "order_item_sk"),
-    ("dim_customer", "region_sk", "dim_region", "region_sk"),
+    ("fct_returns", "return_date_sk", "dim_date", "date_sk"),
 )
 
 ACCEPTED = (
+    ("stg_customers", "segment", SEGMENTS), ("stg_orders", "status", ORDER_STATUSES), ("stg_orders", "currency", CURRENCIES),
+    ("stg_returns", "reason", RETURN_REASONS), ("stg_payments", "status", PAYMENT_STATUSES), ("stg_payments", "method", PAYMENT_METHODS),
+    ("dim_customer", "segment", SEGMENTS), ("dim_customer", "is_current", (True, False)),
     ("fct_orders", "status", ORDER_STATUSES), ("fct_orders", "currency", CURRENCIES),
     ("fct_payments", "status", PAYMENT_STATUSES), ("fct_payments", "method", PAYMENT_METHODS),
-    ("fct_returns", "reason", RETURN_REASONS), ("dim_customer", "segment", SEGMENTS),
+    ("fct_returns", "reason", RETURN_REASONS), ("mart_inventory", "low_stock_flag", (True, False)),
 )
 
-Tables = Callable[[str], DataFrame]
+
+class Tables(Protocol):
+    """Tables by name, and a place for an intermediate that is read more than once."""
+
+    def __call__(self, name: str) -> DataFrame: ...
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame: ...
+
 
 
 def _total(df: DataFrame, name: str) -> DataFrame:
@@ -150,12 +202,34 @@ def row_checks(tables: Tables) -> list[DataFrame]:
 
 
 def key_checks(tables: Tables) -> list[DataFrame]:
-    unique = [_total(quality.not_unique(tables(t), [k]), f"unique:{t}.{k}") for t, k in KEYS.items()]
-    related = [
-        _total(without_match(tables(c), fk, tables(p), pk, null_fk=False), f"relationships:{c}.{fk}")
-        for c, fk, p, pk in REFERENCES
+    """unique and relationships, one scan per table: the values of all key and reference columns are counted
+    together, once per column and value. Keys that repeat are read off the counts; references are the counts of
+    the child's column without a partner among those of the parent's. A reference without a value passes."""
+    columns: dict[str, set[str]] = {t: set(keys) for t, keys in KEYS.items()}
+    for child, fk, parent, pk in REFERENCES:
+        columns.setdefault(child, set()).add(fk)
+        columns.setdefault(parent, set()).add(pk)
+    counted = [
+        tables(t).select(F.explode(F.array(*(F.struct(F.lit(f"{t}.{c}").alias("col"), F.col(c).cast("string").alias("value")) for c in sorted(names)))).alias("v"))
+        .where("v.value is not null").groupBy("v.col", "v.value").agg(F.count(F.lit(1)).alias("n"))
+        for t, names in columns.items()
+    ]
+    values = tables.stage(reduce(DataFrame.unionByName, counted), "check-values")
+    repeated = values.where("n > 1").groupBy("col").agg(F.count(F.lit(1)).alias("violations"))
+    parent_of = F.create_map(*(F.lit(x) for c, fk, p, pk in REFERENCES for x in (f"{c}.{fk}", f"{p}.{pk}")))
+    children = values.withColumn("parent", parent_of[F.col("col")]).where("parent is not null").alias("c")
+    known = values.select(F.col("col").alias("parent"), "value").alias("p")
+    missing = children.join(known, ["parent", "value"], "left_anti").groupBy("col").agg(F.sum("n").alias("violations"))
+    spark = values.sparkSession
+    return [
+        spark.createDataFrame([(name,) for name in names], "col string").join(F.broadcast(found), "col", "left").select(
+            F.concat(F.lit(f"{kind}:"), "col").alias("check_name"), F.coalesce("violations", F.lit(0)).alias("violations")
+        )
+        for kind, names, found in (
+            ("unique", [f"{t}.{k}" for t, keys in KEYS.items() for k in keys], repeated),
+            ("relationships", [f"{c}.{fk}" for c, fk, _, _ in REFERENCES], missing),
+        )  # one row per column at most on either side
     ]
-    return unique + related
 
 
 def mart_checks(tables: Tables) -> list[DataFrame]:

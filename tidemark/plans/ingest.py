@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import raw_excerpt
 from tidemark.operators import dedup, intake
 from tidemark.schemas import SourceSpec
+from tidemark.sources import relational
 from tidemark.sources.files import FILE, ROW_NUMBER
 from tidemark.sources.store import GATED, KEPT, MALFORMED, RawStore
 
@@ -21,11 +21,10 @@ def run_records(
     """Load parsed records: filter by mark, gate foreign keys, write, then record lineage and mark.
 
     ``records``: the payload as text with ``source_file`` and ``source_row_number``, and for NDJSON also
-    ``_malformed`` and ``_line``. The input is read once; kept and rejected rows are committed by one
-    write. The mark moves last, so a failure anywhere before leaves it, and a repeat of the same batch
-    id replaces what the failed run wrote. All counts but ``skipped_replayed`` come from the written
-    batch; that one is observed on the way, and where an executor is lost it may count a repeated task
-    twice.
+    ``_malformed`` and ``_line``. Kept and rejected rows are committed by one write. The mark moves last, so
+    a failure anywhere before leaves it, and a repeat of the same batch id replaces what the failed run
+    wrote. All counts but ``skipped_replayed`` come from the written batch; where there is a mark to be
+    above, that one is an aggregate of its own over the input, so that repeated tasks do not count twice.
     """
     # A repeat without rows leaves the batch's earlier ones in place; they are not this run's.
     run_id = uuid.uuid4().hex
@@ -33,10 +32,10 @@ def run_records(
     if "_malformed" not in records.columns:
         records = records.withColumns({"_malformed": F.lit(False), "_line": F.lit(None).cast("string")})
 
-    seen = Observation()
     fresh = F.lit(True) if mark is None else intake.is_above_mark(spec.watermark, mark)
     skipped = ~F.col("_malformed") & ~fresh
-    rows = records.observe(seen, F.count_if(skipped).alias("skipped")).where(~skipped)
+    n_skipped = 0 if mark is None else records.where(skipped).count()
+    rows = records.where(~skipped)
 
     if known_customers is not None:
         rows = intake.flag_known_keys(rows, "customer_id", known_customers, "customer_id", "_known")
@@ -59,8 +58,8 @@ def run_records(
             F.col("_outcome") == GATED,
             F.concat(F.lit("customer_id "), shown, F.lit(" not present in raw.customers")),
         ).alias("_reject_detail"),
-        F.when(F.col("_outcome") == MALFORMED, raw_excerpt("_line"))
-        .when(F.col("_outcome") == GATED, raw_excerpt(F.to_json(F.struct(*spec.payload))))
+        F.when(F.col("_outcome") == MALFORMED, F.col("_line"))
+        .when(F.col("_outcome") == GATED, F.to_json(F.struct(*spec.payload)))
         .alias("_reject_record"),
         "_outcome",
         F.lit(batch_id).alias("_batch_id"),
@@ -84,7 +83,7 @@ def run_records(
     others = store.raw(spec).where(F.col("_batch_id") != batch_id)
     keys = list(spec.natural_key)
     in_batch = dedup.duplicates_in_batch(kept, keys).first()[0]
-    vs_existing = dedup.duplicates_vs_existing(kept, others, keys).first()[0]
+    vs_existing = dedup.duplicates_vs_existing(kept, others, keys, lambda new: store.stage(new, run_id)).first()[0]
 
     if not spec.watermark and loaded:
         store.commit_snapshot(spec, batch_id, ingested_at)
@@ -103,7 +102,7 @@ def run_records(
         "batch_id": batch_id, "source": spec.name, "extracted": extracted, "loaded": loaded,
         "replaced_prior_rows": replaced if loaded else 0, "quarantined": quarantined,
         "duplicates_in_batch": in_batch, "duplicates_vs_existing_batches": vs_existing,
-        "skipped_replayed": seen.get["skipped"], "watermark_advanced": advanced,
+        "skipped_replayed": n_skipped, "watermark_advanced": advanced,
         "max_observed_watermark": counts["max_mark"],
     }
 
@@ -122,3 +121,23 @@ def run_ndjson(store: RawStore, spec: SourceSpec, lines: DataFrame, batch_id: st
     return run_records(
         store, spec, intake.parse_json_lines(lines, spec.payload_schema), batch_id, ingested_at, **kwargs
     )
+
+
+def run_snapshot(store: RawStore, spec: SourceSpec, records: DataFrame, batch_id: str, ingested_at: str, **kwargs) -> dict:
+    """A source without a mark, read whole each time (CSV files, JSON documents): the new snapshot replaces the
+    one before. ``records``: the payload with source_file and source_row_number."""
+    if spec.watermark:
+        raise ValueError(f"{spec.name} is loaded by increments")
+    return run_records(store, spec, intake.project_payload(records, spec, (FILE, ROW_NUMBER)), batch_id, ingested_at, **kwargs)
+
+
+def run_relational(
+    store: RawStore, spec: SourceSpec, table: DataFrame, batch_id: str, ingested_at: str, full: bool = False, **kwargs
+) -> dict:
+    """A relational table with native types: columns and mark filter reach the table, rows land as text.
+    Rows without a mark value are read every time. They have no place in a file and no number."""
+    mark = None if full else store.mark(spec)
+    present = [c for c in spec.payload if c in table.columns]
+    rows = relational.as_text(relational.increment(table, present, spec.watermark, mark, with_unmarked=True))
+    located = intake.project_payload(rows, spec).withColumns({FILE: F.lit(spec.source_ref), ROW_NUMBER: F.lit(None).cast("bigint")})
+    return run_records(store, spec, located, batch_id, ingested_at, full=full, **kwargs)

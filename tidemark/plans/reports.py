@@ -31,13 +31,14 @@ def daily_aov(mart_sales: DataFrame) -> DataFrame:
     return daily.select("date", "orders", revenue.alias("rev"), guarded_ratio(revenue, "orders").alias("aov"))
 
 
-def cohort_grid(mart_retention: DataFrame, rows: int = 500) -> DataFrame:
-    return mart_retention.select("cohort_month", "order_month", "retention_rate").orderBy(
-        "cohort_month", "order_month"
-    ).limit(rows)
+def cohort_grid(mart_retention: DataFrame, rows: int | None = None) -> DataFrame:
+    """All cells, or the first ``rows`` of them."""
+    grid = mart_retention.select("cohort_month", "order_month", "retention_rate").orderBy("cohort_month", "order_month")
+    return grid if rows is None else grid.limit(rows)
 
 
 def top_products(mart_products: DataFrame, rows: int = 20) -> DataFrame:
+    """The ``rows`` products with the highest revenue."""
     return mart_products.select(
         "product_id", "category", "units_sold", "product_revenue", "return_rate"
     ).orderBy(F.col("product_revenue").desc_nulls_last(), "product_id").limit(rows)
@@ -56,10 +57,12 @@ def inventory_by_warehouse(mart_inventory: DataFrame) -> DataFrame:
     )
 
 
-def low_stock_items(mart_inventory: DataFrame, rows: int = 20) -> DataFrame:
-    return mart_inventory.where("low_stock_flag").select(
+def low_stock_items(mart_inventory: DataFrame, rows: int | None = None) -> DataFrame:
+    """All items to be reordered, or the first ``rows`` of them."""
+    low = mart_inventory.where("low_stock_flag").select(
         "product_id", "warehouse_id", "stock_on_hand", "reorder_point", "days_of_cover"
-    ).orderBy("product_id", "warehouse_id").limit(rows)
+    ).orderBy("product_id", "warehouse_id")
+    return low if rows is None else low.limit(rows)
 
 
 # Business questions

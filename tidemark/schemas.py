@@ -28,40 +28,45 @@ class SourceSpec:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.payload])
 
 
-def _spec(name, shape, key, payload, watermark=None, quarantined=False):
-    return SourceSpec(name, shape, tuple(key.split()), tuple(payload.split()), watermark, quarantined)
-
-
 SOURCES: dict[str, SourceSpec] = {
     s.name: s
     for s in (
-        _spec(
-            "customers", "csv", "customer_id",
-            "customer_id first_name last_name email city region_id segment signup_date updated_at",
+        SourceSpec(
+            "customers", "csv", ("customer_id",),
+            ("customer_id", "first_name", "last_name", "email", "city", "region_id", "segment", "signup_date", "updated_at"),
         ),
-        _spec("regions", "csv", "region_id", "region_id region_name country"),
-        _spec(
-            "orders", "ndjson", "order_id",
-            "order_id customer_id order_ts status total_amount_cents currency updated_at",
+        SourceSpec(
+            "regions", "csv", ("region_id",),
+            ("region_id", "region_name", "country"),
+        ),
+        SourceSpec(
+            "orders", "ndjson", ("order_id",),
+            ("order_id", "customer_id", "order_ts", "status", "total_amount_cents", "currency", "updated_at"),
             watermark="updated_at", quarantined=True,
         ),
-        _spec(
-            "returns", "ndjson", "return_id",
-            "return_id order_item_id returned_at reason quantity updated_at",
+        SourceSpec(
+            "returns", "ndjson", ("return_id",),
+            ("return_id", "order_item_id", "returned_at", "reason", "quantity", "updated_at"),
             watermark="returned_at", quarantined=True,
         ),
-        _spec("products", "api", "product_id", "product_id name category price_cents active brand"),
-        _spec(
-            "order_items", "rdbms", "item_id",
-            "item_id order_id product_id quantity unit_price_cents updated_at", watermark="updated_at",
+        SourceSpec(
+            "products", "api", ("product_id",),
+            ("product_id", "name", "category", "price_cents", "active", "brand"),
+        ),
+        SourceSpec(
+            "order_items", "rdbms", ("item_id",),
+            ("item_id", "order_id", "product_id", "quantity", "unit_price_cents", "updated_at"),
+            watermark="updated_at",
         ),
-        _spec(
-            "payments", "rdbms", "payment_id",
-            "payment_id order_id amount_cents status method event_ts updated_at", watermark="updated_at",
+        SourceSpec(
+            "payments", "rdbms", ("payment_id",),
+            ("payment_id", "order_id", "amount_cents", "status", "method", "event_ts", "updated_at"),
+            watermark="updated_at",
         ),
-        _spec(
-            "inventory_levels", "rdbms", "product_id warehouse_id",
-            "product_id warehouse_id stock_on_hand reorder_point updated_at", watermark="updated_at",
+        SourceSpec(
+            "inventory_levels", "rdbms", ("product_id", "warehouse_id"),
+            ("product_id", "warehouse_id", "stock_on_hand", "reorder_point", "updated_at"),
+            watermark="updated_at",
         ),
     )
 }

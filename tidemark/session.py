@@ -7,7 +7,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch: dict[str, str] = {}
-_input_bytes: dict[str, int] = {}
 
 
 def build_session(
@@ -34,65 +33,82 @@ def build_session(
     return builder.getOrCreate()
 
 
-# Bytes a reduce task should get, how far parquet unfolds, and the most partitions one shuffle may open.
+# Bytes a reduce task should get, and how far parquet unfolds.
 _TASK_BYTES = 128 * 1024 * 1024
 _EXPANSION = 3
-_MOST_PARTITIONS = 40_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_set_here: dict[str, str] = {}
 
 
 def partitions_for(stored: int) -> int:
     """Shuffle partitions for so many bytes of parquet."""
-    return max(1, min(-(-stored * _EXPANSION // _TASK_BYTES), _MOST_PARTITIONS))
+    return max(1, -(-stored * _EXPANSION // _TASK_BYTES))
 
 
 def fit_to_input(spark: SparkSession, folder: str) -> None:
-    """Size shuffles for the data in ``folder``, on a session handed in from outside.
+    """Size shuffles for the largest table in ``folder``, on a session handed in from outside.
 
-    Shuffles open as many partitions as the input calls for, never fewer than the session's setting, and
+    Shuffles open as many partitions as that table calls for, never fewer than the session's setting, and
     adaptive execution merges small ones back. A skewed join is split even where the plan above it then
-    needs one more exchange. Settings the caller made are left alone.
+    needs one more exchange. A setting the caller made is left alone; one made here for an earlier folder
+    is made anew.
     """
-    conf = spark.conf
-    if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
-        wanted = partitions_for(input_bytes(spark, folder))
+    conf, app_id = spark.conf, spark.sparkContext.applicationId
+    now = conf.get(_INITIAL, None)
+    if now is None or now == _set_here.get(app_id):
+        wanted = max([0, *(partitions_for(size) for size in table_bytes(spark, folder))])
         if wanted > int(conf.get("spark.sql.shuffle.partitions")):
-            conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+            conf.set(_INITIAL, str(wanted))
+            _set_here[app_id] = str(wanted)
+        elif now is not None:
+            conf.unset(_INITIAL)
     forced = "spark.sql.adaptive.forceOptimizeSkewedJoin"
     if conf.get(forced) != "true":
         conf.set(forced, "true")
 
 
-# Inputs up to this size may be redistributed before use.
-_SMALL_INPUT = 1 << 30
-_LEAST_TASK_BYTES = 1 << 19
-
-
 def stored_bytes(spark: SparkSession, path: str) -> int:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """``stored_bytes`` of an input, listed once: inputs do not change under an application."""
-    if path not in _input_bytes:
-        _input_bytes[path] = stored_bytes(spark, path)
-    return _input_bytes[path]
+def table_bytes(spark: SparkSession, folder: str) -> list[int]:
+    """Stored bytes of each table in a folder of tables."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [fs.getContentSummary(entry.getPath()).getLength() for entry in fs.listStatus(location)]
+
+
+def input_state(spark: SparkSession, folder: str) -> str:
+    """Changes whenever a file under a folder of tables is added, removed or rewritten: from one listing."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
+    number = size = latest = 0
+    while files.hasNext():
+        status = files.next()
+        number, size, latest = number + 1, size + status.getLen(), max(latest, status.getModificationTime())
+    return f"{number} {size} {latest}"
+
+
+INPUT_PARTITIONS = "spark.tidemark.inputPartitions"
 
 
-def spread_small(spark: SparkSession, scan: DataFrame, path: str) -> DataFrame:
-    """A small input in one row group is one task, whatever the number of cores. Up to 1 GB it is
-    dealt out to them; larger inputs bring enough splits and are returned as they are."""
-    size = input_bytes(spark, path)
-    parts = min(spark.sparkContext.defaultParallelism, size // _LEAST_TASK_BYTES)
-    return scan.repartition(parts) if size <= _SMALL_INPUT and parts > 1 else scan
+def dealt_out(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """``scan`` over as many partitions as the session's ``spark.tidemark.inputPartitions`` says; as it is read
+    where that is unset. For small inputs in one row group, which are one task on any number of cores."""
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return scan.repartition(int(parts)) if parts else scan
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates. The cluster names it in ``spark.checkpoint.dir``; only where
-    that is unset (tests, one machine) a temporary folder of this application is used."""
+    """Folder for written intermediates. The cluster names it in ``spark.checkpoint.dir``; where that is
+    unset, a session on one machine (``local``) uses a temporary folder, and any other fails: executors
+    would write to disks of their own, and reads would miss rows."""
     app_id = spark.sparkContext.applicationId
     if app_id not in _scratch:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = configured.rstrip("/") if configured else tempfile.mkdtemp(prefix="tidemark-")
         _scratch[app_id] = f"{base}/tidemark-{app_id}"
     return _scratch[app_id]

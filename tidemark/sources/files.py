@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import intake
 from tidemark.schemas import SourceSpec
 from tidemark.session import shared_dir
 
-# About 200 bytes each: a file path and two numbers.
-BROADCAST_SPLITS = 1_000_000
-
 ROW_NUMBER = "source_row_number"
 FILE = "source_file"
 
@@ -23,50 +23,68 @@ def number_rows(scan: DataFrame, first: int = 1) -> DataFrame:
 
     Within one split, ``monotonically_increasing_id`` grows in reading order, so a row's place in its
     split is the distance to the split's first id. Adding the row counts of the file's earlier splits
-    gives the place in the file. Only the per-split table is windowed: one small row per split, written
-    to shared storage in a first pass over the files. It is broadcast where its row count allows, so that
-    the second pass does not shuffle the lines; beyond that they are joined by (file, split start). Both
-    passes run over one listing of the files, which Spark packs into the same tasks each time.
+    gives the place in the file.
+
+    The files are read once. Rows with their file, split and id are written to shared storage, and both
+    the offsets of the splits and the result are read from there: how Spark cuts files into splits depends
+    on the cores it has at the time, so two scans of the files may differ. Only the per-split table is
+    windowed, one small row per split; a row whose split has no offset is an error, not a row less.
     """
     located = scan.select(
         "*",
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias("_split"),
     ).withColumn("_id", F.monotonically_increasing_id())
+    spark = scan.sparkSession
+    folder = f"{shared_dir(spark)}/numbered/{uuid.uuid4().hex}"
+    located.write.parquet(f"{folder}/rows")
+    rows = spark.read.schema(located.schema).parquet(f"{folder}/rows")
     earlier = Window.partitionBy(FILE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    per_split = (
-        located.groupBy(FILE, "_split")
+    (
+        rows.groupBy(FILE, "_split")
         .agg(F.min("_id").alias("_first_id"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first_id"))
-        .drop("_rows", "_first_id")
+        .select(FILE, "_split", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first_id")).alias("_offset"))
+        .write.parquet(f"{folder}/splits")
     )
-    spark = scan.sparkSession
-    folder = f"{shared_dir(spark)}/splits/{uuid.uuid4().hex}"
-    per_split.write.parquet(folder)
-    splits = spark.read.parquet(folder)
-    if splits.count() <= BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
+    splits = spark.read.schema(f"{FILE} string, _split bigint, _offset bigint").parquet(f"{folder}/splits")
+    offset = F.coalesce(F.col("_offset"), F.raise_error(F.concat(F.lit("no offset for a split of "), FILE)).cast("bigint"))
     return (
-        located.join(splits, [FILE, "_split"])
-        .withColumn(ROW_NUMBER, F.col("_id") + F.col("_offset") + first)
+        rows.join(splits, [FILE, "_split"], "left")
+        .withColumn(ROW_NUMBER, F.col("_id") + offset + first)
         .drop("_id", "_offset", "_split")
     )
 
 
-def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, multiline: bool = False) -> DataFrame:
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by the columns that their first line names."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    first = lines.groupBy(FILE).agg(F.min_by("value", F.struct("_split", "_id")).alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():  # one row per file
+        found.setdefault(tuple(next(csv.reader([row.header]))), []).append(row[FILE])
+    return found
+
+
+def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, multiline: bool = True) -> DataFrame:
     """All-text CSV with a header: empty cells are NULL, surplus cells dropped, data rows count from 2.
 
-    ``multiline`` allows line breaks inside quotes, at the price that a file is no longer split.
-    Columns are matched by header name, so their order in the file does not matter.
+    Line breaks inside quotes belong to the cell; ``multiline=False`` forbids them, and then large files
+    are split. Columns are matched by name, for each file by its own header.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    header = reader.csv(path).columns
-    declared = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    numbered = number_rows(reader.schema(declared).csv(path), first=2)
-    return numbered.select(
-        *[(F.col(c) if c in header else F.lit(None).cast("string")).alias(c) for c in spec.payload],
-        FILE, ROW_NUMBER,
-    )
+    scans = []
+    for header, paths in _headers(spark, path).items():
+        names = [name if name and name not in header[:i] else f"_surplus{i}" for i, name in enumerate(header)]
+        declared = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        scans.append(reader.schema(declared).csv(sorted(paths)).select(
+            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in spec.payload], "_metadata"
+        ))
+    if not scans:
+        return spark.createDataFrame([], T.StructType([*spec.payload_schema.fields, T.StructField(FILE, T.StringType()), T.StructField(ROW_NUMBER, T.LongType())]))
+    numbered = [number_rows(scan, first=2).select(*spec.payload, FILE, ROW_NUMBER) for scan in scans]
+    return reduce(DataFrame.unionByName, numbered)
 
 
 def scan_ndjson_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
@@ -79,7 +97,10 @@ def scan_ndjson_lines(spark: SparkSession, path: str, numbered: bool = True) ->
 
 
 def scan_json_array(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """A landed snapshot document: one JSON array of objects per file. Fields a document lacks are NULL.
-    A document that is no array of objects fails the job."""
-    reader = spark.read.schema(spec.payload_schema).option("multiLine", True).option("mode", "FAILFAST")
-    return number_rows(reader.json(path))
+    """A landed snapshot document: one JSON array of objects per file, numbered by place. Fields a document
+    lacks are NULL. A document that is anything else, say an error report, fails the job."""
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias(FILE), F.trim("value", F.lit(intake.WHITESPACE)).alias("_document"))
+    parsed = whole.select(FILE, F.inline(F.array(intake.json_document(F.col("_document"), spec.payload_schema))), F.col("_document").startswith("[").alias("_array"))
+    sound = F.col("_array") & intake.is_complete(F.col("_records"), F.col("_end"))
+    records = F.when(sound, F.col("_records")).otherwise(F.raise_error(F.concat(FILE, F.lit(" is not a JSON array of objects"))))
+    return parsed.select(FILE, F.posexplode(records).alias("_at", "_record")).select("_record.*", FILE, (F.col("_at") + 1).cast("bigint").alias(ROW_NUMBER))

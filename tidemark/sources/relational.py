@@ -9,30 +9,32 @@ FETCH_ROWS = 10_000
 
 
 def jdbc_options(
-    url: str, table: str, split_column: str | None = None, bounds: tuple | None = None, splits: int = 1
+    url: str, table: str, split_column: str, bounds: tuple, splits: int = 16
 ) -> dict[str, str]:
-    """Reader options; with a split column the table is read in parallel ranges of it."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(FETCH_ROWS)}
-    if split_column is not None:
-        if bounds is None:
-            raise ValueError("a split column needs its lower and upper bound")
-        options |= {
-            "partitionColumn": split_column, "numPartitions": str(splits),
-            "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]),
-        }
-    return options
+    """Reader options: the table is read in parallel ranges of the split column. Without a column and its
+    bounds the whole table would come through one task, so both must be given."""
+    if not split_column or bounds is None or None in bounds:
+        raise ValueError("a relational scan needs a split column with its lower and upper bound")
+    return {
+        "url": url, "dbtable": table, "fetchsize": str(FETCH_ROWS), "partitionColumn": split_column,
+        "numPartitions": str(splits), "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]),
+    }
 
 
 def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
 
 
-def increment(table: DataFrame, columns: list[str], mark_column: str, since=None) -> DataFrame:
+def increment(table: DataFrame, columns: list[str], mark_column: str, since=None, with_unmarked: bool = False) -> DataFrame:
     """Only the declared columns and only rows above the mark. Both are plain DataFrame steps, so they
     reach the source: a JDBC table receives them as its WHERE clause and column list, a file scan as
     pushed filters and read schema."""
     rows = table.select(*columns)
-    return rows if since is None else rows.where(F.col(mark_column) > F.lit(since))
+    if since is None:
+        return rows
+    # A stored mark is text; the comparison stays one of native values, which the source can take over.
+    newer = F.col(mark_column) > F.lit(since).cast(table.schema[mark_column].dataType)
+    return rows.where(newer | F.col(mark_column).isNull() if with_unmarked else newer)
 
 
 def as_text(df: DataFrame) -> DataFrame:

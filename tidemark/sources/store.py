@@ -38,9 +38,10 @@ _COMMITS = "committed_at timestamp_ntz, run_no bigint, source_name string, batch
 
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Replace the partitions that occur in ``df``, and no others."""
+    """Replace the partitions that occur in ``df``, and no others. Rebalanced, so that a partition gets few
+    files of an even size, a large one several."""
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by).parquet(path)
     )
 
@@ -62,6 +63,12 @@ class RawStore:
     def _at(self, *parts: str) -> str:
         return "/".join((self.root.rstrip("/"), *parts))
 
+    def stage(self, df: DataFrame, run_id: str) -> DataFrame:
+        """A small intermediate of one run, written and read back."""
+        path = self._at("runs", run_id)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # Raw batches and rejects
 
     def write_batch(self, rows: DataFrame, spec: SourceSpec) -> None:

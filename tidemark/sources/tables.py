@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import upsert
 from tidemark.sources.store import read_or_empty, write_partitions
@@ -61,40 +62,74 @@ class VersionedTable:
 
 
 def merge_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, staging: str
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, staging: str,
+    order_by: str | None = None, moves: bool = True,
 ) -> int:
     """Upsert ``source`` into the partitioned parquet table at ``path``, rewriting only partitions that
     hold an old or a new row of a merged key. Returns how many were rewritten.
 
+    Columns that only the target or only the source has are kept. With ``order_by``, a source row that is
+    older than the target's row of its key is left out. An empty text as partition value is NULL.
+
+    ``moves=True`` looks for merged keys in the key column of the whole target, as a row may change its
+    partition. Where that cannot happen (a partition by creation date), ``moves=False`` reads only the
+    partitions that the source names.
+
     Source and merged rows are first written to ``staging`` (a fresh folder on shared storage): the
-    source because it is used three times, the merged rows because a path cannot be overwritten while
-    it is read, and so that a broken switch can be repeated from there. Rows that change partition are
-    handled exactly: a partition they leave empty is cleared by name.
+    source because it is used several times, the merged rows because a path cannot be overwritten while
+    it is read, and so that a broken switch can be repeated from there. Partitions are replaced one by one;
+    readers that must not see some new and some old ones use ``VersionedTable``.
     """
     keys = list(keys)
-    schema = source.schema
-    source.write.mode("overwrite").parquet(f"{staging}/source")
-    source = spark.read.schema(schema).parquet(f"{staging}/source")
-    target = read_or_empty(spark, path, schema)
-    old = target.join(source.select(*keys), keys, "left_semi").select(partition)
-    new = source.select(partition)
-    touched = [r[0] for r in old.unionByName(new).distinct().collect()]  # one value per partition
-    if not touched:
+    if source.schema[partition].dataType.typeName() == "string":
+        source = source.withColumn(partition, F.nullif(F.col(partition), F.lit("")))
+    target = _table(spark, path, source, partition)
+    new_rows = source if order_by is None else _not_older(source, target, keys, order_by)
+    new_rows.write.mode("overwrite").parquet(f"{staging}/source")
+    source = spark.read.schema(source.schema).parquet(f"{staging}/source")
+    new = source.select(partition).distinct()
+    if moves:
+        new = target.join(source.select(*keys), keys, "left_semi").select(partition).union(new).distinct()
+    names = new.select(partition, F.col(partition).cast("string").alias("_name")).collect()  # one row per partition
+    if not names:
         return 0
-    in_touched = F.col(partition).isin([t for t in touched if t is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(partition).isNull()
+    touched = F.col(partition).isin([r[0] for r in names if r[0] is not None])
+    if any(r[0] is None for r in names):
+        touched = touched | F.col(partition).isNull()
     # Rebalanced so that each partition gets few files of an even size, a large one several.
-    result = upsert(target.where(in_touched), source, keys).hint("rebalance", partition)
+    result = upsert(target.where(touched), source, keys).hint("rebalance", partition)
     result.write.mode("overwrite").partitionBy(partition).parquet(f"{staging}/merged")
-    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
+    merged = spark.read.schema(result.schema).parquet(f"{staging}/merged")
     write_partitions(merged, path, partition)
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    for emptied in set(touched) - left:
-        _drop_partition(spark, f"{path}/{partition}={emptied}")
-    return len(touched)
+    left = {r[0] for r in merged.select(F.col(partition).cast("string")).distinct().collect()}
+    for name in {r["_name"] for r in names} - left:
+        _drop_partition(spark, path, partition, name)
+    return len(names)
+
+
+def _table(spark: SparkSession, path: str, source: DataFrame, partition: str) -> DataFrame:
+    """The target with all columns that its files have, its partition column typed as in the source; an
+    empty one where nothing was written yet."""
+    if not _exists(spark, path):
+        return source.where("false")
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = [source.schema[partition] if f.name == partition else f for f in found.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def _drop_partition(spark: SparkSession, folder: str) -> None:
+def _not_older(source: DataFrame, target: DataFrame, keys: list[str], order_by: str) -> DataFrame:
+    stored = target.select(*keys, F.col(order_by).alias("_stored"))
+    both = source.join(stored, keys, "left")
+    return both.where("_stored is null or " + f"`{order_by}` >= _stored").select(*source.columns)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _drop_partition(spark: SparkSession, path: str, partition: str, name: str | None) -> None:
+    """Delete a partition's folder, whose name is the value as text in Spark's own escaping."""
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(partition, name)
+    location = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.org.apache.hadoop.fs.Path(path), folder)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

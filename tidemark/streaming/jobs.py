@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import raw_excerpt
 from tidemark.operators import intake
 from tidemark.operators.dedup import latest_by_key
 from tidemark.schemas import LOOKBACK_DAYS, SourceSpec
@@ -50,7 +49,7 @@ def ingest_ndjson(
                 F.col("source_file").alias("_origin_file"),
                 F.when(bad, intake.MALFORMED).alias("_reject_reason"),
                 F.when(bad, "line is not a JSON object").alias("_reject_detail"),
-                F.when(bad, raw_excerpt("_line")).alias("_reject_record"),
+                F.when(bad, F.col("_line")).alias("_reject_record"),
                 F.when(bad, MALFORMED).otherwise(KEPT).alias("_outcome"),
                 F.lit(f"stream-{number:010d}").alias("_batch_id"),
             ),
@@ -93,12 +92,15 @@ def daily_counts(events: DataFrame, event_time: str, value: str, by: str, days:
 def upsert_stream(
     stream: DataFrame, path: str, keys: list[str], order_by: str, partition: str, checkpoint: str, staging: str
 ) -> StreamingQuery:
-    """Merge each micro-batch into a partitioned fact: newest row per key within the batch, then the
-    merge that rewrites touched partitions. A replayed batch merges the same rows again, to no effect."""
+    """Merge each micro-batch into a partitioned fact: the newest row per key of batch and table stays,
+    whatever the order in which versions arrive. Of rows alike in ``order_by`` the batch's wins, within a
+    batch the one with the greatest remaining columns. A replayed batch merges the same rows again, to no
+    effect."""
+    tiebreak = tuple(c for c in stream.columns if c not in (*keys, order_by))
 
     def merge(batch: DataFrame, number: int) -> None:
-        newest = latest_by_key(batch, keys, order_by, tiebreak=())
-        merge_partitions(batch.sparkSession, path, newest, keys, partition, f"{staging}/{number:010d}")
+        newest = latest_by_key(batch, keys, order_by, tiebreak=tiebreak)
+        merge_partitions(batch.sparkSession, path, newest, keys, partition, f"{staging}/{number:010d}", order_by=order_by)
 
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -119,7 +119,8 @@ BLOCKS["raw_inventory_levels"] = """
 
 BLOCKS["event_lines"] = """
     select case event_id % 500 when 3 then substr(line, 1, 20) when 4 then 'not-json' when 5 then '[1]'
-                when 6 then '  ' else line end as value,
+                when 6 then '  ' when 7 then line || ' xyz' when 8 then line || line
+                when 9 then replace(line, '"', '''') else line end as value,
         'dt=' || cast(ts as date) || '.ndjson' as source_file, event_id as source_row_number,
         event_id, user_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as iso, props
     from (select *, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type

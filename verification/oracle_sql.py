@@ -31,21 +31,28 @@ def _digest(columns: list[str]) -> str:
 
 _ORDER_COLUMNS = "order_sk order_id customer_sk order_date_sk status total_amount_cents currency order_ts updated_at".split()
 _ITEM_COLUMNS = "order_item_sk item_id order_sk product_sk quantity unit_price_cents line_amount_cents updated_at".split()
+_FACT_COLUMNS = {
+    "fct_orders": _ORDER_COLUMNS,
+    "fct_order_items": _ITEM_COLUMNS,
+    "fct_payments": ["payment_sk", "payment_id", "order_sk", "payment_date_sk", "amount_cents", "status", "method", "event_ts", "updated_at"],
+    "fct_returns": ["return_sk", "return_id", "order_item_sk", "return_date_sk", "reason", "quantity", "returned_at", "updated_at"],
+}
 
 _AGE = f"date_diff('second', last_ingested_at, {_NOW}) / 3600.0::double"
 
 SQL: dict[str, str] = {
     # Scans and sinks
-    "scan_csv_customers": f"select {_CUSTOMER_PAYLOAD} from raw_customers",
+    "scan_csv_customers": f"""
+        select {_CUSTOMER_PAYLOAD.replace("last_name", "last_name || case when customer_id::bigint % 50 = 0 then chr(10) || 'II' else '' end as last_name")}
+        from raw_customers""",
     "ndjson_parse_valid": """
         select source_file, source_row_number, cast(event_id as varchar) as event_id,
             cast(user_id as varchar) as user_id, event_type, iso as ts, replace(props, ' ', '') as props
-        from event_lines where event_id % 500 not in (3, 4, 5, 6)""",
+        from event_lines where event_id % 500 not between 3 and 9""",
     "ndjson_quarantine": "select * from malformed",
     "scan_ndjson_files": """
-        select count(*) as numbered_lines,
-            count(*) filter (trim(value) <> '' and json_type(try_cast(value as json)) = 'OBJECT') as valid_lines,
-            (select count(*) from malformed) as malformed_lines from event_lines""",
+        select value, source_file as day_file, row_number() over (partition by source_file order by event_id) as line_number
+        from event_lines""",
     "scan_json_array_products": f"""
         select {_PRODUCT_PAYLOAD.replace("brand", "case when (product_id::bigint // 1000) % 2 = 1 then brand end as brand")}
         from raw_products""",
@@ -184,14 +191,17 @@ SQL: dict[str, str] = {
             select *, lead(dbt_valid_from) over (partition by customer_id order by dbt_valid_from) as next_valid_from
             from snap_customer) where next_valid_from is not null""",
     "scd2_violations": """
-        select 'multiple_current' as issue, customer_id, cast(count(*) as varchar) as detail
-        from (select customer_id from stg_customers union all select customer_id from stg_customers_2)
-        group by customer_id having count(*) <> 1
-        union all
-        select 'validity_gap', customer_id, dbt_valid_from || ' -> ' || next_valid_from from (
-            select *, lead(dbt_valid_from) over (partition by customer_id order by dbt_valid_from) as next_valid_from
-            from snap_customer)
-        where next_valid_from is not null and dbt_valid_to - interval 1 day <> next_valid_from""",
+        select issue, customer_id, detail from (
+            select customer_id, 'validity_gap' as issue, concat_ws(' -> ', began, following) as detail
+            from (
+                select customer_id, dbt_valid_from as began, dbt_valid_to - interval 1 day as ended,
+                    lead(dbt_valid_from) over (partition by customer_id order by dbt_valid_from) as following
+                from snap_customer)
+            where ended <> following
+            union all by name
+            select customer_id, 'multiple_current' as issue, count(*)::varchar as detail
+            from (select customer_id from stg_customers union all select customer_id from stg_customers_2)
+            group by customer_id having count(*) > 1)""",
     "star_join": """
         select i.item_id, o.order_id, d.date, p.category, c.segment, g.region_name, g.country, i.line_amount_cents
         from fct_order_items i join fct_orders o using (order_sk) join dim_product p using (product_sk)
@@ -214,7 +224,7 @@ SQL: dict[str, str] = {
         select order_id, status, total_amount_cents, updated_at from stg_orders
         where updated_at > (select max(updated_at) from fct_orders where updated_at <= timestamp '2000-04-01') - interval 7 day""",
     "incremental_parity": f"""
-        select d.*, p.path from ({_digest(_ITEM_COLUMNS).format(table="fct_order_items")}) d,
+        select d.*, p.path from ({" union all ".join(f"select *, '{t}' as fact from ({_digest(c).format(table=t)})" for t, c in _FACT_COLUMNS.items())}) d,
             (values ('full'), ('incremental')) p(path)""",
     # Intermediate views and aggregates
     **_whole("int_customer_orders int_payment_status int_product_sales int_return_metrics"),
@@ -243,7 +253,7 @@ SQL: dict[str, str] = {
         from (select date, count(*) as orders, cast(sum(cast(round(net_revenue * 100) as bigint)) as bigint) as cents
               from mart_sales group by 1)""",
     "cohort_grid": """
-        select cohort_month, order_month, retention_rate from mart_customer_retention order by 1, 2 limit 500""",
+        select cohort_month, order_month, retention_rate from mart_customer_retention""",
     "top_products": """
         select product_id, category, units_sold, product_revenue, return_rate from mart_product_performance
         order by product_revenue desc, product_id limit 20""",
@@ -255,7 +265,7 @@ SQL: dict[str, str] = {
         select warehouse_id, count(*) as skus, count(*) filter (low_stock_flag) as low from mart_inventory group by 1""",
     "low_stock_items": """
         select product_id, warehouse_id, stock_on_hand, reorder_point, days_of_cover from mart_inventory
-        where low_stock_flag order by product_id, warehouse_id limit 20""",
+        where low_stock_flag""",
     "obs_pipeline_runs": "select * from pipeline_runs",
     "freshness_status": f"select *, {_AGE} as age_hours, {_AGE} > 26 as is_stale from pipeline_runs",
     "raw_counts": "select source_name, row_count from source_counts",
@@ -327,22 +337,26 @@ SQL: dict[str, str] = {
         select status as value, count(*) as violations from raw_orders
         where status not in ('placed', 'shipped', 'delivered', 'cancelled', 'returned') group by 1""",
     **{
-        f"dq_grain_{mart}": f"select {keys}, count(*) as copies from {mart} group by {keys} having count(*) > 1"
-        for mart, keys in (
-            ("mart_sales", "order_sk"), ("mart_customer_retention", "cohort_month, order_month"),
-            ("mart_product_performance", "product_sk"),
-            ("mart_returns", "return_date_sk, reason, category, region_name"),
-            ("mart_inventory", "product_id, warehouse_id"),
+        f"dq_grain_{mart}": f"select {keys}, 2::bigint as copies from {mart} where {twice}"
+        for mart, keys, twice in (
+            ("mart_sales", "order_sk", "order_id::bigint % 10 = 0"), ("mart_customer_retention", "cohort_month, order_month", "month(cohort_month) = 1"),
+            ("mart_product_performance", "product_sk", "product_id::bigint % 10 = 0"),
+            ("mart_returns", "return_date_sk, reason, category, region_name", "reason = 'damaged'"),
+            ("mart_inventory", "product_id, warehouse_id", "product_id::bigint % 10 = 0"),
         )
     },
-    "dq_net_le_gross": "select order_sk from mart_sales where net_revenue > gross_revenue",
-    "dq_status_leak": "select order_sk, status from mart_sales where status in ('cancelled', 'returned', 'placed')",
+    "dq_net_le_gross": "select order_sk from mart_sales where net_revenue > gross_revenue or order_id::bigint % 10 = 0",
+    "dq_status_leak": """
+        select order_sk, case when order_id::bigint % 10 = 0 then 'placed' else status end as status
+        from mart_sales where status in ('cancelled', 'returned', 'placed') or order_id::bigint % 10 = 0""",
     "dq_no_future": "select order_sk, order_ts from fct_orders where order_ts > timestamp '2001-01-01'",
     "dq_scd2_one_version": """
-        select o.order_id, count(c.customer_sk) as dim_matches from fct_orders o left join dim_customer c using (customer_sk)
+        select o.order_id, count(c.customer_sk) as dim_matches from fct_orders o left join (
+            select customer_sk, unnest(case customer_id::bigint % 10 when 0 then [] when 1 then [1, 2] else [1] end) from dim_customer
+        ) c using (customer_sk)
         group by 1 having count(c.customer_sk) <> 1""",
     "dq_scd2_structure": """
-        select customer_id from snap_customer where dbt_valid_from is null
+        select customer_id from snap_customer where customer_id::bigint % 10 in (0, 1) or dbt_valid_from is null
             or (dbt_valid_to is not null and dbt_valid_to <= dbt_valid_from)""",
     "dq_freshness": f"""
         select source_name, last_ingested_at, {_AGE} as age_hours,
@@ -388,7 +402,7 @@ SQL: dict[str, str] = {
               window w as (partition by _source_name order by _batch_id rows between 3 preceding and 1 preceding))""",
     # Streams
     "stream_ndjson_available_now": """
-        select case when event_id % 500 in (3, 4, 5) then 'malformed' else 'kept' end as outcome, count(*) as rows
+        select case when event_id % 500 in (3, 4, 5, 7, 8, 9) then 'malformed' else 'kept' end as outcome, count(*) as rows
         from event_lines where event_id % 500 <> 6 group by 1""",
     "stream_dedup": "select event_id, user_id, event_type, ts from events",
     "events_daily_window": """
@@ -424,41 +438,69 @@ def _checks() -> str:
         return f"(select count(*) from {text})"
 
     required = {
-        "fct_orders": "order_sk order_id customer_sk order_date_sk status total_amount_cents",
-        "fct_order_items": "order_item_sk item_id order_sk product_sk quantity unit_price_cents",
-        "fct_payments": "payment_sk payment_id order_sk payment_date_sk amount_cents status",
-        "fct_returns": "return_sk return_id order_item_sk return_date_sk reason quantity",
-        "dim_customer": "customer_sk customer_id region_sk segment dbt_valid_from is_current",
-        "dim_product": "product_sk product_id name category price_cents",
+        "raw_customers": ["customer_id"], "raw_regions": ["region_id"],
+        "raw_orders": ["order_id", "customer_id", "order_ts", "status", "total_amount_cents", "updated_at"],
+        "raw_returns": ["return_id", "order_item_id", "returned_at", "reason"], "raw_products": ["product_id", "category"],
+        "raw_order_items": ["item_id", "order_id"], "raw_payments": ["payment_id", "order_id"],
+        "raw_inventory_levels": ["product_id", "warehouse_id", "stock_on_hand"],
+        "stg_customers": ["customer_id", "region_id", "signup_date", "updated_at"],
+        "stg_regions": ["region_id", "region_name", "country"],
+        "stg_orders": ["order_id", "customer_id", "order_ts", "status", "total_amount_cents", "updated_at"],
+        "stg_returns": ["return_id", "order_item_id", "returned_at", "quantity"],
+        "stg_products": ["product_id", "category", "price_cents", "active"],
+        "stg_order_items": ["item_id", "order_id", "product_id", "quantity", "unit_price_cents", "line_amount_cents"],
+        "stg_payments": ["payment_id", "order_id", "amount_cents", "event_ts", "updated_at"],
+        "stg_inventory_levels": ["product_id", "warehouse_id", "stock_on_hand", "reorder_point", "updated_at"],
+        "dim_region": ["region_sk", "region_id", "region_name", "country"],
+        "dim_product": ["product_sk", "product_id", "name", "category", "price_cents", "active"],
+        "dim_date": ["date_sk", "date", "year", "month"],
+        "dim_customer": ["customer_sk", "customer_id", "first_name", "last_name", "region_sk", "segment", "signup_date", "dbt_valid_from", "is_current"],
+        "fct_orders": ["order_sk", "order_id", "customer_sk", "order_date_sk", "status", "total_amount_cents", "order_ts", "updated_at"],
+        "fct_order_items": ["order_item_sk", "item_id", "order_sk", "product_sk", "quantity", "unit_price_cents", "line_amount_cents", "updated_at"],
+        "fct_payments": ["payment_sk", "payment_id", "order_sk", "payment_date_sk", "amount_cents", "status", "event_ts", "updated_at"],
+        "fct_returns": ["return_sk", "return_id", "order_item_sk", "return_date_sk", "reason", "quantity", "returned_at", "updated_at"],
+        "mart_sales": ["order_sk", "order_id", "date", "region_name", "gross_revenue", "net_revenue"],
+        "mart_customer_retention": ["cohort_month", "customers", "retention_rate"],
+        "mart_product_performance": ["product_sk", "product_id", "product_revenue", "units_sold", "return_rate"],
+        "mart_returns": ["return_date_sk", "reason", "category", "total_returned_units", "total_returned_revenue"],
+        "mart_inventory": ["product_sk", "warehouse_id", "stock_on_hand", "low_stock_flag"],
     }
     rows = [
         row(f"not_null:{t}.{c}", "error", count(f"{t} where {c} is null"))
-        for t, columns in required.items() for c in columns.split()
+        for t, columns in required.items() for c in columns
     ]
+    order, paid = "'placed', 'shipped', 'delivered', 'cancelled', 'returned'", "'pending', 'settled', 'failed', 'refunded'"
+    how, why = "'card', 'paypal', 'bank_transfer'", "'wrong_item', 'damaged', 'not_as_described', 'better_price', 'changed_mind'"
     accepted = (
-        ("fct_orders", "status", "'placed', 'shipped', 'delivered', 'cancelled', 'returned'"),
-        ("fct_orders", "currency", "'USD'"),
-        ("fct_payments", "status", "'pending', 'settled', 'failed', 'refunded'"),
-        ("fct_payments", "method", "'card', 'paypal', 'bank_transfer'"),
-        ("fct_returns", "reason", "'wrong_item', 'damaged', 'not_as_described', 'better_price', 'changed_mind'"),
-        ("dim_customer", "segment", "'consumer', 'corporate'"),
+        ("stg_customers", "segment", "'consumer', 'corporate'"), ("stg_orders", "status", order), ("stg_orders", "currency", "'USD'"),
+        ("stg_returns", "reason", why), ("stg_payments", "status", paid), ("stg_payments", "method", how),
+        ("dim_customer", "segment", "'consumer', 'corporate'"), ("dim_customer", "is_current", "true, false"),
+        ("fct_orders", "status", order), ("fct_orders", "currency", "'USD'"), ("fct_payments", "status", paid),
+        ("fct_payments", "method", how), ("fct_returns", "reason", why), ("mart_inventory", "low_stock_flag", "true, false"),
     )
     rows += [row(f"accepted_values:{t}.{c}", "error", count(f"{t} where {c} not in ({v})")) for t, c, v in accepted]
     keys = (
-        ("fct_orders", "order_sk"), ("fct_order_items", "order_item_sk"), ("fct_payments", "payment_sk"),
-        ("fct_returns", "return_sk"), ("dim_customer", "customer_sk"), ("dim_product", "product_sk"),
+        ("raw_customers", "customer_id"), ("raw_regions", "region_id"), ("raw_products", "product_id"), ("stg_customers", "customer_id"), ("stg_regions", "region_id"), ("stg_orders", "order_id"), ("stg_returns", "return_id"),
+        ("stg_products", "product_id"), ("stg_order_items", "item_id"), ("stg_payments", "payment_id"), ("dim_region", "region_sk"),
+        ("dim_region", "region_id"), ("dim_product", "product_sk"), ("dim_product", "product_id"), ("dim_date", "date_sk"), ("dim_date", "date"),
+        ("dim_customer", "customer_sk"), ("fct_orders", "order_sk"), ("fct_orders", "order_id"), ("fct_order_items", "order_item_sk"),
+        ("fct_order_items", "item_id"), ("fct_payments", "payment_sk"), ("fct_payments", "payment_id"), ("fct_returns", "return_sk"),
+        ("fct_returns", "return_id"), ("mart_sales", "order_sk"), ("mart_product_performance", "product_sk"),
     )
     rows += [
         row(f"unique:{t}.{k}", "error", count(f"(select {k} from {t} where {k} is not null group by 1 having count(*) > 1)"))
         for t, k in keys
     ]
     related = (
-        ("fct_orders", "customer_sk", "dim_customer"), ("fct_order_items", "order_sk", "fct_orders"),
-        ("fct_order_items", "product_sk", "dim_product"), ("fct_payments", "order_sk", "fct_orders"),
-        ("fct_returns", "order_item_sk", "fct_order_items"), ("dim_customer", "region_sk", "dim_region"),
+        ("stg_customers", "region_id", "stg_regions", "region_id"), ("dim_customer", "region_sk", "dim_region", "region_sk"),
+        ("fct_orders", "customer_sk", "dim_customer", "customer_sk"), ("fct_orders", "order_date_sk", "dim_date", "date_sk"),
+        ("fct_order_items", "order_sk", "fct_orders", "order_sk"), ("fct_order_items", "product_sk", "dim_product", "product_sk"),
+        ("fct_payments", "order_sk", "fct_orders", "order_sk"), ("fct_payments", "payment_date_sk", "dim_date", "date_sk"),
+        ("fct_returns", "order_item_sk", "fct_order_items", "order_item_sk"), ("fct_returns", "return_date_sk", "dim_date", "date_sk"),
     )
     rows += [
-        row(f"relationships:{c}.{k}", "error", count(f"{c} where {k} not in (select {k} from {p})")) for c, k, p in related
+        row(f"relationships:{c}.{k}", "error", count(f"{c} where {k} is not null and {k} not in (select {pk} from {p} where {pk} is not null)"))
+        for c, k, p, pk in related
     ]
     zero = [f"grain:{m}" for m in (
         "mart_sales", "mart_customer_retention", "mart_product_performance", "mart_returns", "mart_inventory"
