@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.operators.dedup import latest_by_key
+from tidemark.plans.publish import publish_marts
 from tidemark.sources.tables import VersionedTable, merge_partitions
 
 
@@ -125,3 +126,22 @@ def test_rows_that_cannot_move_are_sought_in_their_partition(spark, tmp_path, ro
     assert merge_partitions(spark, path, frame(spark, ("a", "m1", 10)), ["id"], "month", str(tmp_path / "s2"), moves=False) == 1
     got = spark.read.schema("id string, month string, v long").parquet(path).select("id", "month", "v")
     assert rows(got) == [("a", "m1", 10), ("b", "m2", 2)]
+
+
+def test_marts_are_published_together_or_not_at_all(spark, tmp_path):
+    state = {"rows": 1, "action": "none"}
+
+    def results():
+        return spark.createDataFrame([("grain:a", state["action"]), ("late", "warn")], "check_name string, action string")
+
+    def publish():
+        return publish_marts(spark, str(tmp_path), lambda mart: spark.range(state["rows"]), ["a", "b"], results)
+
+    def counts():
+        return [VersionedTable(spark, str(tmp_path / mart)).read().count() for mart in ("a", "b")]
+
+    assert publish() == [] and counts() == [1, 1]
+    state.update(rows=5, action="fail")
+    assert publish() == ["grain:a"] and counts() == [1, 1]
+    state.update(action="none")
+    assert publish() == [] and counts() == [5, 5]

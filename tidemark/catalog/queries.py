@@ -1015,6 +1015,21 @@ def publish_gate(w):
     )
 
 
+@query
+def publish_warehouse(w):
+    """All marts published after the whole check suite, then held back by one more check that fails."""
+    folder = _fresh(w, "published")
+    stops = [w.publish(folder, lambda: checks.check_results(_CheckTables(w)))]
+    failing = _count(w.table("mart_sales"), check_name="doctored", action="fail")
+    stops.append(w.publish(folder, lambda: failing))
+    published = [VersionedTable(w.spark, f"{folder}/{mart}") for mart in checks.GRAINS]
+    held = "; ".join(",".join(stop) for stop in stops)
+    return _union([
+        _count(table.read(), mart=mart).withColumns({"version": F.lit(table.current_version()).cast("bigint"), "stopped_by": F.lit(held)})
+        for mart, table in zip(checks.GRAINS, published)
+    ])
+
+
 @query
 def contract_check(w):
     """Rows of every contracted table, counted only if its schema keeps the contract."""

@@ -6,12 +6,14 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.inputs import FIRST_SNAPSHOT, SECOND_SNAPSHOT, Inputs
 from tidemark.plans import core, marts, staging
+from tidemark.plans.publish import publish_marts
 from tidemark.schemas import CONTRACTED_TABLES, contract
 from tidemark.operators.quality import enforce_contract
 from tidemark.session import fit_to_input, input_state, shared_dir
@@ -62,6 +64,10 @@ class Warehouse:
             with ThreadPoolExecutor(len(layer)) as pool:
                 list(pool.map(self.table, layer))
 
+    def publish(self, folder: str, results: Callable[[], DataFrame]) -> list[str]:
+        """Publish the built marts in ``folder`` if the checks let them pass; returns those that do not."""
+        return publish_marts(self.spark, folder, self.table, LAYERS[-1], results)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate to a folder of its own and read it back."""
         path = f"{self.root}/staged/{name}-{next(_stages)}"

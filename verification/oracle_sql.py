@@ -388,6 +388,10 @@ SQL: dict[str, str] = {
         from raw_orders where status in (' delivered', 'shipped ')""",
     "publish_gate": """
         select count(*) as rows, cast(sum(total_amount_cents) as bigint) as cents, cast(1 as bigint) as version from sold""",
+    "publish_warehouse": "\n        union all ".join(
+        f"select '{mart}' as mart, count(*) as rows, 1::bigint as version, '; doctored' as stopped_by from {mart}"
+        for mart in ("mart_sales", "mart_customer_retention", "mart_product_performance", "mart_returns", "mart_inventory")
+    ),
     "contract_check": "\n        union all ".join(
         f"select '{t}' as table_name, count(*) as rows from {t}" for t in BLOCKS
         if t.startswith(("dim_", "fct_", "mart_"))
