@@ -4,7 +4,7 @@ A text's terms are its distinct runs of letters and digits in lower case, held a
 terms whose share of all documents lies in a band: rarer ones change with every edit, commoner ones tell nothing. At
 most (mean number of distinct terms) / ``BAND[0]`` terms can reach the lower end, whatever the corpus; the lexicon is
 handed out as a bitmap of fixed size over term hashes, in which terms that share a slot share membership. The sorted
-terms of the text that are in the lexicon are hashed once for each of ``SUBSETS`` random sub-lexicons, from the whole down
+terms of the text that are in the lexicon are hashed once for each of several random sub-lexicons (``SUBSETS``), from the whole down
 to small ones, so that an edit leaves those hashes alone whose sub-lexicon has none of the changed terms.
 
 The likeness of two fingerprints is the share of equal hashes among the sub-lexicons that meet either text.
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hash_bitmap, in_bitmap, written
 
 BAND, SLOTS = (0.005, 0.1), 1 << 19
-#: Sub-lexicon k has the terms whose k-th hash ends in so many zero bits: all of the lexicon, an eighth, a sixteenth,
-#: and several of the smaller sizes, which survive larger edits.
-SUBSETS = (0, 3, 4, *(5,) * 5, *(bits for bits in (6, 7, 8, 9) for _ in range(8)))
+#: Sub-lexicons besides the whole one, as (bits, how many): a field of so many bits of its own in the term's hash says
+#: which of 2**bits random parts of the lexicon the term belongs to, and so many of these parts are used. Large parts
+#: notice every edit, small ones survive larger edits.
+SUBSETS = ((3, 1), (4, 1), (5, 4), (6, 8), (7, 8), (8, 8), (9, 8))
 
 
 def terms(text: Column) -> Column:
@@ -49,11 +50,35 @@ def fingerprint(text: Column, bitmap: Column, slots: int = SLOTS) -> Column:
     every = F.sort_array(terms(text))
     inside = F.filter(every, lambda t: in_bitmap(bitmap, t, slots))
     used = F.when(F.size(inside) > 0, inside).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text)))
-    return F.transform(F.array(used), lambda own: F.array(*(_subset_hash(own, k, bits) for k, bits in enumerate(SUBSETS))))[0]
+    return _once(used, _subset_hashes)
 
 
-def _subset_hash(own: Column, k: int, bits: int) -> Column:
-    part = F.filter(own, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(F.lit((1 << bits) - 1)) == 0)
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _subset_hashes(own: Column) -> Column:
+    groups, first = [F.array(_hash(own))], 0
+    for bits, used in SUBSETS:
+        def part(term: Column, first=first, bits=bits) -> Column:
+            return F.shiftrightunsigned(term, first).bitwiseAND(F.lit((1 << bits) - 1))
+
+        near = F.filter(own, _compared(part, lambda x, used=used: x < used))
+        groups.append(_once(near, _parts_of(part, used)))
+        first += bits
+    return F.flatten(F.array(*groups))
+
+
+def _compared(part, test):
+    return lambda term: test(part(term))
+
+
+def _parts_of(part, used: int):
+    return lambda near: F.array(*(_hash(F.filter(near, _compared(part, lambda x, k=k: x == k))) for k in range(used)))
+
+
+def _hash(part: Column) -> Column:
     return F.when(F.size(part) > 0, F.xxhash64(part))
 
 
@@ -100,7 +125,10 @@ def compare_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFram
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.coalesce(F.col("head"), F.lit("")), F.lit(1), half)
     )
-    paired = rows.join(heads.hint("merge"), "doc_id", "left").select("doc_id", "text", edited.alias("edited"), "next")
+    # Rows with an id are filtered as the join above filters them, so both joins read one exchange of the texts.
+    paired = rows.where("doc_id is not null").join(heads.hint("merge"), "doc_id", "left").select("doc_id", "text", edited.alias("edited"), "next")
+    alone = rows.where("doc_id is null").withColumns({"head": F.lit(""), "next": F.lit(None).cast("array<bigint>")})
+    paired = paired.union(alone.select("doc_id", "text", edited.alias("edited"), "next"))
     marked = paired.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("text"), bitmap).alias("own"), fingerprint(F.col("edited"), bitmap).alias("other"), "next",
