@@ -41,6 +41,18 @@ def test_every_piece_is_found_or_split_as_in_the_library(library):
             same(library, piece.replace(pieces.MARK, " "))
 
 
+def test_pairs_stay_as_all_merges_leave_them():
+    model, draw = pieces.loaded(pieces.default_path()), random.Random(2)
+    tokens = [p for p in model.ids if p in model.parts or len(p) == 1]
+    near = {t[:k] for t in tokens for k in range(1, len(t))} & set(tokens)
+    for _ in range(20_000):
+        left, right = draw.choice(tokens), draw.choice(tokens)
+        assert model.stays(left, right) == (model._merged(left + right) == [left, right])
+    for left in draw.sample(sorted(near), 1500):
+        for right in draw.sample(tokens, 3) + ["▁", "▁▁", "s", "e"]:
+            assert model.stays(left, right) == (model._merged(left + right) == [left, right]), (left, right)
+
+
 def test_columns(spark, library):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)], "doc_id bigint, text string, IDS int")
     rows = encoding.encode(docs).collect()
@@ -58,4 +70,4 @@ def test_given_texts_and_a_full_cache(spark, library, monkeypatch):
     model = pieces.PieceModel(pieces.default_path())
     for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
         assert model.encode(r.text) == library.encode(r.text)
-    assert len(model.cache) <= 50 and len(model.pairs) <= 50
+    assert len(model.cache) <= 50 and model.pairs <= 50

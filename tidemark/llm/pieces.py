@@ -18,9 +18,11 @@ import ahocorasick
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-_CACHED_SEGMENTS, _CACHED_LENGTH, _CACHED_PAIRS = 300_000, 48, 1_000_000
+_CACHED_SEGMENTS, _CACHED_LENGTH, _CACHED_PAIRS = 300_000, 48, 500_000
 #: Runs where the cut at single spaces does not hold.
 _RUNS = re.compile(f"  |{MARK}")
+#: What follows a segment's last letter or digit.
+_TAIL = re.compile(r"(?<=\w)[^\w ]+$")
 _SEGMENTS = re.compile("\n?(?: +[^ \n]*|[^ \n]+)|\n")
 
 
@@ -74,17 +76,28 @@ class PieceModel:
         self.ids = {piece: i for piece, _, i in normal}
         self.scores = {piece: score for piece, score, _ in normal}
         self.bytes = {int(piece[3:5], 16): i for i, (piece, _, kind) in enumerate(self.pieces) if kind == BYTE}
+        #: How each piece that merges arrive at is made: its two parts. Other pieces never occur in an encoding.
+        self.parts: dict[str, tuple[str, str]] = {}
         self.automaton = ahocorasick.Automaton()
-        for piece, _, _ in normal:
-            self.automaton.add_word(piece, piece)
+        for piece, _, number in normal:
+            parts = self._merged(piece, whole=False)
+            if len(piece) == 1 or (len(parts) == 2 and "".join(parts) == piece):
+                self.automaton.add_word(piece, (piece, len(piece), {}, number))
+                if len(piece) > 1:
+                    self.parts[piece] = (parts[0], parts[1])
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs = 0  # remembered in the third place of the automaton's values, by the token on the left
+        #: Characters that stand side by side in some piece; a text may be cut between any others.
+        self.beside = {piece[k : k + 2] for piece, _, _ in normal for k in range(len(piece) - 1)}
+        self.numbers = {piece: str(i) for piece, i in self.ids.items()}
+        self.shown = {piece: piece.replace(MARK, " ") for piece in self.ids}
         self.cache: dict[str, tuple[str, str, int]] = {}
 
-    def _merged(self, text: str) -> list[str]:
-        """A short text after all merges: always the best-scored pair, of equal ones the leftmost."""
+    def _merged(self, text: str, whole: bool = True) -> list[str]:
+        """A short text after all merges: always the best-scored pair, of equal ones the leftmost. Without
+        ``whole`` the last two symbols are not merged."""
         symbols, scores = list(text), self.scores
-        while len(symbols) > 1:
+        while len(symbols) > (1 if whole else 2):
             best, at = None, -1
             for k in range(len(symbols) - 1):
                 score = scores.get(symbols[k] + symbols[k + 1])
@@ -95,33 +108,52 @@ class PieceModel:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def pair(self, left: str, right: str) -> bool:
-        """Whether the merges leave exactly ``left`` and ``right`` of the two written side by side. With nothing on
-        the left: whether they make ``right`` of its characters."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= _CACHED_PAIRS:
-                self.pairs.clear()
-            joined = left + right
-            if left and joined in self.ids:  # the two would merge at last
-                known = self.pairs[left, right] = False
+    def stays(self, left: str, right: str) -> bool:
+        """Whether the merges leave exactly ``left`` and ``right`` of the two written side by side.
+
+        Takes the two apart again, the later made first, and asks at each step whether what then met at the
+        boundary would have been merged before what was made instead. Of equal scores the left one is
+        merged first. Runs of the mark, whose pieces all have one score, are merged in full.
+        """
+        if right == MARK or left[-1:] == MARK and right[:1] == MARK:
+            return self._merged(left + right) == [left, right]
+        scores, parts = self.scores, self.parts
+        limit, equal_too = -float("inf"), True  # a pair at the boundary merges if it scores above (or as) this
+        while True:
+            score = scores.get(left + right)
+            if score is not None and (score > limit or (equal_too and score == limit)):
+                return False
+            of_left, of_right = parts.get(left), parts.get(right)
+            if of_left is None and of_right is None:
+                return True
+            if of_right is None or (of_left is not None and scores[left] < scores[right]):
+                limit, equal_too, left = scores[left], False, of_left[1]
             else:
-                known = self.pairs[left, right] = self._merged(joined) == ([left, right] if left else [right])
-        return known
+                limit, equal_too, right = scores[right], True, of_right[0]
+
+    def _pair(self, left: str, right: str, known: dict[str, bool]) -> bool:
+        """``stays``, remembered in ``known``. With nothing on the left, or a character that is no piece, any
+        token stays."""
+        if self.pairs >= _CACHED_PAIRS:
+            for _, _, remembered, _ in self.automaton.values():
+                remembered.clear()
+            self.pairs = 0
+        self.pairs += 1
+        known[left] = not left or self.stays(left, right)
+        return known[left]
 
     def tokens(self, segment: str) -> list[str]:
         """The tokens of a segment in which spaces are marks already; characters that are no piece are tokens too."""
-        size, pairs = len(segment), self.pairs
+        size = len(segment)
         last: list[str | None] = [None] * size
-        for end, piece in self.automaton.iter(segment):
-            before = end - len(piece)
+        for end, (piece, length, known, _) in self.automaton.iter(segment):
             if last[end] is not None:
                 continue
-            if before < 0:
-                left = ""  # all of the prefix is one piece
-            else:
-                left = last[before] or ""  # none: the character in front is no piece, and nothing merges with it
-            if pairs.get((left, piece)) or self.pair(left, piece):
+            before = end - length
+            # Nothing in front, or a character that is no piece: nothing merges with it.
+            left = (last[before] or "") if before >= 0 else ""
+            fits = known.get(left)
+            if fits or (fits is None and self._pair(left, piece, known)):
                 last[end] = piece
         out, at = [], size - 1
         while at >= 0:
@@ -162,8 +194,23 @@ class PieceModel:
         return self.piece_text(ids).removeprefix(" ")
 
     def _new(self, segment: str) -> tuple[str, str, int]:
-        ids = self.token_ids(self.tokens(segment.replace(" ", MARK)))
-        entry = ",".join(map(str, ids)), self.piece_text(ids), len(ids)
+        cut = _TAIL.search(segment)
+        if cut and segment[cut.start() - 1 : cut.start() + 1] not in self.beside:
+            entries = [self.cache.get(part) or self._entry(part) for part in (segment[: cut.start()], cut[0])]
+            entry = f"{entries[0][0]},{entries[1][0]}", entries[0][1] + entries[1][1], entries[0][2] + entries[1][2]
+            return self._remember(segment, entry)
+        return self._entry(segment)
+
+    def _entry(self, segment: str) -> tuple[str, str, int]:
+        tokens = self.tokens(segment.replace(" ", MARK))
+        try:  # the ids of pieces, and the texts of these ids
+            entry = ",".join([self.numbers[t] for t in tokens]), "".join([self.shown[t] for t in tokens]), len(tokens)
+        except KeyError:  # with characters that become bytes
+            ids = self.token_ids(tokens)
+            entry = ",".join(map(str, ids)), self.piece_text(ids), len(ids)
+        return self._remember(segment, entry)
+
+    def _remember(self, segment: str, entry: tuple[str, str, int]) -> tuple[str, str, int]:
         if len(segment) <= _CACHED_LENGTH:
             if len(self.cache) >= _CACHED_SEGMENTS:
                 self.cache.clear()
