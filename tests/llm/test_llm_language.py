@@ -59,12 +59,16 @@ def test_long_words_stay_in_range(sums):
     assert np.allclose(longer - long, long - short, rtol=1e-2)
 
 
-def test_words_add_up_whether_cached_or_not(sums, monkeypatch):
+def test_words_add_up_whether_cached_or_not(model, sums, monkeypatch):
     monkeypatch.setattr(language, "_CACHED_WORDS", 4)
-    words = [" a", " b", " a", "\nc", " d", " e", " f", " a"]
-    want = sum(sums.forward(w.replace(" ", pieces.MARK))[1] for w in words)
+    monkeypatch.setattr(language, "_GROUP_NEW", 3)
+    few = language.Segmentations(model, np.ones((3, len(model.pieces))) / len(model.pieces))
+    few.scaled = sums.scaled
+    texts = [[" a", " b", " a", "\nc"], [" d" + "e" * 60, " e", " f", " a", "\nc", "🙂é"], [], [" the"], [f" w{k}" for k in range(9)]]
+    want = [sum((sums.forward(w.replace(" ", pieces.MARK))[1] for w in words), np.zeros(3)) for words in texts]
     for _ in range(3):
-        assert np.allclose(sums.log(words), want)
+        assert np.allclose(few.logs_of(texts), want)
+        assert np.allclose(few.logs_of(texts[::-1]), want[::-1])
 
 
 def test_held_out_accuracy(spark):

@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import pieces
 from tidemark.llm.common import written
 
-SAMPLE, ROUNDS, UNDETERMINED = 1000, 2, "und"
+SAMPLE, ROUNDS, UNDETERMINED = 500, 2, "und"
 _SMOOTH, _UNKNOWN = 0.05, 1e-7
 #: Every probability is multiplied by this for each character, so that sums over a word stay in range.
 _PER_CHARACTER = 20.0
 _STRETCH = 64  # characters after which a long word's sums are scaled anew
-_CACHED_WORDS = 300_000
+_CACHED_WORDS, _CACHED_LENGTH = 400_000, 48
+_GROUP_WORDS, _GROUP_NEW = 150_000, 20_000  # words of the texts judged together, and new words summed together
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -49,19 +50,18 @@ class Segmentations:
         self.reach = int(max(len(p) for p in model.ids))
         self.columns: dict[int, list[float]] = {}
         self.cache: dict[str, int] = {}  # place in logs
-        self.logs = np.zeros((_CACHED_WORDS, self.languages)) if self.languages else None
+        self.logs = np.zeros((_CACHED_WORDS, self.languages))
+        self.characters = {c for c in model.ids if len(c) == 1}
 
     def matches(self, word: str) -> list[tuple[int, int, int]]:
         """(start, end, piece) of all pieces in the word, by end; piece -1 for a character that is none."""
-        found, ids, at = [], self.model.ids, 0
-        for end, piece in self.model.automaton.iter(word):
-            while at < end + 1 and word[at] not in ids:
-                found.append((at, at + 1, -1))
-                at += 1
-            at = max(at, end + 1)
-            found.append((end + 1 - len(piece), end + 1, ids[piece]))
-        found += [(k, k + 1, -1) for k in range(at, len(word)) if word[k] not in ids]
-        return sorted(found, key=lambda m: m[1])
+        found = []
+        for end, (_, length, _, piece) in self.model.automaton.iter(word):
+            found.append((end + 1 - length, end + 1, piece))
+        if not self.characters.issuperset(word):
+            found += [(k, k + 1, -1) for k, c in enumerate(word) if c not in self.characters]
+            found.sort(key=lambda m: m[1])
+        return found
 
     def forward(self, word: str) -> tuple[np.ndarray, np.ndarray]:
         """Sums for every prefix (in the scale of its stretch), and the logarithm of the whole, by language."""
@@ -77,25 +77,46 @@ class Segmentations:
             sums[end] += sums[start] * (scaled[piece] if piece >= 0 else unknown)
         return sums, logs + np.log(sums[-1]) - len(word) * np.log(_PER_CHARACTER)
 
-    def log(self, words: list[str]) -> np.ndarray:
-        """Logarithms for a text's words, added up."""
-        known = list(map(self.cache.get, words))
-        if None not in known:
-            return self.logs[known].sum(0)
-        total = self.logs[[k for k in known if k is not None]].sum(0)
-        for word in (w for w, k in zip(words, known) if k is None):
-            at = self.cache.get(word)
-            if at is not None:
-                total += self.logs[at]
-                continue
-            value = self.forward(word.replace(" ", pieces.MARK))[1]
-            total += value
-            if len(self.cache) >= _CACHED_WORDS:
-                self.cache.clear()
-            if len(word) <= 48:
-                self.cache[word] = at = len(self.cache)
-                self.logs[at] = value
-        return total
+    def forward_many(self, words: list[str]) -> np.ndarray:
+        """Logarithms of words of ``_CACHED_LENGTH`` characters at most, by language, all words in step."""
+        lengths = np.array([len(w) for w in words])
+        sums = np.zeros((lengths.max() + 1, len(words), self.languages))
+        sums[0] = 1
+        rows_of: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+        for row, word in enumerate(words):
+            for start, end, piece in self.matches(word):
+                found = rows_of.get((end, start))
+                if found is None:
+                    found = rows_of[end, start] = ([], [])
+                found[0].append(row), found[1].append(piece)
+        unknown = np.full((1, self.languages), _UNKNOWN * _PER_CHARACTER)
+        for end, start in sorted(rows_of):
+            rows, ids = map(np.array, rows_of[end, start])
+            weights = np.where((ids >= 0)[:, None], self.scaled[ids], unknown)
+            sums[end, rows] += sums[start, rows] * weights
+        return np.log(sums[lengths, np.arange(len(words))]) - lengths[:, None] * np.log(_PER_CHARACTER)
+
+    def logs_of(self, texts: list[list[str]]) -> np.ndarray:
+        """Logarithms of texts given as their words, by text and language."""
+        new = {w for words in texts for w in words if w not in self.cache}
+        if len(self.cache) + len(new) > _CACHED_WORDS:
+            self.cache.clear()
+            new = {w for words in texts for w in words}
+        rest = {w: self.forward(w.replace(" ", pieces.MARK))[1] for w in new if len(w) > _CACHED_LENGTH}
+        short = [w for w in new if len(w) <= _CACHED_LENGTH]
+        if len(self.cache) + len(short) > len(self.logs):  # one text may have any number of words
+            self.logs = np.vstack([self.logs, np.zeros((len(self.cache) + len(short) - len(self.logs), self.languages))])
+        for at in range(0, len(short), _GROUP_NEW):
+            group = short[at : at + _GROUP_NEW]
+            first = len(self.cache)
+            self.logs[first : first + len(group)] = self.forward_many([w.replace(" ", pieces.MARK) for w in group])
+            self.cache.update(zip(group, range(first, first + len(group))))
+        out = np.zeros((len(texts), self.languages))
+        for k, words in enumerate(texts):
+            out[k] = self.logs[[self.cache[w] for w in words if w not in rest]].sum(0) if rest else self.logs[list(map(self.cache.__getitem__, words))].sum(0)
+            if rest:
+                out[k] += sum((rest[w] for w in words if w in rest), np.zeros(self.languages))
+        return out
 
     def expected(self, word: str, language: int) -> Counter:
         """How often each piece is used in the word's segmentations, on average by their probability."""
@@ -124,7 +145,8 @@ def _stretches(word: str) -> Iterator[str]:
 def learn(spark: SparkSession, docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages, and their piece probabilities, from docs (doc_id, text, lang)."""
     taught = docs.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    share = taught.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    # Written, so that its size is known when the join is planned and texts stay where they are.
+    share = written(taught.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share")), "language-shares")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,15 +200,23 @@ def identify(spark: SparkSession, docs: DataFrame, teaches: Column, model_path:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Segmentations(pieces.loaded(path), probabilities)
         for batch in batches:
-            names, scores = [], []
-            for value in batch.column(1):
+            names, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
+            rows, texts, held = [], [], 0
+
+            def judge() -> None:
+                for row, logs in zip(rows, sums.logs_of(texts)):
+                    best = int(logs.argmax())
+                    names[row], scores[row] = languages[best], float(1 / np.exp(logs - logs[best]).sum())
+
+            for row, value in enumerate(batch.column(1)):
                 text = value.as_py() or ""
-                if not languages or not _LETTER.search(text):
-                    names.append(UNDETERMINED), scores.append(0.0)
-                    continue
-                logs = sums.log(sums.model.segments(text))
-                best = int(logs.argmax())
-                names.append(languages[best]), scores.append(float(1 / np.exp(logs - logs[best]).sum()))
+                if languages and _LETTER.search(text):
+                    rows.append(row), texts.append(sums.model.segments(text))
+                    held += len(texts[-1])
+                if held >= _GROUP_WORDS:
+                    judge()
+                    rows, texts, held = [], [], 0
+            judge()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(judged, "doc_id bigint, lang_pred string, score double")
