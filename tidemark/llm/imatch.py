@@ -114,7 +114,9 @@ def compare_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFram
     """One row for each row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next. The edited text has its last half replaced by as much of the next document's beginning."""
     bitmap = lexicon(docs, band)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # An id that is a bigint already stays the bare column: a renamed one would keep the joins below from sharing an exchange.
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     half = F.floor(F.char_length("text") / 2).cast("int")
     sizes = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(half).alias("half"))
     links = written(previous_documents(sizes), "imatch-links")
