@@ -13,7 +13,7 @@ import re
 import numpy as np
 import tiktoken
 
-_CACHED_WORDS, _CACHED_LENGTH = 400_000, 48
+_CACHED_WORDS, _CACHED_LENGTH = 200_000, 48
 #: White space for which the cut is not safe: runs, and kinds other than space and line feed.
 _UNSAFE = re.compile(r"[ \n][ \n]|[^\S \n]|[\x1c-\x1f]")
 
