@@ -59,6 +59,47 @@ def test_long_words_stay_in_range(sums):
     assert np.allclose(longer - long, long - short, rtol=1e-2)
 
 
+@pytest.mark.parametrize("n", [1, 24, 25, 48, 49, 57, 64, 65, 130, 5000])
+def test_runs_outside_the_vocabulary_stay_in_range(model, sums, n):
+    each = math.log(language._UNKNOWN)
+    assert "\ue000" not in model.ids
+    assert np.allclose(sums.forward("\ue000" * n)[1], n * each, rtol=1e-9)
+    assert np.allclose(sums.logs_of([["\ue000" * n]])[0], n * each, rtol=1e-9)
+    word = "▁the" + "\ue000" * n + "nation"
+    alone = sums.forward("▁the")[1] + sums.forward("nation")[1]
+    assert np.allclose(sums.forward(word)[1], alone + n * each, rtol=1e-9)
+    for lang in range(3):
+        parts = sums.expected("▁the", lang) + sums.expected("nation", lang)
+        used = sums.expected(word, lang)
+        assert set(used) == set(parts) and all(math.isclose(used[p], parts[p], rel_tol=1e-7) for p in used)
+    # Known characters that a large sample has not seen weigh less than unknown ones.
+    rare = language.Segmentations(model, np.full((2, len(model.pieces)), 1e-12))
+    han = "".join(sorted(c for c in rare.characters if "\u4e00" <= c <= "\u9fff"))[:40] * (n // 40 + 1)
+    assert np.isfinite(rare.forward(han[:n])[1]).all() and np.isfinite(rare.logs_of([[han[:n]]])).all()
+    assert all(math.isfinite(k) for k in rare.expected(han[:n], 0).values()) and sum(rare.expected(han[:n], 0).values()) > 0
+
+
+def test_stretches_do_not_change_sums(sums, monkeypatch):
+    words = ["▁" + "tion" * 10 + "é🙂x" * 8 + "nation,", "▁internationalisation" * 2, "x" * 130]
+    have = [(sums.forward(w)[1], sums.expected(w, 1)) for w in words]
+    many = sums.forward_many([w[:48] for w in words])
+    monkeypatch.setattr(language, "_STRETCH", 1000)
+    plain = sums.forward_many([w[:48] for w in words])
+    assert np.allclose(many, plain, rtol=1e-9)
+    for word, (logs, used) in zip(words, have):
+        assert np.allclose(logs, sums.forward(word)[1], rtol=1e-9)
+        want = sums.expected(word, 1)
+        assert set(used) == set(want) and all(math.isclose(used[p], want[p], rel_tol=1e-7) for p in used)
+
+
+def test_a_run_of_unknown_characters_leaves_the_other_words_their_say(spark):
+    taught = [(1, "the cat sat on the mat and the dog", "en"), (2, "der hund und die katze sind im haus", "de")]
+    runs = ["\ue000" * n for n in (57, 64, 65, 5000)]
+    rows = taught + [(10 + k, f"{run} der hund und die katze", "de") for k, run in enumerate(runs)] + [(20 + k, f"the dog and the cat {run}", None) for k, run in enumerate(runs)]
+    out = language.identify(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True)).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id in (1, 20, 21, 22, 23) else "de") and 0.5 < r.score <= 1 for r in out)
+
+
 def test_words_add_up_whether_cached_or_not(model, sums, monkeypatch):
     monkeypatch.setattr(language, "_CACHED_WORDS", 4)
     monkeypatch.setattr(language, "_GROUP_NEW", 3)

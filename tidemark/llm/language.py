@@ -18,6 +18,7 @@ column but the text enters a prediction.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ SAMPLE, ROUNDS, UNDETERMINED = 500, 2, "und"
 _SMOOTH, _UNKNOWN = 0.05, 1e-7
 #: Every probability is multiplied by this for each character, so that sums over a word stay in range.
 _PER_CHARACTER = 20.0
-_STRETCH = 64  # characters after which a long word's sums are scaled anew
+#: Characters after which a word's sums are scaled anew. One character may weigh as little as 1e-12, be it unknown (2e-6) or
+#: unseen in a large sample (1 / its pieces), and so many of them stay in the range of a float.
+_STRETCH = 24
 _CACHED_WORDS, _CACHED_LENGTH = 400_000, 48
 _GROUP_WORDS, _GROUP_NEW = 150_000, 20_000  # words of the texts judged together, and new words summed together
 _LETTER = re.compile(r"[^\W\d_]")
@@ -69,10 +72,10 @@ class Segmentations:
         sums[0] = 1
         logs, scaled, unknown, next_scaling = np.zeros(self.languages), self.scaled, _UNKNOWN * _PER_CHARACTER, _STRETCH
         for start, end, piece in self.matches(word):
-            if end > next_scaling:
-                top = sums[max(0, next_scaling - self.reach) : next_scaling + 1].max(0)
-                sums[max(0, next_scaling - self.reach) : next_scaling + 1] /= top
-                logs += np.log(top)
+            if end > next_scaling:  # every prefix has a sum, because every character is a piece or unknown
+                last = sums[next_scaling].copy()
+                sums[max(0, next_scaling - self.reach) : next_scaling + 1] /= last
+                logs += np.log(last)
                 next_scaling += _STRETCH
             sums[end] += sums[start] * (scaled[piece] if piece >= 0 else unknown)
         return sums, logs + np.log(sums[-1]) - len(word) * np.log(_PER_CHARACTER)
@@ -90,11 +93,18 @@ class Segmentations:
                     found = rows_of[end, start] = ([], [])
                 found[0].append(row), found[1].append(piece)
         unknown = np.full((1, self.languages), _UNKNOWN * _PER_CHARACTER)
+        logs, next_scaling = np.zeros((len(words), self.languages)), _STRETCH
         for end, start in sorted(rows_of):
+            if end > next_scaling:
+                longer = np.flatnonzero(lengths > next_scaling)
+                last = sums[next_scaling, longer]
+                sums[max(0, next_scaling - self.reach) : next_scaling + 1, longer] /= last
+                logs[longer] += np.log(last)
+                next_scaling += _STRETCH
             rows, ids = map(np.array, rows_of[end, start])
             weights = np.where((ids >= 0)[:, None], self.scaled[ids], unknown)
             sums[end, rows] += sums[start, rows] * weights
-        return np.log(sums[lengths, np.arange(len(words))]) - lengths[:, None] * np.log(_PER_CHARACTER)
+        return logs + np.log(sums[lengths, np.arange(len(words))]) - lengths[:, None] * np.log(_PER_CHARACTER)
 
     def logs_of(self, texts: list[list[str]]) -> np.ndarray:
         """Logarithms of texts given as their words, by text and language."""
@@ -127,6 +137,15 @@ class Segmentations:
             self.columns[language] = self.scaled[:, language].tolist()
         column = self.columns[language]
         weight = [column[p] if p >= 0 else _UNKNOWN * _PER_CHARACTER for _, _, p in matches]
+        if len(word) > _STRETCH:  # the same in logarithms
+            logs = [math.log(w) for w in weight]
+            steps = [(start, end, w) for (start, end, _), w in zip(matches, logs)]
+            ahead = _log_sums(steps, len(word), 0)
+            behind = _log_sums([(end, start, w) for start, end, w in sorted(steps, key=lambda x: -x[0])], len(word), len(word))
+            for (start, end, piece), w in zip(matches, logs):
+                if piece >= 0:
+                    out[piece] += math.exp(ahead[start] + w + behind[end] - ahead[-1])
+            return out
         for (start, end, _), w in zip(matches, weight):
             ahead[end] += ahead[start] * w
         for (start, end, _), w in sorted(zip(matches, weight), key=lambda x: -x[0][0]):
@@ -137,9 +156,15 @@ class Segmentations:
         return out
 
 
-def _stretches(word: str) -> Iterator[str]:
-    """A word for learning: in stretches whose sums stay in range."""
-    return (word[k : k + _STRETCH] for k in range(0, len(word), _STRETCH))
+def _log_sums(steps: list[tuple[int, int, float]], size: int, first: int) -> list[float]:
+    """Logarithms of the sums over all ways from place ``first`` to each place, by steps (from, to, logarithm of the
+    weight) in an order in which a place is reached in full before it is left."""
+    sums = [-math.inf] * (size + 1)
+    sums[first] = 0.0
+    for at, to, w in steps:
+        more, have = sums[at] + w, sums[to]
+        sums[to] = more if have == -math.inf else max(more, have) + math.log1p(math.exp(-abs(more - have)))
+    return sums
 
 
 def learn(spark: SparkSession, docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -175,9 +200,8 @@ def learn(spark: SparkSession, docs: DataFrame, path: str, sample: int = SAMPLE,
             for batch in batches:
                 for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
                     lang = place_of[lang]
-                    for part in _stretches(word.replace(" ", pieces.MARK)):
-                        for piece, k in sums.expected(part, lang).items():
-                            used[lang, piece] += n * k
+                    for piece, k in sums.expected(word.replace(" ", pieces.MARK), lang).items():
+                        used[lang, piece] += n * k
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in used], pa.int32()), pa.array([k[1] for k in used], pa.int32()), pa.array(list(map(float, used.values())), pa.float64())], names=["lang", "piece", "n"]
             )
