@@ -32,6 +32,28 @@ def test_ids_of_given_texts(library, spark):
     assert all(np.frombuffer(tokenizer.encode(t), "<u4").tolist() == library(t) for t in texts)
 
 
+@pytest.fixture(scope="module")
+def as_loaded():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "<|", " ", "  ", "\n", "a", "'s", "é", "the end", "<|ENDOFTEXT|>"]), max_size=12).map("".join))
+def test_added_tokens_in_a_text_have_their_own_ids(as_loaded, text):
+    assert np.frombuffer(byte_bpe.loaded(byte_bpe.default_path()).encode_document(text), "<u4").tolist() == as_loaded(text)
+
+
+def test_pieces_of_documents_with_added_tokens(spark, as_loaded):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y " * 400, "no token <|endoftext"]
+    assert as_loaded(texts[0]) == [64, 220, 50256, 275]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    for i, text in enumerate(texts):
+        tokens, own = [*as_loaded(text), packing.END_ID], [r for r in rows if r.doc_id == i]
+        assert sum(r.length for r in own) == len(tokens)
+        assert all(r.ids_crc32 == zlib.crc32(np.array(tokens[r.start : r.start + r.length], "<u4").tobytes()) and r.doc_tokens == len(tokens) for r in own)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 5000), max_size=60))
 def test_units_are_full(sizes):

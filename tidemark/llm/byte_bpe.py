@@ -3,11 +3,16 @@
 Pre-tokens of the public pattern never run over white space that follows something else, so a text may be cut in
 front of every space or line feed that has a character other than white space before it; the ids of the cut parts,
 joined, are the ids of the text. Most words occur many times, and only new ones reach the encoder.
+
+The tokenizer file's added tokens, such as the end-of-text mark, are found in a text first, as the library does by
+default; what stands between them is encoded on its own. They are read from the JSON file beside the ranks.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 
 import numpy as np
@@ -24,6 +29,18 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the added tokens in the JSON file beside the ranks at ``path``; none without such a file."""
+    path = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(token[flag] for token in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that are not matched as they stand are not supported")
+    return {token["content"]: token["id"] for token in added}
+
+
 class ByteBpe:
     def __init__(self, path: str):
         import public_tokenizers
@@ -32,6 +49,9 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
+        self.added = {token: np.asarray([i], "<u4").tobytes() for token, i in added_tokens(path).items()}
+        # Of tokens that begin at one place the longest counts.
+        self.between = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if self.added else None
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.encoding.encode_ordinary(text), "<u4").tobytes()
@@ -44,8 +64,15 @@ class ByteBpe:
             self.cache[word] = ids
         return ids
 
+    def encode_document(self, text: str) -> bytes:
+        """Ids as ``encode`` gives them, but for the added tokens in the text, which have their own."""
+        if not any(token in text for token in self.added):
+            return self.encode(text)
+        parts = self.between.split(text)  # every second one is an added token
+        return b"".join(self.added[part] if k % 2 else self.encode(part) for k, part in enumerate(parts))
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
+        """Ids as little-endian unsigned 32-bit numbers, all of the text being taken as plain text."""
         if not text:
             return b""
         if _UNSAFE.search(text):

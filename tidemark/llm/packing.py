@@ -129,7 +129,7 @@ def pack(
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
-                tokens.append(tokenizer.encode(text.as_py() or "") + end)
+                tokens.append(tokenizer.encode_document(text.as_py() or "") + end)
                 held += len(tokens[-1]) // 4
                 if held >= unit_tokens:
                     held = 0
