@@ -51,6 +51,26 @@ def test_terms_outside_the_band_do_not_matter(spark):
     assert rows[0].near_next < 1
 
 
+def test_copies_do_not_take_their_terms_out_of_the_lexicon(spark):
+    draw = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(400)]
+    texts = [" ".join(draw.sample(vocabulary, 25)) for _ in range(200)]
+    rows = texts + [texts[0]] * 100  # a third of the rows are copies
+    draw.shuffle(rows)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)] + [(1000 + i, t) for i, t in enumerate(texts[1:6])], "doc_id bigint, text string").repartition(4)
+    found = imatch.compare_edits(docs).join(docs, "doc_id").collect()
+    copies = [r for r in found if r.text == texts[0]]
+    others = [r for r in found if r.text != texts[0]]
+    mean = lambda rows, name: sum(r[name] for r in rows) / len(rows)
+    assert len({r.fingerprint for r in copies}) == 1 and len(copies) == 101
+    unlike = [r for r in copies if r.near_next < 1]
+    assert mean(unlike, "near_edited") > 0.6 * mean(others, "near_edited") > 2 * mean(unlike, "near_next")
+    # The lexicon is the one of the texts without their copies.
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    bitmap = lambda df: df.sparkSession.range(1).select(imatch.lexicon(df)).first()[0]
+    assert bitmap(docs) == bitmap(once)
+
+
 def test_small_edits_are_nearer_than_other_texts(spark):
     rows = queries.op3_imatch(spark, "/root/testdata/sf0.001").agg(F.avg("near_edited"), F.avg("near_next")).first()
     assert rows[0] > rows[1] + 0.05

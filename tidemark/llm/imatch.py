@@ -1,7 +1,7 @@
 """I-Match fingerprints with several randomised lexicons, in DataFrame functions only.
 
 A text's terms are its distinct runs of letters and digits in lower case, held as 64-bit hashes. The lexicon has the
-terms whose share of all documents lies in a band: rarer ones change with every edit, commoner ones tell nothing. At
+terms whose share of all distinct texts lies in a band, so that copies do not take their own terms out: rarer ones change with every edit, commoner ones tell nothing. At
 most (mean number of distinct terms) / ``BAND[0]`` terms can reach the lower end, whatever the corpus; the lexicon is
 handed out as a bitmap of fixed size over term hashes, in which terms that share a slot share membership. The sorted
 terms of the text that are in the lexicon are hashed once for each of several random sub-lexicons (``SUBSETS``), from the whole down
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_bitmap, in_bitmap, written
+from tidemark.llm.common import hash_bitmap, in_bitmap, slots_for, written
 
 BAND, SLOTS = (0.005, 0.1), 1 << 19
 #: Sub-lexicons besides the whole one, as (bits, how many): a field of so many bits of its own in the term's hash says
@@ -35,10 +35,18 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(runs, lambda t: F.xxhash64(t)))
 
 
+def distinct_texts(texts: DataFrame) -> tuple[DataFrame, int]:
+    """``texts`` without repeated rows, and their number by hash. Texts whose hash occurs once stay where they are."""
+    hashes = written(texts.groupBy(F.xxhash64("text").alias("hash")).count(), "imatch-hashes")
+    repeated = hashes.where("count > 1")
+    slots = slots_for(repeated.count())
+    maybe = in_bitmap(hash_bitmap(repeated, "hash", slots).scalar(), F.xxhash64("text"), slots)
+    return texts.where(~maybe).union(texts.where(maybe).distinct()), hashes.count()
+
+
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, slots: int = SLOTS) -> Column:
-    """The lexicon of ``docs`` as a bitmap constant, from counts over all of them."""
-    texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    total = texts.count()
+    """The lexicon of ``docs`` as a bitmap constant, from counts over all their distinct texts."""
+    texts, total = distinct_texts(docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")))
     counts = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count()
     chosen = counts.where((F.col("count") >= band[0] * total) & (F.col("count") <= max(band[1] * total, 1.0)))
     words = hash_bitmap(chosen, "term", slots).first().bitmap  # slots / 64 numbers
