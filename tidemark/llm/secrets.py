@@ -44,9 +44,16 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", least=20),
     Rule("hex", "[0-9a-f]+", least=24),
 )
+#: What follows the first line of a private key: all up to its last line, which has the next five dashes; where that is
+#: missing, lines of base64 (with real or escaped line feeds, or long runs beside each other) and of key headers. All
+#: repeats are lazy or possessive ones of one step, which Java runs without recursion, so a key may have any length.
+_KEY_BODY = (
+    "(?:(?>[\\s\\S]*?-----)END [A-Z ]*PRIVATE KEY-----"
+    "|(?:(?:\\s|\\\\[rn])++(?:[A-Za-z0-9+/=]{40,}|(?:Proc-Type|DEK-Info):[^\\r\\n\\\\]*|[A-Za-z0-9+/=]+(?![^\\r\\n\\\\])))*+){0,1}"
+)
 #: What the method adds: common public formats of keys and credentials.
 ADDED = (
-    Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----" + _KEY_BODY),
     Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -58,7 +65,7 @@ ADDED = (
 RULES = BASE + ADDED  # spans that begin at one place come in this order
 
 _FEW = 6  # letters of a class that are multiplied out like alternatives
-_REPEAT = re.compile(r"\{(\d+)(?:,(\d*))?\}|[*+?]")
+_REPEAT = re.compile(r"(?:\{(\d+)(?:,(\d*))?\}|[*+?])[?+]?")  # greedy, lazy or possessive
 
 
 def mandatory(pattern: str) -> list[list[str]] | None:
@@ -98,9 +105,11 @@ def _sequence(pattern: str, at: int) -> tuple[list[list[str]], int]:
     while at < len(pattern) and pattern[at] not in "|)":
         char = pattern[at]
         if char == "(":
-            at = re.compile(r"\((?:\?(?:[a-z]*:))?").match(pattern, at).end()
-            parts, at = _alternatives(pattern, at)
+            opened = re.compile(r"\((?:\?(?:[a-z]*:|[>=!]))?").match(pattern, at)
+            parts, at = _alternatives(pattern, opened.end())
             at += 1
+            if opened[0] in ("(?=", "(?!"):  # takes no characters
+                parts = [["", ""]]
         elif char == "[":
             chosen = re.compile(r"\[\^?\]?(?:\\.|[^\]\\])*\]").match(pattern, at)
             at, letters = chosen.end(), chosen[0][1:-1].lower()
@@ -115,8 +124,8 @@ def _sequence(pattern: str, at: int) -> tuple[list[list[str]], int]:
         repeat = _REPEAT.match(pattern, at)
         if repeat:
             at = repeat.end()
-            least = int(repeat[1]) if repeat[1] else 1 if repeat[0] == "+" else 0
-            if repeat[0] == "?":
+            least = int(repeat[1]) if repeat[1] else 1 if repeat[0][0] == "+" else 0
+            if repeat[0][0] == "?":
                 parts = [*parts, [""]]
             elif least == 0:
                 parts = [["", ""]]
@@ -243,9 +252,8 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redacted_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every found secret replaced in the text, and n_chars as it is afterwards."""
-    text = redacted(F.col("text"), F.col("spans"))
-    scanned = with_spans(docs, rules)
+    # The length is taken in a later step: beside a new column "text", that name in the lambdas would be the new text.
+    scanned = with_spans(docs, rules).withColumn("text", redacted(F.col("text"), F.col("spans")))
     return scanned.select(*(
-        text.alias(c) if c == "text" else F.when(F.size("spans") > 0, F.char_length(text).cast("bigint")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`")
-        for c in docs.columns
+        F.when(F.size("spans") > 0, F.char_length("text").cast("bigint")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns
     ))
