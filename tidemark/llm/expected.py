@@ -1,5 +1,9 @@
 """Expected results as DuckDB SQL, for the queries whose results SQL can state."""
 
+#: The parity of the unsigned CRC-32 of a decimal number: 3988292384 is the polynomial.
+_CRC32 = """list_reduce([4294967295] || list_transform(string_split(cast({} as varchar), ''), lambda c: cast(unicode(c) as bigint)),
+                    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))))"""
+
 STATEMENTS = {
     "op2_exact_dedup": r"""
         with texts as (
@@ -32,4 +36,53 @@ STATEMENTS = {
             else 'allow'
         end as verdict
         from ruled""",
+    "op12_merkle": r"""
+        with recursive fields as (
+            select doc_id, source, text, concat(
+                       coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                       coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-')) as others,
+                   case when xor(@CRC@, 4294967295) % 2 = 0 then replace(text, chr(10), '') else text end as received
+            from documents
+        ), leaves as (
+            select doc_id, source, row_number() over (partition by source order by doc_id nulls first) - 1 as idx, count(*) over (partition by source) as n,
+                   sha256(others || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+                   sha256(others || coalesce(strlen(received) || ':' || received, '-')) as received
+            from fields
+        ), trees as (
+            select source, 0 as level, idx, leaf as h, n from leaves
+            union all
+            select source, level + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (n + 2) // 3 from trees where n > 1 group by source, level, idx // 3, n
+        ), subroots as (
+            select source, level as height, h as subroot, row_number() over (order by source nulls first) - 1 as idx, count(*) over () as n from trees where n = 1
+        ), top as (
+            select 0 as level, idx, subroot as h, n from subroots
+            union all
+            select level + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (n + 2) // 3 from top where n > 1 group by level, idx // 3, n
+        ), nodes as (
+            select source, false as is_top, level, idx, h from trees where n > 1 union all select null, true, level, idx, h from top where n > 1
+        ), steps as (  -- the place of each leaf at each level, up to the root
+            select l.doc_id, l.source, l.idx as leaf_idx, false as is_top, t.level, t.level as step, l.idx // cast(pow(3, t.level) as bigint) as pos
+            from leaves l join (select distinct source, level from trees where n > 1) t on t.source is not distinct from l.source
+            union all
+            select l.doc_id, l.source, l.idx, true, t.level, s.height + t.level, s.idx // cast(pow(3, t.level) as bigint)
+            from leaves l join subroots s on s.source is not distinct from l.source, (select distinct level from top where n > 1) t
+        ), siblings as (
+            select s.source, s.leaf_idx, s.step, coalesce(string_agg(n.h, '' order by n.idx) filter (n.idx < s.pos), '') as l,
+                   coalesce(string_agg(n.h, '' order by n.idx) filter (n.idx > s.pos), '') as r
+            from steps s join nodes n on n.is_top = s.is_top and (s.is_top or n.source is not distinct from s.source) and n.level = s.level and n.idx // 3 = s.pos // 3
+            group by all
+        ), paths as (
+            select source, leaf_idx, list({'l': l, 'r': r} order by step) as path from siblings group by source, leaf_idx
+        ), folded as (
+            select source, idx, received as h, 0 as step from leaves
+            union all
+            select f.source, f.idx, sha256(p.path[f.step + 1].l || f.h || p.path[f.step + 1].r), f.step + 1
+            from folded f join paths p on p.source is not distinct from f.source and p.leaf_idx = f.idx where f.step < len(p.path)
+        )
+        select l.doc_id, l.leaf, s.subroot, r.h as root,
+               sha256(array_to_string(list_transform(coalesce(p.path, []), lambda x: x.l || x.r), '')) as proof_sha256, f.h as folded_root, f.h = r.h as verified
+        from leaves l join subroots s on s.source is not distinct from l.source
+        left join paths p on p.source is not distinct from l.source and p.leaf_idx = l.idx
+        join folded f on f.source is not distinct from l.source and f.idx = l.idx and f.step = coalesce(len(p.path), 0),
+        (select h from top where n = 1) r""".replace("@CRC@", _CRC32.format("doc_id")),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encoding, exact_dedup, imatch, language, packing, quality, secrets, sharding, simhash, token_counts, url_filter
+from tidemark.llm import encoding, exact_dedup, imatch, language, merkle, packing, quality, secrets, sharding, simhash, token_counts, url_filter
 from tidemark.llm.common import id_fold
 from tidemark.llm.expected import STATEMENTS
 
@@ -65,12 +65,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The received copy of the rows whose id's crc32 is even has lost its line feeds.
+    text, tampered = F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    received = F.when(tampered, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    manifest = merkle.build(_table(spark, sf_dir, "documents"), received={"text": received})
+    return merkle.climb(spark, manifest).withColumnRenamed("key", "doc_id")
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_imatch, op4_url_filter, op5_secret_scan, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing, op13_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_imatch, op4_url_filter, op5_secret_scan, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing, op12_merkle, op13_token_counts)}
 
 
 def statements() -> dict[str, str]:
