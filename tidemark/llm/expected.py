@@ -85,4 +85,35 @@ STATEMENTS = {
         left join paths p on p.source is not distinct from l.source and p.leaf_idx = l.idx
         join folded f on f.source is not distinct from l.source and f.idx = l.idx and f.step = coalesce(len(p.path), 0),
         (select h from top where n = 1) r""".replace("@CRC@", _CRC32.format("doc_id")),
+    "op11_prefix_trie": r"""
+        with turns as (
+            select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations where conv_id is not null
+        ), convs as (
+            select conv_id, xor(@CRC@, 4294967295) % 4 as h, conv_id - conv_id % 20 as donor from (select distinct conv_id from turns)
+        ), rebuilt as (
+            select c.conv_id, 0 as part, t.pos, t.role, t.text from convs c join turns t on t.conv_id = c.donor and t.pos <= c.h
+            union all
+            select c.conv_id, 1, t.pos, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h
+        ), sequences as (
+            select c.conv_id, coalesce(list([r.role, r.text] order by r.part, r.pos) filter (r.pos is not null), []) as turns
+            from convs c left join rebuilt r using (conv_id) group by c.conv_id
+        ), prefixes as (
+            select conv_id, d, turns[1:d] as path, len(turns) = d as ends from (select *, unnest(range(0, len(turns) + 1)) as d from sequences)
+        ), nodes as (
+            select path, d, min(conv_id) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256,
+                   (count(*) - 1) * case when d = 0 then 0 else len(regexp_extract_all(path[d][2], '[^\x20\x09-\x0D]+')) end as saved
+            from prefixes group by path, d
+        ), born as (
+            select path[1:d - 1] as path, count(*) as n_children from nodes where d > 0 group by path[1:d - 1]
+        ), below as (
+            select path[1:k] as path, sum(saved) as saved_tokens, sum(leaf) as n_leaves
+            from (select n.path, n.saved, case when b.path is null then 1 else 0 end as leaf, unnest(range(0, n.d + 1)) as k from nodes n left join born b on b.path = n.path)
+            group by path[1:k]
+        )
+        select n.conv_id, cast(n.d as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(b.n_children, 0) as n_children,
+               cast(w.n_leaves as bigint) as n_leaves, cast(w.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+        from nodes n join below w on w.path = n.path left join born b on b.path = n.path
+        left join nodes p on n.d > 0 and p.path = n.path[1:n.d - 1]""".replace("@CRC@", _CRC32.format("conv_id")),
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encoding, exact_dedup, imatch, language, merkle, packing, quality, secrets, sharding, simhash, token_counts, url_filter
-from tidemark.llm.common import id_fold
+from tidemark.llm import burst_trie, encoding, exact_dedup, imatch, language, merkle, packing, quality, secrets, sharding, simhash, token_counts, url_filter
+from tidemark.llm.common import id_fold, written
 from tidemark.llm.expected import STATEMENTS
 
 
@@ -65,6 +65,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(burst_trie.numbered_turns(_table(spark, sf_dir, "conversations")), "trie-numbered")
+    return burst_trie.trie(spark, *burst_trie.with_shared_heads(turns))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The received copy of the rows whose id's crc32 is even has lost its line feeds.
     text, tampered = F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -78,7 +83,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_imatch, op4_url_filter, op5_secret_scan, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing, op12_merkle, op13_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_imatch, op4_url_filter, op5_secret_scan, op6_sentencepiece, op7_language, op8_simhash, op9_sharding, op10_packing, op11_prefix_trie, op12_merkle, op13_token_counts)}
 
 
 def statements() -> dict[str, str]:
