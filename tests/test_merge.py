@@ -1,10 +1,13 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.operators.dedup import latest_by_key
 from tidemark.plans.publish import publish_marts
-from tidemark.sources.tables import VersionedTable, merge_partitions
+from tidemark.sources.commits import CommitLog, Conflict
+from tidemark.sources.tables import ManifestTable
 
 
 def frame(spark, *rows):
@@ -18,24 +21,94 @@ def test_upsert_replaces_inserts_and_never_deletes(spark, rows):
     assert {(r.id, r.extra) for r in wider.collect()} == {("a", None), ("b", "x"), ("c", "x")}
 
 
+def table(spark, tmp_path, partition="month"):
+    return ManifestTable(spark, str(tmp_path / "t"), keys=("id",), partition_by=(partition,))
+
+
+def folders(t):
+    return {r.value: r.folder for r in t.parts().collect()}
+
+
 def test_merge_rewrites_touched_partitions_only(spark, rows, tmp_path):
-    path, n = str(tmp_path / "t"), iter(range(9))
+    t = table(spark, tmp_path)
 
     def apply(*changes):
-        return merge_partitions(spark, path, frame(spark, *changes), ["id"], "month", str(tmp_path / f"s{next(n)}"))
-
-    def files(month):
-        return {f.name for f in (tmp_path / "t" / f"month={month}").glob("*.parquet")}
+        return t.merge(frame(spark, *changes))
 
     assert apply(("a", "m1", 1), ("b", "m2", 2), ("c", "m3", 3)) == 3
-    before = files("m3")
+    before = folders(t)
     assert apply(("b", "m2", 20), ("d", "m1", 4)) == 2
-    assert files("m3") == before
+    assert folders(t)["m3"] == before["m3"] and folders(t)["m1"] != before["m1"]
     # b leaves m2, which nothing else is in
-    assert apply(("b", "m1", 21)) == 2
-    got = spark.read.schema("id string, v long, month string").parquet(path)
-    assert rows(got.select("id", "month", "v")) == [("a", "m1", 1), ("b", "m1", 21), ("c", "m3", 3), ("d", "m1", 4)]
-    assert apply() == 0
+    assert apply(("b", "m1", 21)) == 2 and set(folders(t)) == {"m1", "m3"}
+    assert rows(t.read().select("id", "month", "v")) == [("a", "m1", 1), ("b", "m1", 21), ("c", "m3", 3), ("d", "m1", 4)]
+    assert apply() == 0 and t.current_version() == 3
+
+
+def test_merge_opens_only_partitions_that_may_hold_its_keys(spark, tmp_path):
+    """100 partitions, 10 keys: all data files but those of the partitions that hold them are replaced by rubbish."""
+    t = table(spark, tmp_path)
+    t.merge(spark.range(20_000).selectExpr("cast(id as string) id", "concat('m', id % 100) month", "id v"))
+    keys = [str(k * 100 + k % 3) for k in range(10)]
+    source = spark.createDataFrame([(k, f"m{int(k) % 100}" if k != keys[0] else "m50", -1) for k in keys], "id string, month string, v long")
+    chosen = {r.folder for r in t.may_hold(source, t.parts()).collect()}
+    hit = {f"m{int(k) % 100}" for k in keys} | {"m50"}
+    assert {folders(t)[f"m{int(k) % 100}"] for k in keys} == chosen
+    for value, folder in folders(t).items():
+        if value not in hit:
+            for file in (tmp_path / "t" / folder).glob("*.parquet"):
+                file.write_bytes(b"rubbish")
+    assert t.merge(source) == len(hit) == 4
+    got = t.read(where=F.col("value").isin(*hit))
+    assert {(r.id, r.month) for r in got.where("v = -1").collect()} == {(r.id, r.month) for r in source.collect()}
+    assert got.count() == 801 - 1 and t.read(version=1, where="value = 'm0'").where("v < 0").count() == 0
+
+
+def test_index_misses_no_key(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(spark.range(30_000).selectExpr("cast(id as string) id", "concat('m', floor(sqrt(id))) month", "id v"))
+    every = t.read().select("id", "month").join(t.parts().select(F.col("value").alias("month"), "folder"), "month")
+    for k in range(0, 30_000, 3001):
+        chosen = {r.folder for r in t.may_hold(spark.createDataFrame([(str(k),)], "id string"), t.parts()).collect()}
+        assert every.where(F.col("id") == str(k)).first().folder in chosen and len(chosen) <= 4  # of 174
+    assert t.may_hold(every, t.parts()).distinct().count() == 174
+
+
+def test_a_broken_merge_leaves_the_old_version(spark, rows, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    t.merge(frame(spark, ("a", "m1", 1), ("b", "m2", 2)))
+    monkeypatch.setattr(CommitLog, "create", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        t.merge(frame(spark, ("a", "m2", 10), ("b", "m1", 20)))
+    assert rows(t.read()) == [("a", "m1", 1), ("b", "m2", 2)] and t.current_version() == 1
+    monkeypatch.undo()
+    assert t.merge(frame(spark, ("a", "m2", 10), ("b", "m1", 20))) == 2
+    assert rows(t.read()) == [("a", "m2", 10), ("b", "m1", 20)] and rows(t.read(version=1)) == [("a", "m1", 1), ("b", "m2", 2)]
+
+
+def test_writers_side_by_side_lose_no_row(spark, rows, tmp_path):
+    t = table(spark, tmp_path)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: t.merge(frame(spark, (f"k{k}", "shared", k), (f"own{k}", f"m{k}", k))), range(8)))
+    assert rows(t.read().select("id", "v")) == sorted([(f"k{k}", k) for k in range(8)] + [(f"own{k}", k) for k in range(8)]) and t.current_version() == 8
+
+
+def test_unchanged_partitions_are_shared(spark, rows, tmp_path):
+    t = table(spark, tmp_path)
+    first = frame(spark, ("a", "m1", 1), ("b", "m2", 2), ("c", None, 3))
+    for n in (1, 2):
+        t.publish(t.stage(first))
+        assert t.current_version() == n and len(list((tmp_path / "t" / "data").iterdir())) == 1
+    before = folders(t)
+    t.publish(t.stage(frame(spark, ("b", "m2", 2), ("c", None, 4), ("d", "m4", 5))))
+    after = folders(t)
+    assert after["m2"] == before["m2"] and after[None] != before[None] and set(after) == {"m2", None, "m4"}
+    assert rows(t.read()) == [("b", "m2", 2), ("c", None, 4), ("d", "m4", 5)]
+    stale = t.stage(first)
+    t.publish(t.stage(first))
+    with pytest.raises(Conflict):
+        t.publish(stale)
+    assert t.expire(keep=1) == 4 and rows(t.read()) == rows(first) and t.log.numbers() == [4]
 
 
 def test_filter_before_dedup_equals_filter_after(spark, rows):
@@ -67,7 +140,7 @@ def test_empty_target_has_no_cut(spark):
 
 
 def test_publish_gate(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "pub"))
+    table = ManifestTable(spark, str(tmp_path / "pub"))
     with pytest.raises(LookupError):
         table.read()
 
@@ -77,7 +150,8 @@ def test_publish_gate(spark, tmp_path):
     assert table.publish_if(frame(spark, ("a", "1", 1)), audit) == (1, 0)
     assert table.publish_if(frame(spark, ("a", "1", -1)), audit) == (2, 1)
     assert [r.v for r in table.read().collect()] == [1]
-    assert table.publish_if(frame(spark, ("a", "1", 5), ("b", "2", 6)), audit, partition_by=["month"])[1] == 0
+    by_month = ManifestTable(spark, str(tmp_path / "pub"), partition_by=("month",))
+    assert by_month.publish_if(frame(spark, ("a", "1", 5), ("b", "2", 6)), audit) == (2, 0)
     assert sorted(r.v for r in table.read().collect()) == [5, 6]
 
 
@@ -87,45 +161,42 @@ def test_publish_gate(spark, tmp_path):
     ("decimal(10,2)", "1.50", "2.00"),
 ])
 def test_a_row_that_moves_leaves_no_old_version(spark, tmp_path, kind, before, after):
-    path = str(tmp_path / "t")
+    t = table(spark, tmp_path, "p")
 
-    def apply(n, *changes):
-        rows = spark.createDataFrame(list(changes), "id string, p string, v int").withColumn("p", F.col("p").cast(kind))
-        merge_partitions(spark, path, rows, ["id"], "p", str(tmp_path / f"s{n}"))
-        return rows.schema
+    def apply(*changes):
+        t.merge(spark.createDataFrame(list(changes), "id string, p string, v int").withColumn("p", F.col("p").cast(kind)))
 
-    apply(1, ("k", before, 1), ("other", "1" if kind in ("int", "decimal(10,2)") else "2030-05-05" if kind != "boolean" else "true", 1))
-    schema = apply(2, ("k", after, 2))
-    got = spark.read.schema(schema).parquet(path).where("id = 'k'").select(F.col("p").cast("string"), "v").collect()
+    apply(("k", before, 1), ("other", "1" if kind in ("int", "decimal(10,2)") else "2030-05-05" if kind != "boolean" else "true", 1))
+    apply(("k", after, 2))
+    got = t.read().where("id = 'k'").select(F.col("p").cast("string"), "v").collect()
     want = spark.createDataFrame([(after or None,)], "p string").select(F.col("p").cast(kind).cast("string")).first()[0]
-    assert [tuple(r) for r in got] == [(want, 2)] and spark.read.schema(schema).parquet(path).count() == 2
+    assert [tuple(r) for r in got] == [(want, 2)] and t.read().count() == 2
 
 
 def test_columns_of_one_side_are_kept(spark, tmp_path):
-    path, n = str(tmp_path / "t"), iter(range(9))
+    t = table(spark, tmp_path, "p")
 
     def apply(rows, schema):
-        merge_partitions(spark, path, spark.createDataFrame(rows, schema), ["id"], "p", str(tmp_path / f"s{next(n)}"))
+        t.merge(spark.createDataFrame(rows, schema))
 
     apply([("a", "1", 1, "x"), ("b", "1", 2, "y"), ("c", "2", 3, "z")], "id string, p string, v int, extra string")
     apply([("a", "1", 10, 0.5)], "id string, p string, v int, late double")
-    got = spark.read.schema("id string, v int, extra string, late double, p string").parquet(path).collect()
+    got = t.read().collect()
     assert {(r.id, r.v, r.extra, r.late) for r in got} == {("a", 10, None, 0.5), ("b", 2, "y", None), ("c", 3, "z", None)}
 
 
 def test_an_older_row_does_not_replace_a_newer_one(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for n, (month, v) in enumerate([("m1", 5), ("m1", 1), ("m2", 3), ("m2", 6)]):
-        merge_partitions(spark, path, frame(spark, ("a", month, v)), ["id"], "month", str(tmp_path / f"s{n}"), order_by="v")
-    assert [(r.month, r.v) for r in spark.read.parquet(path).collect()] == [("m2", 6)]
+    t = table(spark, tmp_path)
+    for month, v in [("m1", 5), ("m1", 1), ("m2", 3), ("m2", 6)]:
+        t.merge(frame(spark, ("a", month, v)), order_by="v")
+    assert [(r.month, r.v) for r in t.read().collect()] == [("m2", 6)]
 
 
 def test_rows_that_cannot_move_are_sought_in_their_partition(spark, tmp_path, rows):
-    path = str(tmp_path / "t")
-    merge_partitions(spark, path, frame(spark, ("a", "m1", 1), ("b", "m2", 2)), ["id"], "month", str(tmp_path / "s1"))
-    assert merge_partitions(spark, path, frame(spark, ("a", "m1", 10)), ["id"], "month", str(tmp_path / "s2"), moves=False) == 1
-    got = spark.read.schema("id string, month string, v long").parquet(path).select("id", "month", "v")
-    assert rows(got) == [("a", "m1", 10), ("b", "m2", 2)]
+    t = table(spark, tmp_path)
+    t.merge(frame(spark, ("a", "m1", 1), ("b", "m2", 2)))
+    assert t.merge(frame(spark, ("a", "m1", 10)), moves=False) == 1
+    assert rows(t.read()) == [("a", "m1", 10), ("b", "m2", 2)]
 
 
 def test_marts_are_published_together_or_not_at_all(spark, tmp_path):
@@ -138,7 +209,7 @@ def test_marts_are_published_together_or_not_at_all(spark, tmp_path):
         return publish_marts(spark, str(tmp_path), lambda mart: spark.range(state["rows"]), ["a", "b"], results)
 
     def counts():
-        return [VersionedTable(spark, str(tmp_path / mart)).read().count() for mart in ("a", "b")]
+        return [ManifestTable(spark, str(tmp_path / mart)).read().count() for mart in ("a", "b")]
 
     assert publish() == [] and counts() == [1, 1]
     state.update(rows=5, action="fail")

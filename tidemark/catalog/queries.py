@@ -17,7 +17,7 @@ from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceS
 from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
 from tidemark.sources.store import RawStore, current_marks
-from tidemark.sources.tables import VersionedTable
+from tidemark.sources.tables import ManifestTable
 from tidemark.streaming import jobs
 
 MARK = "1999-06-01 00:00:00"
@@ -622,9 +622,9 @@ def incremental_parity(w):
     sides, folder = [], _fresh(w, "parity")
     for name, fact in increments.FACTS.items():
         raw, path = w.inputs.raw(fact.source), f"{folder}/{name}"
-        for n, until in enumerate((CUT, LATE_CUT, None)):
+        for until in (CUT, LATE_CUT, None):
             arrived = raw if until is None else raw.where(F.col(fact.raw_mark) <= until)
-            increments.build_increment(w.spark, path, name, arrived, w.table, f"{folder}/staging-{name}-{n}", period="yyyy")
+            increments.build_increment(w.spark, path, name, arrived, w.table, period="yyyy")
         merged = increments.stored_fact(w.spark, path, name)
         sides += [
             quality.table_checksum(df, contract(name).fieldNames()).withColumns({"fact": F.lit(name), "path": F.lit(label)})
@@ -1001,7 +1001,7 @@ def dq_failures(w):
 @query
 def publish_gate(w):
     """A clean version is published; one with a broken grain is written but held back."""
-    table = VersionedTable(w.spark, _fresh(w, "publish"))
+    table = ManifestTable(w.spark, _fresh(w, "publish"))
     sales = w.table("mart_sales")
 
     def audit(staged):
@@ -1022,7 +1022,7 @@ def publish_warehouse(w):
     stops = [w.publish(folder, lambda: checks.check_results(_CheckTables(w)))]
     failing = _count(w.table("mart_sales"), check_name="doctored", action="fail")
     stops.append(w.publish(folder, lambda: failing))
-    published = [VersionedTable(w.spark, f"{folder}/{mart}") for mart in checks.GRAINS]
+    published = [ManifestTable(w.spark, f"{folder}/{mart}") for mart in checks.GRAINS]
     held = "; ".join(",".join(stop) for stop in stops)
     return _union([
         _count(table.read(), mart=mart).withColumns({"version": F.lit(table.current_version()).cast("bigint"), "stopped_by": F.lit(held)})
@@ -1098,6 +1098,6 @@ def stream_upsert(w):
         "order_year", F.substring("order_ts", 1, 4)
     )
     jobs.upsert_stream(
-        stream, f"{base}/table", ["order_id"], "updated_at", "order_year", f"{base}/checkpoint", f"{base}/staging"
+        stream, f"{base}/table", ["order_id"], "updated_at", "order_year", f"{base}/checkpoint"
     ).awaitTermination()
-    return w.spark.read.schema(stream.schema).parquet(f"{base}/table")
+    return ManifestTable(w.spark, f"{base}/table").read()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge
 from tidemark.plans import core, staging
 from tidemark.schemas import contract
-from tidemark.sources.tables import merge_partitions
+from tidemark.sources.tables import ManifestTable
 
 #: A table's rows lie in partitions by the time of their last change.
 PARTITION = "changed_in"
@@ -43,7 +43,7 @@ def full(name: str, raw: DataFrame, tables: Tables) -> DataFrame:
     return fact.build(staging.STAGING[fact.source](raw), tables)
 
 
-def build_increment(spark: SparkSession, path: str, name: str, raw: DataFrame, tables: Tables, staging_path: str, period: str = "yyyy-MM") -> int:
+def build_increment(spark: SparkSession, path: str, name: str, raw: DataFrame, tables: Tables, period: str = "yyyy-MM") -> int:
     """Bring the fact stored at ``path`` up to date with ``raw``; all of it is built where nothing is stored.
     Returns how many partitions were rewritten.
 
@@ -51,15 +51,16 @@ def build_increment(spark: SparkSession, path: str, name: str, raw: DataFrame, t
     versions that arrive late do not replace newer ones. ``tables`` gives the dimensions and facts joined,
     ``period`` the width of the partitions.
     """
-    fact, stored = FACTS[name], stored_fact(spark, path, name)
-    cut = None if stored is None else merge.lookback_cut(stored)
+    fact, table = FACTS[name], fact_table(spark, path, name)
+    cut = merge.lookback_cut(table.read()) if table.exists() else None
     rows = full(name, merge.increment_before_dedup(raw, fact.raw_mark, cut), tables)
-    return merge_partitions(spark, path, rows.withColumn(PARTITION, F.date_format("updated_at", period)), [fact.key], PARTITION, staging_path, order_by="updated_at")
+    return table.merge(rows.withColumn(PARTITION, F.date_format("updated_at", period)), order_by="updated_at")
+
+
+def fact_table(spark: SparkSession, path: str, name: str) -> ManifestTable:
+    return ManifestTable(spark, path, keys=(FACTS[name].key,), partition_by=(PARTITION,))
 
 
 def stored_fact(spark: SparkSession, path: str, name: str) -> DataFrame | None:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-        return None
-    columns = contract(name)
-    return spark.read.schema(columns.add(PARTITION, "string")).parquet(path).select(*contract(name).fieldNames())
+    table = fact_table(spark, path, name)
+    return table.read().select(*contract(name).fieldNames()) if table.exists() else None

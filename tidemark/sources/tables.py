@@ -1,135 +1,274 @@
-"""Published tables: whole versions that are switched at once, and merges that rewrite touched partitions."""
+"""Tables as written lists of partition folders, switched as a whole.
+
+A version of a table is a manifest: one row for each of its partitions, with the folder that holds it. Folders are never
+changed. A write adds folders of its own and commits a manifest that lists them together with the folders it did not
+touch, so versions share unchanged partitions, and a reader sees one version whole, also while a merge runs or after one
+that broke off. Commits are numbered and optimistic (``commits``): a writer that comes second starts anew from what the
+first one left.
+
+For merges, each folder has an index of its keys: a Bloom filter in blocks of one 64-bit word, kept as rows (folder,
+class, word, bits), where a folder's class is the power of two of its number of words. Keys meet it in an equi-join on
+class and word; only folders that may hold a key are opened, and only those that do are written anew. An index takes about four
+bytes a key, whatever the key's length.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import upsert
-from tidemark.sources.store import read_or_empty, write_partitions
+from tidemark.sources.commits import CommitLog, Conflict
+
+_PARTS = "part string, value string, folder string, rows bigint, checksum string, class int, index string"
+_INDEX = "folder string, class int, word bigint, bits bigint"
+_KEYS_PER_WORD = 2
+_FOLDER = "data/[^/]+/part=[^/]+"
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A written version that readers do not see: its number and its entry in the log."""
+
+    number: int
+    entry: dict
+
+
+def _part(by: Sequence[str]) -> Column:
+    """A name for a partition, safe in paths, that tells null from any text."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in by]
+    return F.md5(F.to_json(F.array(*values))) if by else F.lit("all")
+
+
+def _checksums(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(part, checksum): row count and two order-free sums over all columns, for each partition."""
+    names = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    whole, other = F.xxhash64(*names).cast("decimal(38,0)"), F.xxhash64(F.lit(1), *names)
+    return df.groupBy(_part(by).alias("part")).agg(
+        F.concat_ws(" ", F.count("*").cast("string"), F.sum(whole).cast("string"), F.bit_xor(other).cast("string")).alias("checksum")
+    )
+
+
+def _bits(hashed: Column) -> Column:
+    """The bits, eight at most, that a key sets in its word, from a second hash."""
+    places = [F.shiftrightunsigned(F.xxhash64(hashed), 6 * k).bitwiseAND(F.lit(63)).cast("int") for k in range(8)]
+    return reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for place in places])
+
+
+def _word(hashed: Column, size_class: Column) -> Column:
+    return hashed.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), size_class) - 1)
 
 
 @dataclass(frozen=True)
-class VersionedTable:
-    """A table whose readers see the last *published* version. A version is written next to the current
-    one, checked, and only then published by adding a row to the version history."""
+class ManifestTable:
+    """``keys`` identify a row, for merges; ``partition_by`` deals the rows out to folders."""
 
     spark: SparkSession
     root: str
+    keys: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+    log: CommitLog = field(init=False, repr=False)
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/versions/v{version:08d}"
+    def __post_init__(self):
+        object.__setattr__(self, "log", CommitLog(self.spark, f"{self.root}/versions"))
+
+    # Reading
 
     def current_version(self) -> int | None:
-        history = read_or_empty(self.spark, f"{self.root}/published", "version bigint, seen string")
-        return history.agg(F.max("version")).first()[0]
+        return self.log.latest()
+
+    def exists(self) -> bool:
+        return self.current_version() is not None
 
-    def read(self) -> DataFrame:
-        version = self.current_version()
+    def _entry(self, version: int | None) -> dict:
+        version = self.current_version() if version is None else version
         if version is None:
             raise LookupError(f"nothing published under {self.root}")
-        return self.spark.read.parquet(self._path(version))
-
-    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write the next version without publishing it."""
-        version = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self._path(version))
-        return version
-
-    def staged(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self._path(version))
-
-    def publish(self, version: int) -> None:
-        self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit("published").alias("seen")
-        ).write.mode("append").parquet(f"{self.root}/published")
-
-    def publish_if(
-        self, df: DataFrame, checks: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
-    ) -> tuple[int, int]:
-        """Write, audit, publish. ``checks`` gets the written version and returns (check_name,
-        violations); any violation leaves the published version as it is.
-        Returns (staged version, violations)."""
-        version = self.stage(df, partition_by)
+        return self.log.read(version)
+
+    def parts(self, version: int | None = None) -> DataFrame:
+        """One row for each partition: part, value, folder, rows, checksum, class and index."""
+        return self._parts(self._entry(version))
+
+    def read(self, version: int | None = None, where: Column | str | None = None) -> DataFrame:
+        """A version's rows, the current one's without a number. ``where`` chooses partitions by their ``value`` (text)
+        before any file is opened."""
+        entry = self._entry(version)
+        parts = self._parts(entry)
+        return self._rows(entry, parts if where is None else parts.where(where))
+
+    def _parts(self, entry: dict) -> DataFrame:
+        return self.spark.read.schema(_PARTS).parquet(f"{self.root}/{entry['parts']}")
+
+    def _rows(self, entry: dict, parts: DataFrame) -> DataFrame:
+        schema = StructType.fromJson(entry["schema"])
+        folders = sorted(r.folder for r in parts.select("folder").collect())  # one row per partition
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{f}" for f in folders))
+
+    # Writing
+
+    def _fresh(self, kind: str) -> str:
+        return f"{kind}/{uuid.uuid4().hex}"
+
+    def _write(self, rows: DataFrame) -> DataFrame:
+        """Write ``rows`` to folders of their own; returns their parts, indexed by key, without checksums."""
+        data, index = self._fresh("data"), self._fresh("index")
+        marked = rows.withColumn("part", _part(self.partition_by))
+        # Rebalanced so that each partition gets few files of an even size, a large one several.
+        marked.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.root}/{data}")
+        value = F.col(f"`{self.partition_by[0]}`").cast("string") if len(self.partition_by) == 1 else F.lit(None).cast("string")
+        hashed = F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)) if self.keys else F.lit(0).cast("bigint")
+        folder = F.regexp_extract(F.col("_metadata.file_path"), f"({_FOLDER})/[^/]*$", 1)
+        keys = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{data}").select(folder.alias("folder"), value.alias("value"), hashed.alias("h"))
+        words = F.ceil(F.col("rows") / _KEYS_PER_WORD)
+        counted = keys.groupBy("folder").agg(F.first("value").alias("value"), F.count("*").alias("rows"))
+        counted.select(
+            F.regexp_extract("folder", "part=(.*)$", 1).alias("part"), "value", "folder", "rows", F.lit(None).cast("string").alias("checksum"),
+            F.least(F.char_length(F.bin(words - 1)) * (words > 1).cast("int"), F.lit(39)).alias("class"), F.lit(index if self.keys else None).cast("string").alias("index"),
+        ).write.parquet(f"{self.root}/{index}-parts")
+        parts = self.spark.read.schema(_PARTS).parquet(f"{self.root}/{index}-parts")
+        if self.keys:
+            sized = keys.join(parts.select("folder", "class"), "folder")
+            sized.groupBy("folder", "class", _word(F.col("h"), F.col("class")).alias("word")).agg(F.bit_or(_bits(F.col("h"))).alias("bits")).write.parquet(f"{self.root}/{index}")
+        return parts
+
+    def _staged_entry(self, parts: DataFrame, schema: StructType) -> dict:
+        manifest = self._fresh("manifests")
+        parts.select(*(n.split()[0] for n in _PARTS.split(", "))).coalesce(1).write.parquet(f"{self.root}/{manifest}")
+        return {"parts": manifest, "schema": schema.jsonValue()}
+
+    def stage(self, df: DataFrame) -> Staged:
+        """Write ``df`` as the next version without publishing it. Partitions whose rows are those of the current version
+        are shared with it, by checksum; nothing but a manifest is written where all are."""
+        last = self.current_version()
+        entry = None if last is None else self.log.read(last)
+        sums = self._kept(_checksums(df, self.partition_by), "checksums")
+        shared = None
+        if entry is not None and entry["schema"] == df.schema.jsonValue():
+            shared = self._parts(entry).join(sums, ["part", "checksum"], "left_semi")
+            changed = sums.join(shared.select("part"), "part", "left_anti").select("part")
+        else:
+            changed = sums.select("part")
+        rows = df
+        if shared is not None:
+            rows = df.withColumn("__part", _part(self.partition_by)).join(changed.withColumnRenamed("part", "__part"), "__part", "left_semi").drop("__part")
+        parts = shared
+        if entry is None or not changed.isEmpty():
+            written = self._write(rows).drop("checksum").join(sums, "part")
+            parts = written if shared is None else shared.unionByName(written)
+        return Staged((last or 0) + 1, self._staged_entry(parts, df.schema))
+
+    def _kept(self, df: DataFrame, kind: str) -> DataFrame:
+        """A small or narrow intermediate, written and read back."""
+        path = f"{self.root}/{self._fresh(f'work/{kind}')}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def staged(self, staged: Staged) -> DataFrame:
+        return self._rows(staged.entry, self._parts(staged.entry))
+
+    def publish(self, staged: Staged) -> None:
+        """Make a staged version the current one; fails if another was published since it was staged."""
+        if not self.log.create(staged.number, staged.entry):
+            raise Conflict(f"version {staged.number} of {self.root} was published by another writer")
+
+    def publish_if(self, df: DataFrame, checks: Callable[[DataFrame], DataFrame]) -> tuple[int, int]:
+        """Write, audit, publish. ``checks`` gets the written version and returns (check_name, violations); any violation
+        leaves the published version as it is. Returns (staged version, violations)."""
+        version = self.stage(df)
         found = checks(self.staged(version)).agg(F.sum("violations")).first()[0] or 0
         if found == 0:
             self.publish(version)
-        return version, found
-
-
-def merge_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, staging: str,
-    order_by: str | None = None, moves: bool = True,
-) -> int:
-    """Upsert ``source`` into the partitioned parquet table at ``path``, rewriting only partitions that
-    hold an old or a new row of a merged key. Returns how many were rewritten.
-
-    Columns that only the target or only the source has are kept. With ``order_by``, a source row that is
-    older than the target's row of its key is left out. An empty text as partition value is NULL.
-
-    ``moves=True`` looks for merged keys in the key column of the whole target, as a row may change its
-    partition. Where that cannot happen (a partition by creation date), ``moves=False`` reads only the
-    partitions that the source names.
-
-    Source and merged rows are first written to ``staging`` (a fresh folder on shared storage): the
-    source because it is used several times, the merged rows because a path cannot be overwritten while
-    it is read, and so that a broken switch can be repeated from there. Partitions are replaced one by one;
-    readers that must not see some new and some old ones use ``VersionedTable``.
-    """
-    keys = list(keys)
-    if source.schema[partition].dataType.typeName() == "string":
-        source = source.withColumn(partition, F.nullif(F.col(partition), F.lit("")))
-    target = _table(spark, path, source, partition)
-    new_rows = source if order_by is None else _not_older(source, target, keys, order_by)
-    new_rows.write.mode("overwrite").parquet(f"{staging}/source")
-    source = spark.read.schema(source.schema).parquet(f"{staging}/source")
-    new = source.select(partition).distinct()
-    if moves:
-        new = target.join(source.select(*keys), keys, "left_semi").select(partition).union(new).distinct()
-    names = new.select(partition, F.col(partition).cast("string").alias("_name")).collect()  # one row per partition
-    if not names:
-        return 0
-    touched = F.col(partition).isin([r[0] for r in names if r[0] is not None])
-    if any(r[0] is None for r in names):
-        touched = touched | F.col(partition).isNull()
-    # Rebalanced so that each partition gets few files of an even size, a large one several.
-    result = upsert(target.where(touched), source, keys).hint("rebalance", partition)
-    result.write.mode("overwrite").partitionBy(partition).parquet(f"{staging}/merged")
-    merged = spark.read.schema(result.schema).parquet(f"{staging}/merged")
-    write_partitions(merged, path, partition)
-    left = {r[0] for r in merged.select(F.col(partition).cast("string")).distinct().collect()}
-    for name in {r["_name"] for r in names} - left:
-        _drop_partition(spark, path, partition, name)
-    return len(names)
-
-
-def _table(spark: SparkSession, path: str, source: DataFrame, partition: str) -> DataFrame:
-    """The target with all columns that its files have, its partition column typed as in the source; an
-    empty one where nothing was written yet."""
-    if not _exists(spark, path):
-        return source.where("false")
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    fields = [source.schema[partition] if f.name == partition else f for f in found.fields]
-    return spark.read.schema(StructType(fields)).parquet(path)
-
-
-def _not_older(source: DataFrame, target: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    stored = target.select(*keys, F.col(order_by).alias("_stored"))
-    both = source.join(stored, keys, "left")
-    return both.where("_stored is null or " + f"`{order_by}` >= _stored").select(*source.columns)
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def _drop_partition(spark: SparkSession, path: str, partition: str, name: str | None) -> None:
-    """Delete a partition's folder, whose name is the value as text in Spark's own escaping."""
-    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(partition, name)
-    location = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.org.apache.hadoop.fs.Path(path), folder)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        return version.number, found
+
+    # Merging
+
+    def may_hold(self, keys: DataFrame, parts: DataFrame) -> DataFrame:
+        """The folders of ``parts`` whose index may have one of ``keys``: all that do, and few others."""
+        chosen = [(r["class"], r["index"]) for r in parts.select("class", "index").distinct().collect()]  # classes are few, indexes one a commit
+        if not chosen:
+            return parts.select("folder")
+        index = self.spark.read.schema(_INDEX).parquet(*(f"{self.root}/{i}" for i in sorted({i for _, i in chosen})))
+        classes = F.explode(F.array(*(F.lit(c) for c in sorted({c for c, _ in chosen}))))
+        probes = keys.select(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)).alias("h")).distinct().select("h", classes.alias("class")).select(
+            "class", _word(F.col("h"), F.col("class")).alias("word"), _bits(F.col("h")).alias("mask")
+        )
+        hits = index.join(probes, ["class", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+        return parts.join(hits.select("folder").distinct(), "folder", "left_semi").select("folder")
+
+    def merge(self, source: DataFrame, order_by: str | None = None, moves: bool = True) -> int:
+        """Upsert ``source``, which holds each key once. Returns how many partitions were written anew or given up: those
+        that hold an old or a new row of a merged key; all others are shared with the version before.
+
+        Columns that only the table or only the source has are kept. With ``order_by``, a source row that is older than
+        the stored row of its key is left out. An empty text as partition value is NULL. With ``moves=False`` a key's
+        stored row is sought only in the partition that the source names for it: for partitions that rows cannot leave.
+        """
+        partition, = self.partition_by
+        if source.schema[partition].dataType.typeName() == "string":
+            source = source.withColumn(partition, F.nullif(F.col(f"`{partition}`"), F.lit("")))
+        source = self._kept(source.withColumn("__part", _part(self.partition_by)), "sources")
+        touched = 0
+
+        def prepare(_: int, entry: dict | None) -> dict | None:
+            nonlocal touched
+            touched, new = self._merged(source, entry, order_by, moves)
+            return new
+
+        self.log.commit(prepare)
+        return touched
+
+    def _merged(self, source: DataFrame, entry: dict | None, order_by: str | None, moves: bool) -> tuple[int, dict | None]:
+        keys, columns = list(self.keys), [c for c in source.columns if c != "__part"]
+        if entry is None:
+            if source.isEmpty():
+                return 0, None
+            parts = self._write(source.select(*columns))
+            return parts.count(), self._staged_entry(parts, source.select(*columns).schema)
+        parts = self._parts(entry)
+        named = parts.join(source.select(F.col("__part").alias("part")).distinct(), "part", "left_semi")
+        candidates = parts.join(self.may_hold(source, parts), "folder", "left_semi") if moves else named
+        stored = self._rows(entry, candidates)
+        stored_part = F.regexp_extract(F.col("_metadata.file_path"), "/part=([^/]+)/[^/]*$", 1)
+        found = stored.select(*keys, *([F.col(order_by).alias("__stored")] if order_by else []), stored_part.alias("__from")) if candidates.take(1) else None
+        if found is not None:
+            hits = self._kept(found.join(source.select(*keys), keys, "left_semi"), "hits")
+            fresh = source.join(hits, keys, "left")
+            if order_by:
+                fresh = fresh.where(F.col("__stored").isNull() | (F.col(f"`{order_by}`") >= F.col("__stored")))
+            fresh = self._kept(fresh.select(*source.columns, "__from"), "changes")
+        else:
+            fresh = source.withColumn("__from", F.lit(None).cast("string"))
+        names = fresh.select(F.explode(F.array("__part", "__from")).alias("part")).where("part is not null").distinct()
+        names = self._kept(names, "touched")
+        touched = names.count()
+        if not touched:
+            return 0, None
+        old = self._rows(entry, parts.join(names, "part", "left_semi"))
+        result = upsert(old, fresh.select(*columns), keys)
+        written = self._write(result)
+        return touched, self._staged_entry(parts.join(names, "part", "left_anti").unionByName(written), result.schema)
+
+    # Housekeeping
+
+    def expire(self, keep: int = 10) -> int:
+        """Forget all versions but the last ``keep``, and delete the folders that only those had. Returns how many folders
+        went. Folders that no version ever listed, such as those of a merge that is under way, stay."""
+        numbers = self.log.numbers()
+        gone, kept = numbers[:-keep], numbers[-keep:]
+        if not gone:
+            return 0
+        listed = [{r.folder for n in some for r in self.parts(n).select("folder").collect()} for some in (gone, kept)]
+        self.log.forget(keep)
+        for folder in listed[0] - listed[1]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(listed[0] - listed[1])

@@ -11,7 +11,7 @@ from tidemark.operators import intake
 from tidemark.operators.dedup import latest_by_key
 from tidemark.schemas import LOOKBACK_DAYS, SourceSpec
 from tidemark.sources.store import KEPT, MALFORMED, RawStore
-from tidemark.sources.tables import merge_partitions
+from tidemark.sources.tables import ManifestTable
 
 
 def _state_on_disk(spark: SparkSession) -> None:
@@ -90,7 +90,7 @@ def daily_counts(events: DataFrame, event_time: str, value: str, by: str, days:
 
 
 def upsert_stream(
-    stream: DataFrame, path: str, keys: list[str], order_by: str, partition: str, checkpoint: str, staging: str
+    stream: DataFrame, path: str, keys: list[str], order_by: str, partition: str, checkpoint: str
 ) -> StreamingQuery:
     """Merge each micro-batch into a partitioned fact: the newest row per key of batch and table stays,
     whatever the order in which versions arrive. Of rows alike in ``order_by`` the batch's wins, within a
@@ -100,7 +100,7 @@ def upsert_stream(
 
     def merge(batch: DataFrame, number: int) -> None:
         newest = latest_by_key(batch, keys, order_by, tiebreak=tiebreak)
-        merge_partitions(batch.sparkSession, path, newest, keys, partition, f"{staging}/{number:010d}", order_by=order_by)
+        ManifestTable(batch.sparkSession, path, tuple(keys), (partition,)).merge(newest, order_by=order_by)
 
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
