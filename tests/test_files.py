@@ -1,4 +1,7 @@
+import csv
+import io
 import json
+import random
 
 import pytest
 
@@ -106,3 +109,84 @@ def test_a_document_that_is_no_array_of_objects_fails(spark, tmp_path, document)
     (tmp_path / "bad" / "d.json").write_text(document + "\n")
     with pytest.raises(Exception, match="is not a JSON array of objects"):
         files.scan_json_array(spark, str(tmp_path / "bad"), SOURCES["products"]).collect()
+
+
+@pytest.fixture()
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "1"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def csv_text(seed, records, end):
+    """Random cells with quotes, commas and line breaks, as the csv module writes them, and the cells."""
+    random.seed(seed)
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=end)
+    header = ["surplus", "region_id", "country", "region_name"]
+    cells = [["".join(random.choices(["a", "é", " ", '"', ",", "\n", "\r\n", "bc"], k=random.randint(0, 9))) for _ in header] for _ in range(records)]
+    writer.writerow(header)
+    for k, row in enumerate(cells):
+        row[1] = f"R{k}"
+        writer.writerow(row)
+        if k % 7 == 3:
+            out.write(end)  # a blank line between records
+    return out.getvalue(), cells
+
+
+@pytest.mark.parametrize(("seed", "end"), [(1, "\n"), (2, "\r\n"), (3, "\n")])
+def test_csv_of_many_splits(spark, tmp_path, small_splits, seed, end):
+    (tmp_path / "c").mkdir()
+    want = {}
+    for f in range(3):
+        text, cells = csv_text(seed * 10 + f, 120 * f + 40, end)
+        (tmp_path / "c" / f"{f}.csv").write_bytes((b"\xef\xbb\xbf" if f == 1 else b"") + text.encode())
+        want |= {(f"{f}.csv", k + 2): tuple(row[i] or None for i in (1, 3, 2)) for k, row in enumerate(cells)}
+    got = files.scan_csv(spark, str(tmp_path / "c"), REGIONS).collect()
+    assert spark.read.text(str(tmp_path / "c")).rdd.getNumPartitions() > 20
+    assert {(r.source_file[-5:], r.source_row_number): (r.region_id, r.region_name, r.country) for r in got} == want and len(got) == len(want)
+
+
+def test_csv_quotes_inside_a_cell_open_nothing(spark, write_lines, small_splits):
+    path = write_lines("q.csv", "region_id,region_name,country", *(f'R{k},5" pipe,US' for k in range(50)), 'RX,"two', 'lines",US')
+    got = files.scan_csv(spark, path, REGIONS).orderBy("source_row_number").collect()
+    assert [(r.region_id, r.region_name, r.country) for r in got] == [(f"R{k}", '5" pipe', "US") for k in range(50)] + [("RX", "two\nlines", "US")]
+
+
+def test_csv_record_over_many_splits(spark, write_lines, small_splits):
+    inner = "\n".join(f"line {k}" for k in range(300))
+    path = write_lines("long.csv", "region_id,region_name,country", "R1,a,US", f'R2,"{inner}",US', "R3,b,US")
+    got = files.scan_csv(spark, path, REGIONS).orderBy("source_row_number").collect()
+    assert [(r.region_id, r.region_name, r.source_row_number) for r in got] == [("R1", "a", 2), ("R2", inner, 3), ("R3", "b", 4)]
+    loose = files.scan_csv(spark, path, REGIONS, multiline=False)
+    assert loose.count() == 302
+
+
+@pytest.mark.parametrize(("seed", "indent"), [(1, None), (2, 1), (3, None)])
+def test_json_array_of_many_splits(spark, tmp_path, small_splits, seed, indent):
+    random.seed(seed)
+    (tmp_path / "j").mkdir()
+    want = {}
+    for f in range(3):
+        records = []
+        for k in range(150 * f):
+            text = "".join(random.choices(['"', "\\", "{", "}", "]", "[", ",", "é", "\n", "x"], k=random.randint(0, 12)))
+            record = {"product_id": f"P{k}", "name": text, "price_cents": k}
+            if seed == 2 or k % 50 == 7:
+                record["extra"] = {"deep": [{"a": text}, [{}]]}
+            records.append(record)
+        (tmp_path / "j" / f"{f}.json").write_text(json.dumps(records, indent=indent, ensure_ascii=False) + " \n")
+        want |= {(f"{f}.json", k + 1): (r["product_id"], r["name"], str(r["price_cents"])) for k, r in enumerate(records)}
+    got = files.scan_json_array(spark, str(tmp_path / "j"), SOURCES["products"]).collect()
+    assert {(r.source_file[-6:], r.source_row_number): (r.product_id, r.name, r.price_cents) for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("document", ["[}", "[{}}", "[{},]", "{}", '[{"a":1} {"a":2}]', '[[{"a":1}]]', "[", "]", '[{"a":1}]]', '[{"a":"}"', "[{}]\n[{}]", "[,{}]"])
+def test_documents_that_are_no_array(spark, tmp_path, document, small_splits):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "d.json").write_text(document)
+    with pytest.raises(Exception, match="is not a JSON array of objects"):
+        files.scan_json_array(spark, str(tmp_path / "bad"), SOURCES["products"]).collect()

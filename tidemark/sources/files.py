@@ -1,21 +1,16 @@
-"""CSV, NDJSON and JSON-array scans."""
+"""Scans of line files, and the numbers of their rows. CSV and JSON documents are in ``documents``."""
 
 from __future__ import annotations
 
-import csv
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators import intake
-from tidemark.schemas import SourceSpec
 from tidemark.session import shared_dir
+from tidemark.sources.documents import FILE, ROW_NUMBER, scan_csv, scan_json_array
 
-ROW_NUMBER = "source_row_number"
-FILE = "source_file"
+__all__ = ["FILE", "ROW_NUMBER", "number_rows", "scan_csv", "scan_json_array", "scan_ndjson_lines"]
 
 
 def number_rows(scan: DataFrame, first: int = 1) -> DataFrame:
@@ -55,38 +50,6 @@ def number_rows(scan: DataFrame, first: int = 1) -> DataFrame:
     )
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files by the columns that their first line names."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"), "value"
-    )
-    first = lines.groupBy(FILE).agg(F.min_by("value", F.struct("_split", "_id")).alias("header"))
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():  # one row per file
-        found.setdefault(tuple(next(csv.reader([row.header]))), []).append(row[FILE])
-    return found
-
-
-def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, multiline: bool = True) -> DataFrame:
-    """All-text CSV with a header: empty cells are NULL, surplus cells dropped, data rows count from 2.
-
-    Line breaks inside quotes belong to the cell; ``multiline=False`` forbids them, and then large files
-    are split. Columns are matched by name, for each file by its own header.
-    """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    scans = []
-    for header, paths in _headers(spark, path).items():
-        names = [name if name and name not in header[:i] else f"_surplus{i}" for i, name in enumerate(header)]
-        declared = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        scans.append(reader.schema(declared).csv(sorted(paths)).select(
-            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in spec.payload], "_metadata"
-        ))
-    if not scans:
-        return spark.createDataFrame([], T.StructType([*spec.payload_schema.fields, T.StructField(FILE, T.StringType()), T.StructField(ROW_NUMBER, T.LongType())]))
-    numbered = [number_rows(scan, first=2).select(*spec.payload, FILE, ROW_NUMBER) for scan in scans]
-    return reduce(DataFrame.unionByName, numbered)
-
-
 def scan_ndjson_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
     """(value, source_file, source_row_number) for every line of the files, blank ones included, since
     they count. Parsing is ``operators.intake.parse_json_lines``."""
@@ -94,13 +57,3 @@ def scan_ndjson_lines(spark: SparkSession, path: str, numbered: bool = True) ->
     if not numbered:
         return scan.select("value", F.col("_metadata.file_path").alias(FILE))
     return number_rows(scan)
-
-
-def scan_json_array(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """A landed snapshot document: one JSON array of objects per file, numbered by place. Fields a document
-    lacks are NULL. A document that is anything else, say an error report, fails the job."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias(FILE), F.trim("value", F.lit(intake.WHITESPACE)).alias("_document"))
-    parsed = whole.select(FILE, F.inline(F.array(intake.json_document(F.col("_document"), spec.payload_schema))), F.col("_document").startswith("[").alias("_array"))
-    sound = F.col("_array") & intake.is_complete(F.col("_records"), F.col("_end"))
-    records = F.when(sound, F.col("_records")).otherwise(F.raise_error(F.concat(FILE, F.lit(" is not a JSON array of objects"))))
-    return parsed.select(FILE, F.posexplode(records).alias("_at", "_record")).select("_record.*", FILE, (F.col("_at") + 1).cast("bigint").alias(ROW_NUMBER))
