@@ -61,7 +61,7 @@ def of_query(spark, rows, tmp_path):
     return {r.doc_id: tuple(r)[1:] for r in queries.registered()["op12_merkle"](spark, folder).collect()}
 
 
-@pytest.mark.parametrize("sizes", [[1], [2], [3, 1], [4, 81, 82], [9, 27, 28, 243, 244], [700, 5, 1, 1, 1, 1, 1, 1, 1, 1]])
+@pytest.mark.parametrize("sizes", [[1], [2], [3, 1], [4, 81, 82], [9, 27, 28, 243, 244], [729, 730, 2200], [700, 5, 1, 1, 1, 1, 1, 1, 1, 1]])
 def test_trees_of_all_shapes(spark, tmp_path, sizes):
     rows = [(1000 * k + i * 3, f"s{k:03}", "en", i, f"text {i}\nof {k}") for k, n in enumerate(sizes) for i in range(n)]
     assert of_query(spark, rows, tmp_path) == plain_manifest(rows)
