@@ -18,11 +18,14 @@ column but the text enters a prediction.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +43,8 @@ _PER_CHARACTER = 20.0
 _STRETCH = 24
 _CACHED_WORDS, _CACHED_LENGTH = 400_000, 48
 _GROUP_WORDS, _GROUP_NEW = 150_000, 20_000  # words of the texts judged together, and new words summed together
+_BETWEEN = "\ud800"  # in no text and no piece
+_PLACES = 1 << 6  # more than the places in a word that is judged in step
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -55,6 +60,11 @@ class Segmentations:
         self.cache: dict[str, int] = {}  # place in logs
         self.logs = np.zeros((_CACHED_WORDS, self.languages))
         self.characters = {c for c in model.ids if len(c) == 1}
+        self.letters = np.array(sorted(map(ord, self.characters)), np.uint32)
+        self.spotter = ahocorasick.Automaton()
+        for piece, length, _, number in model.automaton.values():
+            self.spotter.add_word(piece, length << 32 | number)
+        self.spotter.make_automaton()
 
     def matches(self, word: str) -> list[tuple[int, int, int]]:
         """(start, end, piece) of all pieces in the word, by end; piece -1 for a character that is none."""
@@ -80,38 +90,56 @@ class Segmentations:
             sums[end] += sums[start] * (scaled[piece] if piece >= 0 else unknown)
         return sums, logs + np.log(sums[-1]) - len(word) * np.log(_PER_CHARACTER)
 
+    def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end, start, word, piece) of all pieces in the words, as flat arrays by end and start: one run of the automaton
+        over all words, and a radix sort."""
+        lengths = np.array([len(w) for w in words])
+        text = _BETWEEN.join(words)
+        found = np.fromiter(itertools.chain.from_iterable(self.spotter.iter(text)), np.int64).reshape(-1, 2)
+        last, length, ids = found[:, 0], found[:, 1] >> 32, found[:, 1] & 0xFFFFFFFF
+        letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        strange = np.flatnonzero(~np.isin(letters, self.letters))  # also what stands between words
+        strange = strange[letters[strange] != ord(_BETWEEN)]
+        if len(strange):
+            last, length = np.concatenate([last, strange]), np.concatenate([length, np.ones(len(strange), np.int64)])
+            ids = np.concatenate([ids, np.full(len(strange), -1)])
+        word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths + 1)[:-1] if len(text) else np.zeros(0, np.int32)
+        rows = word_of[last]
+        end = last + 1 - (np.cumsum(lengths + 1) - lengths - 1)[rows]
+        key = (end * _PLACES + end - length).astype(np.int16)
+        order = np.argsort(key, kind="stable")
+        return end[order], (end - length)[order], rows[order], ids[order]
+
     def forward_many(self, words: list[str]) -> np.ndarray:
         """Logarithms of words of ``_CACHED_LENGTH`` characters at most, by language, all words in step."""
         lengths = np.array([len(w) for w in words])
         sums = np.zeros((lengths.max() + 1, len(words), self.languages))
         sums[0] = 1
-        rows_of: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        for row, word in enumerate(words):
-            for start, end, piece in self.matches(word):
-                found = rows_of.get((end, start))
-                if found is None:
-                    found = rows_of[end, start] = ([], [])
-                found[0].append(row), found[1].append(piece)
-        unknown = np.full((1, self.languages), _UNKNOWN * _PER_CHARACTER)
+        ends, starts, rows, ids = self.edges(words)
+        weights = self.scaled[ids]
+        weights[ids < 0] = _UNKNOWN * _PER_CHARACTER
         logs, next_scaling = np.zeros((len(words), self.languages)), _STRETCH
-        for end, start in sorted(rows_of):
+        cuts = np.flatnonzero((np.diff(ends) != 0) | (np.diff(starts) != 0)) + 1
+        for at, to in itertools.pairwise([0, *cuts.tolist(), len(ends)]):
+            if at == to:
+                continue
+            end, start, here = int(ends[at]), int(starts[at]), rows[at:to]
             if end > next_scaling:
                 longer = np.flatnonzero(lengths > next_scaling)
                 last = sums[next_scaling, longer]
                 sums[max(0, next_scaling - self.reach) : next_scaling + 1, longer] /= last
                 logs[longer] += np.log(last)
                 next_scaling += _STRETCH
-            rows, ids = map(np.array, rows_of[end, start])
-            weights = np.where((ids >= 0)[:, None], self.scaled[ids], unknown)
-            sums[end, rows] += sums[start, rows] * weights
+            sums[end, here] += sums[start, here] * weights[at:to]
         return logs + np.log(sums[lengths, np.arange(len(words))]) - lengths[:, None] * np.log(_PER_CHARACTER)
 
     def logs_of(self, texts: list[list[str]]) -> np.ndarray:
         """Logarithms of texts given as their words, by text and language."""
         new = {w for words in texts for w in words if w not in self.cache}
         if len(self.cache) + len(new) > _CACHED_WORDS:
-            self.cache.clear()
-            new = {w for words in texts for w in words}
+            # Those that came first, the frequent words among them, stay.
+            self.cache = {w: k for w, k in self.cache.items() if k < _CACHED_WORDS // 2}
+            new = {w for words in texts for w in words if w not in self.cache}
         rest = {w: self.forward(w.replace(" ", pieces.MARK))[1] for w in new if len(w) > _CACHED_LENGTH}
         short = [w for w in new if len(w) <= _CACHED_LENGTH]
         if len(self.cache) + len(short) > len(self.logs):  # one text may have any number of words
@@ -156,6 +184,18 @@ class Segmentations:
         return out
 
 
+_loaded: dict[tuple[str, bytes], Segmentations] = {}
+
+
+def loaded(path: str, probabilities: np.ndarray) -> Segmentations:
+    """One scorer, with the words it knows, for each worker process and model; an earlier model's goes."""
+    key = path, hashlib.sha256(probabilities.tobytes()).digest()
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Segmentations(pieces.loaded(path), probabilities)
+    return _loaded[key]
+
+
 def _log_sums(steps: list[tuple[int, int, float]], size: int, first: int) -> list[float]:
     """Logarithms of the sums over all ways from place ``first`` to each place, by steps (from, to, logarithm of the
     weight) in an order in which a place is reached in full before it is left."""
@@ -222,7 +262,7 @@ def identify(spark: SparkSession, docs: DataFrame, teaches: Column, model_path:
     languages, probabilities = learn(spark, docs.where(teaches), path, sample)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Segmentations(pieces.loaded(path), probabilities)
+        sums = loaded(path, probabilities)
         for batch in batches:
             names, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
             rows, texts, held = [], [], 0
