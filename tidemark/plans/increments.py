@@ -21,19 +21,21 @@ Tables = Callable[[str], DataFrame]
 
 @dataclass(frozen=True)
 class Fact:
-    """``raw_mark`` is the raw column that staging takes for the time of the last change."""
+    """``raw_mark`` is the raw column that staging takes for the time of the last change; ``indexed`` are the columns by
+    which marts look up rows."""
 
     source: str
     key: str
     raw_mark: str
+    indexed: tuple[str, ...]
     build: Callable[[DataFrame, Tables], DataFrame]
 
 
 FACTS = {
-    "fct_orders": Fact("orders", "order_id", "updated_at", lambda rows, t: core.fct_orders(rows, t("dim_customer"), t("dim_date"))),
-    "fct_order_items": Fact("order_items", "item_id", "updated_at", lambda rows, t: core.fct_order_items(rows, t("fct_orders"), t("dim_product"))),
-    "fct_payments": Fact("payments", "payment_id", "updated_at", lambda rows, t: core.fct_payments(rows, t("fct_orders"), t("dim_date"))),
-    "fct_returns": Fact("returns", "return_id", "returned_at", lambda rows, t: core.fct_returns(rows, t("fct_order_items"), t("dim_date"))),
+    "fct_orders": Fact("orders", "order_id", "updated_at", ("order_sk", "customer_sk"), lambda rows, t: core.fct_orders(rows, t("dim_customer"), t("dim_date"))),
+    "fct_order_items": Fact("order_items", "item_id", "updated_at", ("order_sk", "order_item_sk"), lambda rows, t: core.fct_order_items(rows, t("fct_orders"), t("dim_product"))),
+    "fct_payments": Fact("payments", "payment_id", "updated_at", ("order_sk",), lambda rows, t: core.fct_payments(rows, t("fct_orders"), t("dim_date"))),
+    "fct_returns": Fact("returns", "return_id", "returned_at", ("order_item_sk", "return_date_sk"), lambda rows, t: core.fct_returns(rows, t("fct_order_items"), t("dim_date"))),
 }
 
 
@@ -58,7 +60,7 @@ def build_increment(spark: SparkSession, path: str, name: str, raw: DataFrame, t
 
 
 def fact_table(spark: SparkSession, path: str, name: str) -> ManifestTable:
-    return ManifestTable(spark, path, keys=(FACTS[name].key,), partition_by=(PARTITION,))
+    return ManifestTable(spark, path, keys=(FACTS[name].key,), partition_by=(PARTITION,), indexed=FACTS[name].indexed)
 
 
 def stored_fact(spark: SparkSession, path: str, name: str) -> DataFrame | None:

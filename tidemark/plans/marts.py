@@ -168,7 +168,11 @@ def customer_months(fct_orders: DataFrame) -> DataFrame:
 def mart_customer_retention(fct_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """The unit of "customer" is the customer version. Repeat metrics belong to the cohort and repeat on
     each of its months; they are summed on the cohort's own month, where every member has one row."""
-    months = customer_months(fct_orders).join(dim_customer.select("customer_sk"), "customer_sk", "left_semi")
+    return retention_grid(customer_months(fct_orders).join(dim_customer.select("customer_sk"), "customer_sk", "left_semi"))
+
+
+def retention_grid(months: DataFrame) -> DataFrame:
+    """Cohorts by month, from the months of each customer version."""
     repeat_member = (F.col("order_month") == F.col("cohort_month")) & (F.col("order_count") > 1)
     grid = months.groupBy("cohort_month", "order_month").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -221,8 +225,13 @@ def mart_product_performance(
         .fillna({"returned_units": 0, "returned_cents": 0})
         .join(dim_product.select("product_sk", "product_id", "name", "category", "brand"), "product_sk")
     )
+    return ranked_products(stage(totals, "product_totals"))
+
+
+def ranked_products(totals: DataFrame) -> DataFrame:
+    """The mart from the sums of each product."""
     rate = F.when(F.col("units_sold") > 0, F.col("returned_units").cast("double") / F.col("units_sold")).otherwise(0.0)
-    return with_rank(stage(totals, "product_totals"), "revenue_cents", "revenue_rank").select(
+    return with_rank(totals, "revenue_cents", "revenue_rank").select(
         "product_sk", "product_id", "name", "category", "brand", "units_sold",
         cents_to_dollars("revenue_cents").alias("product_revenue"),
         "order_count",

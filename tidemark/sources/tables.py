@@ -9,7 +9,9 @@ first one left.
 For merges, each folder has an index of its keys: a Bloom filter in blocks of one 64-bit word, kept as rows (folder,
 class, word, bits), where a folder's class is the power of two of its number of words. Keys meet it in an equi-join on
 class and word; only folders that may hold a key are opened, and only those that do are written anew. An index takes about four
-bytes a key, whatever the key's length.
+bytes a key, whatever the key's length. Further columns can have an index of their own, for ``lookup`` and ``replace``.
+
+Two versions differ only in the folders that one of them lists alone, so ``changes`` reads no others.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from tidemark.operators.merge import upsert
 from tidemark.sources.commits import CommitLog, Conflict
 
 _PARTS = "part string, value string, folder string, rows bigint, checksum string, class int, index string"
-_INDEX = "folder string, class int, word bigint, bits bigint"
+_INDEX = "folder string, field string, class int, word bigint, bits bigint"
+_KEY = "(key)"
 _KEYS_PER_WORD = 2
 _FOLDER = "data/[^/]+/part=[^/]+"
 
@@ -67,12 +70,14 @@ def _word(hashed: Column, size_class: Column) -> Column:
 
 @dataclass(frozen=True)
 class ManifestTable:
-    """``keys`` identify a row, for merges; ``partition_by`` deals the rows out to folders."""
+    """``keys`` identify a row, for merges; ``partition_by`` deals the rows out to folders; ``indexed`` are further columns
+    by which rows are looked up."""
 
     spark: SparkSession
     root: str
     keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    indexed: tuple[str, ...] = ()
     log: CommitLog = field(init=False, repr=False)
 
     def __post_init__(self):
@@ -113,6 +118,35 @@ class ManifestTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.root}/{f}" for f in folders))
 
+    def about(self, version: int | None = None) -> dict:
+        """What the writer of a version noted down with it."""
+        return self._entry(version).get("about", {})
+
+    def lookup(self, field: str, values: DataFrame) -> DataFrame:
+        """The current rows whose indexed column ``field`` has one of ``values`` (one column). Only folders whose index may
+        have one are opened."""
+        entry = self._entry(None)
+        parts = self._parts(entry)
+        chosen = parts.join(self._may_hold(values.toDF(field), parts, field), "folder", "left_semi")
+        return self._rows(entry, chosen).join(values.toDF(field), field, "left_semi")
+
+    def changes(self, since: int | None, until: int | None = None) -> DataFrame:
+        """Rows that version ``since`` has and ``until`` (the current one) has not, and the other way round, with
+        ``is_new`` telling which; all rows are new without ``since``."""
+        new = self._entry(until)
+        if since is None:
+            return self._rows(new, self._parts(new)).withColumn("is_new", F.lit(True))
+        old = self._entry(since)
+        old_parts, new_parts = self._parts(old), self._parts(new)
+        gone = self._rows(old, old_parts.join(new_parts.select("folder"), "folder", "left_anti"))
+        come = self._rows(new, new_parts.join(old_parts.select("folder"), "folder", "left_anti"))
+        for c in come.columns:
+            if c not in gone.columns:
+                gone = gone.withColumn(c, F.lit(None).cast(come.schema[c].dataType))
+        marked = gone.withColumn("is_new", F.lit(-1)).unionByName(come.withColumn("is_new", F.lit(1)), allowMissingColumns=True)
+        columns = [F.col(f"`{c}`") for c in marked.columns if c != "is_new"]
+        return marked.groupBy(*columns).agg(F.sum("is_new").alias("n")).where("n <> 0").withColumn("is_new", F.col("n") > 0).drop("n")
+
     # Writing
 
     def _fresh(self, kind: str) -> str:
@@ -125,28 +159,35 @@ class ManifestTable:
         # Rebalanced so that each partition gets few files of an even size, a large one several.
         marked.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.root}/{data}")
         value = F.col(f"`{self.partition_by[0]}`").cast("string") if len(self.partition_by) == 1 else F.lit(None).cast("string")
-        hashed = F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)) if self.keys else F.lit(0).cast("bigint")
+        fields = self._fields()
         folder = F.regexp_extract(F.col("_metadata.file_path"), f"({_FOLDER})/[^/]*$", 1)
-        keys = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{data}").select(folder.alias("folder"), value.alias("value"), hashed.alias("h"))
+        stored = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{data}").select(folder.alias("folder"), value.alias("value"), *(h.alias(f) for f, h in fields.items()))
         words = F.ceil(F.col("rows") / _KEYS_PER_WORD)
-        counted = keys.groupBy("folder").agg(F.first("value").alias("value"), F.count("*").alias("rows"))
+        counted = stored.groupBy("folder").agg(F.first("value").alias("value"), F.count("*").alias("rows"))
         counted.select(
             F.regexp_extract("folder", "part=(.*)$", 1).alias("part"), "value", "folder", "rows", F.lit(None).cast("string").alias("checksum"),
-            F.least(F.char_length(F.bin(words - 1)) * (words > 1).cast("int"), F.lit(39)).alias("class"), F.lit(index if self.keys else None).cast("string").alias("index"),
+            F.least(F.char_length(F.bin(words - 1)) * (words > 1).cast("int"), F.lit(39)).alias("class"), F.lit(index if fields else None).cast("string").alias("index"),
         ).write.parquet(f"{self.root}/{index}-parts")
         parts = self.spark.read.schema(_PARTS).parquet(f"{self.root}/{index}-parts")
-        if self.keys:
-            sized = keys.join(parts.select("folder", "class"), "folder")
-            sized.groupBy("folder", "class", _word(F.col("h"), F.col("class")).alias("word")).agg(F.bit_or(_bits(F.col("h"))).alias("bits")).write.parquet(f"{self.root}/{index}")
+        if fields:
+            each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("h")) for f in fields)))
+            sized = stored.join(parts.select("folder", "class"), "folder").select("folder", "class", each.alias("e")).select("folder", "class", "e.*")
+            words = sized.groupBy("folder", "field", "class", _word(F.col("h"), F.col("class")).alias("word")).agg(F.bit_or(_bits(F.col("h"))).alias("bits"))
+            words.write.parquet(f"{self.root}/{index}")
         return parts
 
-    def _staged_entry(self, parts: DataFrame, schema: StructType) -> dict:
+    def _fields(self) -> dict[str, Column]:
+        """The hash of each index's columns."""
+        keys = {_KEY: F.xxhash64(*(F.col(f"`{k}`") for k in self.keys))} if self.keys else {}
+        return keys | {c: F.xxhash64(F.col(f"`{c}`")) for c in self.indexed}
+
+    def _staged_entry(self, parts: DataFrame, schema: StructType, about: dict | None = None) -> dict:
         manifest = self._fresh("manifests")
         parts.select(*(n.split()[0] for n in _PARTS.split(", "))).coalesce(1).write.parquet(f"{self.root}/{manifest}")
-        return {"parts": manifest, "schema": schema.jsonValue()}
+        return {"parts": manifest, "schema": schema.jsonValue()} | ({"about": about} if about else {})
 
-    def stage(self, df: DataFrame) -> Staged:
-        """Write ``df`` as the next version without publishing it. Partitions whose rows are those of the current version
+    def stage(self, df: DataFrame, about: dict | None = None) -> Staged:
+        """Write ``df`` as the next version without publishing it, with a note ``about`` it. Partitions whose rows are those of the current version
         are shared with it, by checksum; nothing but a manifest is written where all are."""
         last = self.current_version()
         entry = None if last is None else self.log.read(last)
@@ -164,7 +205,7 @@ class ManifestTable:
         if entry is None or not changed.isEmpty():
             written = self._write(rows).drop("checksum").join(sums, "part")
             parts = written if shared is None else shared.unionByName(written)
-        return Staged((last or 0) + 1, self._staged_entry(parts, df.schema))
+        return Staged((last or 0) + 1, self._staged_entry(parts, df.schema, about))
 
     def _kept(self, df: DataFrame, kind: str) -> DataFrame:
         """A small or narrow intermediate, written and read back."""
@@ -193,15 +234,18 @@ class ManifestTable:
 
     def may_hold(self, keys: DataFrame, parts: DataFrame) -> DataFrame:
         """The folders of ``parts`` whose index may have one of ``keys``: all that do, and few others."""
+        return self._may_hold(keys.select(*self.keys), parts, _KEY)
+
+    def _may_hold(self, values: DataFrame, parts: DataFrame, field: str) -> DataFrame:
         chosen = [(r["class"], r["index"]) for r in parts.select("class", "index").distinct().collect()]  # classes are few, indexes one a commit
         if not chosen:
             return parts.select("folder")
         index = self.spark.read.schema(_INDEX).parquet(*(f"{self.root}/{i}" for i in sorted({i for _, i in chosen})))
         classes = F.explode(F.array(*(F.lit(c) for c in sorted({c for c, _ in chosen}))))
-        probes = keys.select(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)).alias("h")).distinct().select("h", classes.alias("class")).select(
+        probes = values.select(self._fields()[field].alias("h")).distinct().select("h", classes.alias("class")).select(
             "class", _word(F.col("h"), F.col("class")).alias("word"), _bits(F.col("h")).alias("mask")
         )
-        hits = index.join(probes, ["class", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+        hits = index.where(F.col("field") == field).join(probes, ["class", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
         return parts.join(hits.select("folder").distinct(), "folder", "left_semi").select("folder")
 
     def merge(self, source: DataFrame, order_by: str | None = None, moves: bool = True) -> int:
@@ -236,26 +280,58 @@ class ManifestTable:
         parts = self._parts(entry)
         named = parts.join(source.select(F.col("__part").alias("part")).distinct(), "part", "left_semi")
         candidates = parts.join(self.may_hold(source, parts), "folder", "left_semi") if moves else named
-        stored = self._rows(entry, candidates)
-        stored_part = F.regexp_extract(F.col("_metadata.file_path"), "/part=([^/]+)/[^/]*$", 1)
-        found = stored.select(*keys, *([F.col(order_by).alias("__stored")] if order_by else []), stored_part.alias("__from")) if candidates.take(1) else None
-        if found is not None:
-            hits = self._kept(found.join(source.select(*keys), keys, "left_semi"), "hits")
-            fresh = source.join(hits, keys, "left")
+        fresh = source.withColumn("__from", F.lit(None).cast("string"))
+        if not candidates.isEmpty():
+            stored = self._rows(entry, candidates)
+            held = F.regexp_extract(F.col("_metadata.file_path"), "/part=([^/]+)/[^/]*$", 1)
+            fresh = source.join(stored.select(*keys, *([F.col(order_by).alias("__stored")] if order_by else []), held.alias("__from")), keys, "left")
             if order_by:
                 fresh = fresh.where(F.col("__stored").isNull() | (F.col(f"`{order_by}`") >= F.col("__stored")))
             fresh = self._kept(fresh.select(*source.columns, "__from"), "changes")
-        else:
-            fresh = source.withColumn("__from", F.lit(None).cast("string"))
-        names = fresh.select(F.explode(F.array("__part", "__from")).alias("part")).where("part is not null").distinct()
-        names = self._kept(names, "touched")
-        touched = names.count()
+        names = self._names(fresh.select(F.explode(F.array("__part", "__from")).alias("part")))
+        touched = len(names)
         if not touched:
             return 0, None
-        old = self._rows(entry, parts.join(names, "part", "left_semi"))
+        here = F.col("part").isin(names)
+        old = self._rows(entry, parts.where(here))
         result = upsert(old, fresh.select(*columns), keys)
-        written = self._write(result)
-        return touched, self._staged_entry(parts.join(names, "part", "left_anti").unionByName(written), result.schema)
+        return touched, self._staged_entry(parts.where(~here).unionByName(self._write(result)), result.schema)
+
+    @staticmethod
+    def _names(parts: DataFrame) -> list[str]:
+        return sorted(r.part for r in parts.where("part is not null").distinct().collect())  # one row per partition
+
+    def replace(self, field: str, values: DataFrame, rows: DataFrame, about: dict | None = None) -> int:
+        """Put ``rows`` in the place of all rows whose indexed column ``field`` has one of ``values`` (one column; a row of
+        ``rows`` may have others). Returns how many partitions were written anew or given up."""
+        values = self._kept(values.toDF(field).distinct(), "values")
+        rows = self._kept(rows.withColumn("__part", _part(self.partition_by)), "sources")
+        touched = 0
+
+        def prepare(_: int, entry: dict | None) -> dict | None:
+            nonlocal touched
+            new = rows.drop("__part")
+            if entry is None:
+                parts = self._write(new)
+                touched = parts.count()
+                return self._staged_entry(parts, new.schema, about)
+            parts = self._parts(entry)
+            named = rows.select(F.col("__part").alias("part"))
+            holding = parts.join(self._may_hold(values, parts, field), "folder", "left_semi")
+            if not holding.isEmpty():
+                found = self._rows(entry, holding)
+                held = F.regexp_extract(F.col("_metadata.file_path"), "/part=([^/]+)/[^/]*$", 1)
+                named = named.union(found.select(field, held.alias("part")).join(values, field, "left_semi").select("part"))
+            names = self._names(named)
+            touched = len(names)
+            if not touched:
+                return entry | {"about": about} if about else None
+            here = F.col("part").isin(names)
+            result = self._rows(entry, parts.where(here)).join(values, field, "left_anti").unionByName(new, allowMissingColumns=True)
+            return self._staged_entry(parts.where(~here).unionByName(self._write(result)), result.schema, about)
+
+        self.log.commit(prepare)
+        return touched
 
     # Housekeeping
 

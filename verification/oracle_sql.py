@@ -245,6 +245,7 @@ SQL: dict[str, str] = {
         select product_sk, cents as revenue_cents, rank() over (order by cents desc) as revenue_rank from product_sold""",
     # Marts and reports
     **_whole("mart_sales mart_customer_retention mart_product_performance mart_returns mart_inventory"),
+    **{f"incremental_{mart}": f"select * from {mart}" for mart in ("mart_sales", "mart_customer_retention", "mart_product_performance", "mart_returns", "mart_inventory")},
     "daily_net_revenue": """
         select date, cents / 100.0::double as net, (sum(cents) over ())::bigint / 100.0::double as all_time_net
         from (select date, cast(sum(cast(round(net_revenue * 100) as bigint)) as bigint) as cents from mart_sales group by 1)""",
