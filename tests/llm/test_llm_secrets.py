@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +108,29 @@ def test_queries_of_lazy_and_possessive_repeats_and_lookaheads():
     assert secrets.mandatory("abc[a-z]*?def") == [["abc", "def"]] and secrets.mandatory("abc(?>d)++xyz") == [["abc", "bcd", "xyz"]]
     assert secrets.mandatory("abc(?!def)ghi") == [["abc", "ghi"]] and secrets.mandatory("ab??cde") == [["abc", "bcd", "cde"], ["acd", "cde"]]
     assert secrets.mandatory(next(r.pattern for r in secrets.RULES if r.kind == "private")) == secrets.mandatory("-----BEGIN [A-Z ]*PRIVATE KEY-----")
+
+
+RUNS = {
+    "assign": ["password" * 125_000, "token" + " " * 1_000_000, "secret=" * 100_000], "access": ["AKIA" * 250_000], "hex": ["a" * 1_000_000, "0f z" * 250_000],
+    "private": ["-----BEGIN " + "A" * 1_000_000, "-----BEGIN PRIVATE KEY-----" * 30_000], "jwt": ["eyJ" * 333_000, "eyJabcdefgh." * 80_000], "github": ["ghp_" * 250_000, "ghp_" + "a" * 1_000_000],
+    "slack": ["xoxb-" * 200_000], "google": ["AIza" * 250_000], "stripe": ["sk_live_" * 125_000], "bearer": ["bearer" + " " * 1_000_000, "bearer " * 140_000],
+    "url": ["z" * 1_000_000 + " http://x.org/", "a.b+c-" * 160_000 + "://u:p", "http://" * 140_000, "x://" + "u" * 1_000_000],
+}
+
+
+@pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+def test_megabyte_runs_take_seconds(spark, rule):
+    docs = spark.createDataFrame(list(enumerate(RUNS[rule.kind])), "doc_id bigint, text string")
+    started = time.monotonic()
+    secrets.redacted_documents(docs).select(F.length("text")).collect()
+    assert time.monotonic() - started < 60
+
+
+def test_many_matches_in_one_text(spark):
+    text = "é".join(f" token=abcdef{k}," for k in range(40_000)) + "the end"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    started = time.monotonic()
+    spans = [tuple(s) for s in secrets.with_spans(docs, rules=secrets.BASE).first().spans]
+    redacted = secrets.redacted_documents(docs).first().text
+    assert time.monotonic() - started < 100
+    assert spans == plain_base(text) and redacted == "é".join([" [SECRET],"] * 40_000) + "the end"

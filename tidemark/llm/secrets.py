@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hash_bitmap, in_bitmap, marked_rows, slots_for, without, written
 
 _OPEN, _CLOSE, _NEUTRAL = "\x01", "\x02", "\x03"
+#: Entries of an array, and code points of a text, that are looked at together.
+_BLOCK, _TEXT_BLOCK = 256, 1 << 14
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -51,16 +54,17 @@ _KEY_BODY = (
     "(?:(?>[\\s\\S]*?-----)END [A-Z ]*PRIVATE KEY-----"
     "|(?:(?:\\s|\\\\[rn])++(?:[A-Za-z0-9+/=]{40,}|(?:Proc-Type|DEK-Info):[^\\r\\n\\\\]*|[A-Za-z0-9+/=]+(?![^\\r\\n\\\\])))*+){0,1}"
 )
-#: What the method adds: common public formats of keys and credentials.
+#: What the method adds: common public formats of keys and credentials. A rule that begins with a run of letters is tried
+#: only where such a run begins, so that no text makes it look at the same letters again and again.
 ADDED = (
     Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----" + _KEY_BODY),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", "(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\\.eyJ[A-Za-z0-9_-]{8,}+\\.[A-Za-z0-9_-]{8,}"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("bearer", "(?i:bearer)\\x20+([A-Za-z0-9._~+/=-]{20,})"),
-    Rule("url", "[a-z][a-z0-9+.-]*://[A-Za-z0-9._%-]+:[^\\s:/@]{3,}@"),
+    Rule("url", "(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}+://[A-Za-z0-9._%-]++:[^\\s:/@]{3,}+@"),
 )
 RULES = BASE + ADDED  # spans that begin at one place come in this order
 
@@ -105,10 +109,10 @@ def _sequence(pattern: str, at: int) -> tuple[list[list[str]], int]:
     while at < len(pattern) and pattern[at] not in "|)":
         char = pattern[at]
         if char == "(":
-            opened = re.compile(r"\((?:\?(?:[a-z]*:|[>=!]))?").match(pattern, at)
+            opened = re.compile(r"\((?:\?(?:[a-z]*:|[>=!]|<[=!]))?").match(pattern, at)
             parts, at = _alternatives(pattern, opened.end())
             at += 1
-            if opened[0] in ("(?=", "(?!"):  # takes no characters
+            if opened[0] in ("(?=", "(?!", "(?<=", "(?<!"):  # takes no characters
                 parts = [["", ""]]
         elif char == "[":
             chosen = re.compile(r"\[\^?\]?(?:\\.|[^\]\\])*\]").match(pattern, at)
@@ -135,22 +139,53 @@ def _sequence(pattern: str, at: int) -> tuple[list[list[str]], int]:
     return ways, at
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _before(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each of ``values`` (whole numbers) all in front of it joined, beginning with 0. In blocks, because an array
+    that grows is copied at every step."""
+
+    def running(block: Column) -> Column:
+        return F.aggregate(block, F.array(F.lit(0)), lambda all_, v: F.array_append(all_, join(F.element_at(all_, -1), v)))
+
+    def joined(blocks: Column) -> Column:
+        starts = running(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        return _let(starts, lambda starts: F.flatten(
+            F.transform(blocks, lambda b, i: F.transform(F.slice(b, 1, F.size(b) - 1), lambda v: join(F.element_at(starts, i + 1), v)))
+        ))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda b: running(F.slice(values, b * _BLOCK + 1, _BLOCK)))
+    return F.when(F.size(values) > 0, _let(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+
 def _marked_spans(text: Column, rule: Rule) -> Column:
     """Spans of a rule's matches in ``text``, in order, by marks around the matches."""
     safe = F.translate(text, _OPEN + _CLOSE, _NEUTRAL * 2)
     parts = F.split(F.regexp_replace(safe, f"({rule.pattern})", f"{_OPEN}$1{_CLOSE}"), _OPEN)
-    empty = F.array().cast(SPANS)
 
-    def add(state: Column, part: Column) -> Column:
+    def span(part: Column, start: Column) -> Column:
         match = F.substring_index(part, _CLOSE, 1)
-        start, size = state["at"], F.char_length(match)
-        value = F.regexp_extract(match, rule.pattern, rule.group) if rule.group else match
-        span = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), (start + size).alias("end"))
-        spans = F.when(F.char_length(value) >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((start + F.char_length(part) - 1).alias("at"), spans.alias("spans"))
+        value = F.regexp_extract(match, rule.pattern.removeprefix(_lookbehind(rule.pattern)), rule.group) if rule.group else match
+        found = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), (start + F.char_length(match)).alias("end"))
+        return F.when(F.char_length(value) >= rule.least, found)
+
+    def spans(parts: Column) -> Column:
+        first, marked = F.char_length(F.element_at(parts, 1)), F.slice(parts, 2, F.size(parts))
+        starts = _before(F.transform(marked, lambda p: F.char_length(p) - 1), lambda a, b: a + b)
+        return _let(starts, lambda starts: F.filter(
+            F.transform(marked, lambda p, i: span(p, first + F.element_at(starts, i + 1))), lambda s: s.isNotNull()
+        ))
+
+    return _let(parts, spans).cast(SPANS)
 
-    begin = F.struct(F.char_length(parts[0]).alias("at"), empty.alias("spans"))
-    return F.aggregate(F.slice(parts, 2, F.size(parts)), begin, add, lambda s: s["spans"])
+
+def _lookbehind(pattern: str) -> str:
+    """What a pattern asks of the text in front of it, which a match by itself does not show."""
+    return re.match(r"(?:\(\?<!\[[^\]]*\]\))?", pattern)[0]
 
 
 def _spans(text: Column, rule: Rule) -> Column:
@@ -239,15 +274,25 @@ def written_out(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each stretch that spans cover replaced by ``[SECRET]``. ``spans`` are ordered by start."""
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(fresh, F.concat(state["out"], F.array(gap, F.lit("[SECRET]")))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+    def cut(blocks: Column, begin: Column, end: Column) -> Column:
+        """The code points from ``begin`` to ``end``, from the blocks that hold them."""
+        def piece(k: Column) -> Column:
+            at = F.greatest(begin - k * _TEXT_BLOCK, F.lit(0))
+            return F.substring(F.element_at(blocks, k + 1), at + 1, F.least(end - k * _TEXT_BLOCK, F.lit(_TEXT_BLOCK)) - at)
+
+        held = F.sequence(F.floor(begin / _TEXT_BLOCK).cast("int"), F.floor((end - 1) / _TEXT_BLOCK).cast("int"))
+        return F.when(begin < end, F.array_join(F.transform(held, piece), "")).otherwise("")
+
+    def replaced(blocks: Column) -> Column:
+        reached = _before(F.transform(spans, lambda s: s["end"]), F.greatest)
+        gaps = _let(reached, lambda reached: F.array_join(F.transform(spans, lambda s, i: F.when(
+            s["start"] >= F.element_at(reached, i + 1), F.concat(cut(blocks, F.element_at(reached, i + 1), s["start"]), F.lit("[SECRET]"))
+        ).otherwise("")), ""))
+        return F.concat(gaps, cut(blocks, F.array_max(F.transform(spans, lambda s: s["end"])), F.char_length(text)))
+
+    numbers = F.sequence(F.lit(0), F.floor(F.char_length(text) / _TEXT_BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda k: F.substring(text, k * _TEXT_BLOCK + 1, F.lit(_TEXT_BLOCK)))
+    return F.when(F.size(spans) > 0, _let(blocks, replaced)).otherwise(text)
 
 
 def redacted_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
