@@ -22,11 +22,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import increments, marts
@@ -54,12 +54,14 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Marts:
-    """Marts in ``root`` over the facts stored below ``facts``. ``dimension`` gives the dimensions and the staged inventory."""
+    """Marts in ``root`` over the facts stored below ``facts``. ``dimension`` gives the dimensions and the staged inventory.
+    Rows lie in partitions of one ``period``, a pattern of date_format whose values are in the order of time."""
 
     spark: SparkSession
     root: str
     facts: str
     dimension: Tables
+    period: str = "yyyy-MM"
 
     def table(self, name: str) -> ManifestTable:
         by, indexed = _STORED[name]
@@ -88,24 +90,26 @@ class Marts:
         seen = last.about() if last.exists() else {}
         if seen == now:
             return {}
-        changed = {name: self._kept(self._changes(name, seen, now), f"changed-{name}") for name in increments.FACTS}
+        with ThreadPoolExecutor(len(_STORED)) as pool:  # tables that do not depend on each other, side by side
+            done = self._refreshed(seen, now, pool)
+        velocity = marts.mart_inventory(self.dimension("inventory"), self.dimension("dim_product"), *self._recent())
+        self._publish("mart_inventory", velocity, now)
+        return done
+
+    def _refreshed(self, seen: dict[str, int], now: dict[str, int], pool: ThreadPoolExecutor) -> dict[str, int]:
+        changed = dict(zip(increments.FACTS, pool.map(lambda name: self._kept(self._changes(name, seen, now), f"changed-{name}"), increments.FACTS)))
         lookup = {name: self.fact(name).lookup for name in increments.FACTS}
         items_back = lookup["fct_order_items"]("order_item_sk", changed["fct_returns"].select("order_item_sk"))
         orders = self._kept(_all([
             *(changed[name].select("order_sk") for name in ("fct_orders", "fct_order_items", "fct_payments")), items_back.select("order_sk")
         ]), "orders")
-        fct_orders = self._kept(lookup["fct_orders"]("order_sk", orders), "fct_orders")
-        fct_items = self._kept(lookup["fct_order_items"]("order_sk", orders), "fct_order_items")
+        fct_orders, fct_items = pool.map(lambda name: self._kept(lookup[name]("order_sk", orders), name), ("fct_orders", "fct_order_items"))
         fct_returns = self._kept(lookup["fct_returns"]("order_item_sk", fct_items.select("order_item_sk")), "fct_returns")
-        done = {
-            "mart_sales": self._sales(orders, fct_orders, fct_items, fct_returns),
-            **self._retention(changed["fct_orders"]),
-            "mart_returns": self._returns(changed["fct_returns"], fct_returns),
-            **self._products(orders, fct_orders, fct_items, fct_returns),
-        }
-        velocity = marts.mart_inventory(self.dimension("inventory"), self.dimension("dim_product"), *self._recent())
-        self._publish("mart_inventory", velocity, now)
-        return done
+        jobs = [
+            lambda: {"mart_sales": self._sales(orders, fct_orders, fct_items, fct_returns)}, lambda: self._retention(changed["fct_orders"]),
+            lambda: {"mart_returns": self._returns(changed["fct_returns"], fct_returns)}, lambda: self._products(orders, fct_orders, fct_items, fct_returns),
+        ]
+        return {name: count for counts in pool.map(lambda job: job(), jobs) for name, count in counts.items()}
 
     def _publish(self, name: str, df: DataFrame, about: dict | None = None) -> None:
         table = self.table(name)
@@ -116,7 +120,7 @@ class Marts:
         sales = marts.mart_sales(
             fct_orders, payments, fct_returns, fct_items, *(self.dimension(d) for d in ("dim_date", "dim_customer", "dim_region"))
         )
-        return self.table("mart_sales").replace("order_sk", orders, sales.withColumn("sold_in", _month("date")))
+        return self.table("mart_sales").replace("order_sk", orders, sales.withColumn("sold_in", F.date_format("date", self.period)))
 
     def _retention(self, changed_orders: DataFrame) -> dict[str, int]:
         customers = self._kept(changed_orders.select("customer_sk").distinct(), "customers")
@@ -139,11 +143,11 @@ class Marts:
         fct_items = self.fact("fct_order_items").lookup("order_item_sk", fct_returns.select("order_item_sk"))
         fct_orders = self.fact("fct_orders").lookup("order_sk", fct_items.select("order_sk"))
         groups = marts.mart_returns(fct_returns, fct_items, fct_orders, *(self.dimension(d) for d in ("dim_product", "dim_customer", "dim_region", "dim_date")))
-        return self.table("mart_returns").replace("return_date_sk", days, groups.withColumn("returned_in", _month("date")))
+        return self.table("mart_returns").replace("return_date_sk", days, groups.withColumn("returned_in", F.date_format("date", self.period)))
 
     def _products(self, orders: DataFrame, fct_orders: DataFrame, fct_items: DataFrame, fct_returns: DataFrame) -> dict[str, int]:
         stored, totals = self.table("order_products"), self.table("product_totals")
-        parts = stored.replace("order_sk", orders, order_products(fct_orders, fct_items, fct_returns))
+        parts = stored.replace("order_sk", orders, order_products(fct_orders, fct_items, fct_returns, self.period))
         seen = totals.about().get("order_products") if totals.exists() else None
         sign = F.when(F.col("is_new"), 1).otherwise(-1)
         moved = stored.changes(seen).where("product_sk is not null").groupBy("product_sk").agg(
@@ -163,26 +167,19 @@ class Marts:
     def _recent(self) -> tuple[DataFrame, DataFrame]:
         """Items and orders as the velocity needs them, from the stored sales of the last months."""
         stored = self.table("order_products")
-        months = sorted(r.value for r in stored.parts().where("value is not null").select("value").collect())  # one row per month
+        periods = sorted(r.value for r in stored.parts().where("value is not null").select("value").collect())  # one row each
         latest = None
-        for month in reversed(months):  # the last month that has a sale, nearly always the first one looked at
-            latest = stored.read(where=F.col("value") == month).where("sold").agg(F.max("order_ts")).first()[0]
+        for value in reversed(periods):  # to the last one that has a sale, nearly always the first one looked at
+            latest = stored.read(where=F.col("value") == value).where("sold").agg(F.max("order_ts")).first()[0]
             if latest is not None:
                 break
-        if latest is None:
-            rows = stored.read().limit(0)
-        else:
-            first = (latest - timedelta(days=marts.VELOCITY_DAYS)).strftime("%Y-%m")
-            rows = stored.read(where=F.col("value") >= first).where("sold")
+        first = F.date_format(F.lit(latest) - F.make_dt_interval(F.lit(marts.VELOCITY_DAYS)), self.period)
+        rows = stored.read().limit(0) if latest is None else stored.read(where=F.col("value") >= first).where("sold")
         lines = rows.where("product_sk is not null").select("order_sk", "product_sk", F.col("units_sold").alias("quantity"))
         return lines, rows.select("order_sk", "order_ts", F.lit("shipped").alias("status")).distinct()
 
 
-def _month(day: str) -> Column:
-    return F.date_format(day, "yyyy-MM")
-
-
-def order_products(fct_orders: DataFrame, fct_order_items: DataFrame, fct_returns: DataFrame) -> DataFrame:
+def order_products(fct_orders: DataFrame, fct_order_items: DataFrame, fct_returns: DataFrame, period: str) -> DataFrame:
     """One row per order and product: what was sold, if the order counts as sold, and what came back in any case. An order
     without items has one row without a product."""
     returned = fct_returns.groupBy("order_item_sk").agg(F.sum("quantity").alias("back"))
@@ -192,7 +189,7 @@ def order_products(fct_orders: DataFrame, fct_order_items: DataFrame, fct_return
         F.sum(F.coalesce(F.col("back") * F.col("unit_price_cents"), F.lit(0))).alias("returned_cents"),
     )
     is_sold = F.col("status").isin(*marts.REVENUE_STATUSES)
-    orders = fct_orders.select("order_sk", "order_ts", F.coalesce(is_sold, F.lit(False)).alias("sold"), _month("order_ts").alias("sold_in"))
+    orders = fct_orders.select("order_sk", "order_ts", F.coalesce(is_sold, F.lit(False)).alias("sold"), F.date_format("order_ts", period).alias("sold_in"))
     sold = {name: F.when(F.col("sold"), F.col(c)).otherwise(F.lit(0)).alias(name) for name, c in (("units_sold", "units"), ("revenue_cents", "cents"), ("price_sum", "prices"), ("lines", "n"))}
     counted = (F.col("sold") & F.col("product_sk").isNotNull()).cast("bigint").alias("order_count")
     return orders.join(lines, "order_sk", "left").select("order_sk", "order_ts", "sold_in", "sold", "product_sk", *sold.values(), counted, "returned_units", "returned_cents")
