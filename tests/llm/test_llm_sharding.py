@@ -46,3 +46,20 @@ def test_odd_rows(spark):
     check(out, 3)
     assert sorted(r["size"] for r in out) == [8, 8, 8, 9, 100_008] and {r.law for r in out} == {"rows"} and {r.grown_shard for r in out} == {None}
     assert sharding.shard(docs.limit(0)).collect() == []
+
+
+def test_many_small_sources_leave_room_for_the_others(spark):
+    """10,000 rows of one source and 10,000 sources of one row: every shard has its share of both, and no slice is full."""
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 10_000, "big").otherwise(F.concat(F.lit("host"), F.col("id"))).alias("source")
+    )
+    rows = sharding.shard(docs, shards=24).collect()
+    check(rows, 24)
+    big = Counter(r.shard for r in rows if r.source == "big")
+    assert len(big) == 24 and set(big.values()) <= {416, 417}
+
+
+def test_no_python_runs_on_executors(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = sharding.shard(docs, keep=False)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

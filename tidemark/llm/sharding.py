@@ -1,7 +1,8 @@
 """Sharding by proportional stratified interleaving, in DataFrame functions only.
 
-Rows are shuffled within each source by a seeded hash and ranked; rank r of n becomes the fraction (r - 0.5) / n. In
-the order of these fractions every stretch holds the sources in their overall proportions, and cutting the order into
+Rows are shuffled within each source by a seeded hash and ranked; rank r of n becomes the fraction (r - u) / n. The u of the
+sources that have the same number of rows are spread evenly from 0 to 1, by a seeded shuffle of these sources, so that
+many small sources fill the order as evenly as one large one. In the order of these fractions every stretch holds the sources in their overall proportions, and cutting the order into
 equal stretches gives shards that all have the mixture; row counts differ by one at most.
 
 No source and no shard is sorted in one task: ranks are a count over hash buckets plus a rank within a bucket, for
@@ -35,16 +36,26 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 7, keep: bool = True) -
         F.pmod(mixed, F.lit(_HASH_BUCKETS)).cast("int").alias("__bucket"),
         (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    # Rows of a source before each of its buckets, and in all.
+    # Rows of a source before each of its buckets, and in all; the same for the sources of one size.
     of_source = Window.partitionBy("__source")
     counts = docs.select(source.alias("__source"), F.pmod(mixed, F.lit(_HASH_BUCKETS)).cast("int").alias("__bucket")).groupBy("__source", "__bucket").count()
+    sized = counts.groupBy("__source").agg(F.sum("count").alias("__n")).select(
+        F.col("__source").alias("__of"), "__n", F.xxhash64(F.lit(seed), "__source").alias("__hash"), F.pmod(F.xxhash64(F.lit(seed), "__source"), F.lit(_HASH_BUCKETS)).alias("__part")
+    )
+    alike = Window.partitionBy("__n")
+    parts = sized.groupBy("__n", "__part").count().select(
+        F.col("__n").alias("__m"), F.col("__part").alias("__p"), F.sum("count").over(alike).alias("__sources"),
+        (F.sum("count").over(alike.orderBy("__part")) - F.col("count")).alias("__earlier"),
+    )
+    place = F.col("__earlier") + F.row_number().over(Window.partitionBy("__n", "__part").orderBy("__hash", "__of"))
+    shifts = sized.join(parts, F.expr("__n = __m and __part = __p")).select("__of", ((place - 0.5) / F.col("__sources")).alias("__u"))
     offsets = counts.select(
         "__source", "__bucket", F.sum("count").over(of_source).alias("__n"),
         (F.sum("count").over(of_source.orderBy("__bucket")) - F.col("count")).alias("__before"),
-    )
+    ).join(shifts, F.col("__source") == F.col("__of")).drop("__of")
     in_bucket = Window.partitionBy("__source", "__bucket").orderBy("__mixed", "__id", "text_crc32", "size")
     ranked = rows.join(offsets, ["__source", "__bucket"]).withColumn("__rank", F.col("__before") + F.row_number().over(in_bucket))
-    fraction = (F.col("__rank") - 0.5) / F.col("__n")
+    fraction = (F.col("__rank") - F.col("__u")) / F.col("__n")
     placed = written(
         ranked.select(*names, "__source", "__mixed", "__id", "size", "text_crc32", fraction.alias("__f"), F.floor(fraction * _ORDER_BUCKETS).cast("int").alias("__slice")),
         "sharding",
