@@ -13,7 +13,7 @@ from tidemark import functions as fn
 from tidemark.catalog.inputs import NOW, SECOND_SNAPSHOT, Inputs
 from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators import dedup, intake, joins, merge, quality, ranking, scd2
-from tidemark.plans import checks, core, increments, ingest, marts, observability, refresh, reports, staging
+from tidemark.plans import checks, core, increments, ingest, marts, observability, refresh, reports, staging, summaries
 from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceSpec, contract
 from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
@@ -655,10 +655,20 @@ def _refreshed(w) -> refresh.Marts:
 
                 list(pool.map(build, increments.FACTS))
             kept.refresh()
+            sums = _kept_summaries(kept)
+            for name in summaries.SUMMARIES:
+                sums.refresh(name)
         _built.add(folder)
     return kept
 
 
+def _kept_summaries(kept: refresh.Marts) -> summaries.Summaries:
+    def source(name):
+        return kept.fact(name) if name in increments.FACTS else kept.table(name)
+
+    return summaries.Summaries(kept.spark, f"{kept.root}/summaries", source)
+
+
 def _by_increment(mart):
     def build(w):
         return _refreshed(w).read(mart).select(*contract(mart).fieldNames())
@@ -740,14 +750,37 @@ def revenue_rank(w):
 # Consumer reports
 
 
+def _from_kept_sums(report, summary):
+    def build(w):
+        return report(_kept_summaries(_refreshed(w)).read(summary))
+
+    build.__name__ = f"incremental_{report.__name__}"
+    build.__doc__ = f"{report.__name__} from sums that took in only the partitions the second increment changed."
+    return query(build)
+
+
+for _report, _summary in (
+    (reports.daily_net_revenue, "sales_by_day"), (reports.daily_aov, "sales_by_day"),
+    (reports.monthly_revenue_by_region, "sales_by_month"), (reports.orders_by_status, "orders_by_status"),
+):
+    _from_kept_sums(_report, _summary)
+
+
+@query
+def incremental_top_products(w):
+    """top_products from the sums per product that refreshes keep; names are looked up for the rows reported."""
+    kept = _refreshed(w)
+    return reports.top_products_of_sums(kept.read("product_totals"), w.table("dim_product"))
+
+
 @query
 def daily_net_revenue(w):
-    return reports.daily_net_revenue(w.table("mart_sales"))
+    return reports.daily_net_revenue(w.summary("sales_by_day"))
 
 
 @query
 def daily_aov(w):
-    return reports.daily_aov(w.table("mart_sales"))
+    return reports.daily_aov(w.summary("sales_by_day"))
 
 
 @query
@@ -827,17 +860,17 @@ def category_variants(w):
 
 @query
 def bq01_monthly_revenue_by_region(w):
-    return reports.monthly_revenue_by_region(w.table("mart_sales"))
+    return reports.monthly_revenue_by_region(w.summary("sales_by_month"))
 
 
 @query
 def bq02_aov(w):
-    return reports.monthly_aov_by_region(w.table("mart_sales"))
+    return reports.monthly_aov_by_region(w.summary("sales_by_month"))
 
 
 @query
 def bq03_orders_by_status(w):
-    return reports.orders_by_status(w.table("fct_orders"))
+    return reports.orders_by_status(w.summary("orders_by_status"))
 
 
 @query
@@ -862,7 +895,7 @@ def bq07_return_rate(w):
 
 @query
 def bq08_return_impact(w):
-    return reports.return_impact(w.table("mart_sales"))
+    return reports.return_impact(w.summary("sales_by_month"))
 
 
 # Checks

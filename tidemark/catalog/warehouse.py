@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.inputs import FIRST_SNAPSHOT, SECOND_SNAPSHOT, Inputs
-from tidemark.plans import core, marts, staging
+from tidemark.plans import core, marts, staging, summaries
 from tidemark.plans.publish import publish_marts
 from tidemark.schemas import CONTRACTED_TABLES, contract
 from tidemark.operators.quality import enforce_contract
@@ -45,6 +45,9 @@ class Warehouse:
 
     def plan(self, name: str) -> DataFrame:
         """The table as a plan over the written tables it depends on."""
+        if name in summaries.SUMMARIES:
+            summary = summaries.SUMMARIES[name]
+            return summaries.partial_sums(self.table(summary.source), summary)
         build = getattr(self, f"_{name}")
         df = build()
         return enforce_contract(df, contract(name)) if name in CONTRACTED_TABLES else df
@@ -57,12 +60,18 @@ class Warehouse:
             _written.add(path)
         return self.spark.read.parquet(path)
 
+    def summary(self, name: str) -> DataFrame:
+        """A summary of a written table, written beside it."""
+        return summaries.totals(self.table(name), summaries.SUMMARIES[name])
+
     def build(self) -> None:
         """Write all tables. Those of one layer do not depend on each other, so their jobs run side by
         side and fill the gaps that small stages leave."""
         for layer in LAYERS:
             with ThreadPoolExecutor(len(layer)) as pool:
                 list(pool.map(self.table, layer))
+        with ThreadPoolExecutor(len(summaries.SUMMARIES)) as pool:
+            list(pool.map(self.table, summaries.SUMMARIES))
 
     def publish(self, folder: str, results: Callable[[], DataFrame]) -> list[str]:
         """Publish the built marts in ``folder`` if the checks let them pass; returns those that do not."""

@@ -230,19 +230,21 @@ def mart_product_performance(
 
 def ranked_products(totals: DataFrame) -> DataFrame:
     """The mart from the sums of each product."""
-    rate = F.when(F.col("units_sold") > 0, F.col("returned_units").cast("double") / F.col("units_sold")).otherwise(0.0)
-    return with_rank(totals, "revenue_cents", "revenue_rank").select(
-        "product_sk", "product_id", "name", "category", "brand", "units_sold",
-        cents_to_dollars("revenue_cents").alias("product_revenue"),
-        "order_count",
+    return with_product_ratios(with_rank(totals, "revenue_cents", "revenue_rank")).select(
+        "product_sk", "product_id", "name", "category", "brand", "units_sold", "product_revenue", "order_count",
         (guarded_ratio("price_sum", "lines") / F.lit(100.0)).alias("avg_unit_price"),
         "returned_units",
         cents_to_dollars("returned_cents").alias("returned_revenue"),
-        rate.cast("float").alias("return_rate"),
+        "return_rate",
         "revenue_rank",
     )
 
 
+def with_product_ratios(totals: DataFrame) -> DataFrame:
+    rate = F.when(F.col("units_sold") > 0, F.col("returned_units").cast("double") / F.col("units_sold")).otherwise(0.0)
+    return totals.withColumns({"product_revenue": cents_to_dollars("revenue_cents"), "return_rate": rate.cast("float")})
+
+
 def mart_returns(
     fct_returns: DataFrame, fct_order_items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame,
     dim_customer: DataFrame, dim_region: DataFrame, dim_date: DataFrame,

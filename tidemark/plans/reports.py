@@ -7,28 +7,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import cents_to_dollars, guarded_ratio, month_start
 from tidemark.operators.ranking import with_rank
-from tidemark.plans.marts import Stage, customer_months, returned_items, revenue_orders, unstaged
+from tidemark.plans.marts import Stage, customer_months, returned_items, revenue_orders, unstaged, with_product_ratios
+from tidemark.plans.summaries import ROWS, whole_cents
 
-# Reports group exact cents: a dollar column of the sales mart, times 100, is a whole number of cents.
+# Reports group exact cents. Those by day, month and status read summaries (``plans.summaries``), not the rows behind them.
 
 
-def _cents(dollars: str):
-    return F.round(F.col(dollars) * 100).cast("bigint")
-
-
-def daily_net_revenue(mart_sales: DataFrame) -> DataFrame:
+def daily_net_revenue(sales_by_day: DataFrame) -> DataFrame:
     """Net revenue per day, with the all-time total beside it."""
-    daily = mart_sales.groupBy("date").agg(F.sum(_cents("net_revenue")).alias("cents"))
-    total = daily.agg(F.sum("cents")).scalar()
-    return daily.select("date", cents_to_dollars("cents").alias("net"), cents_to_dollars(total).alias("all_time_net"))
+    total = sales_by_day.agg(F.sum("net_cents")).scalar()
+    return sales_by_day.select("date", cents_to_dollars("net_cents").alias("net"), cents_to_dollars(total).alias("all_time_net"))
 
 
-def daily_aov(mart_sales: DataFrame) -> DataFrame:
-    daily = mart_sales.groupBy("date").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(_cents("net_revenue")).alias("cents")
-    )
-    revenue = cents_to_dollars("cents")
-    return daily.select("date", "orders", revenue.alias("rev"), guarded_ratio(revenue, "orders").alias("aov"))
+def daily_aov(sales_by_day: DataFrame) -> DataFrame:
+    revenue = cents_to_dollars("net_cents")
+    return sales_by_day.select("date", F.col(ROWS).alias("orders"), revenue.alias("rev"), guarded_ratio(revenue, ROWS).alias("aov"))
 
 
 def cohort_grid(mart_retention: DataFrame, rows: int | None = None) -> DataFrame:
@@ -44,10 +37,16 @@ def top_products(mart_products: DataFrame, rows: int = 20) -> DataFrame:
     ).orderBy(F.col("product_revenue").desc_nulls_last(), "product_id").limit(rows)
 
 
+def top_products_of_sums(product_totals: DataFrame, dim_product: DataFrame, rows: int = 20) -> DataFrame:
+    """The same from the sums per product."""
+    names = dim_product.select("product_sk", "product_id", "category")
+    return top_products(with_product_ratios(product_totals.where("order_count > 0").join(names, "product_sk")), rows)
+
+
 def returns_by_reason(mart_returns: DataFrame) -> DataFrame:
     return mart_returns.groupBy("reason").agg(
         F.sum("total_returned_units").alias("units"),
-        cents_to_dollars(F.sum(_cents("total_returned_revenue"))).alias("rev"),
+        cents_to_dollars(F.sum(whole_cents("total_returned_revenue"))).alias("rev"),
     ).orderBy(F.col("units").desc_nulls_last(), "reason")
 
 
@@ -68,34 +67,23 @@ def low_stock_items(mart_inventory: DataFrame, rows: int | None = None) -> DataF
 # Business questions
 
 
-def monthly_revenue_by_region(mart_sales: DataFrame) -> DataFrame:
-    return (
-        mart_sales.groupBy("year", "month", "region_name")
-        .agg(F.sum("total_amount_cents").alias("gross"), F.sum(_cents("net_revenue")).alias("net"))
-        .select(
-            "year", "month", "region_name", cents_to_dollars("gross").alias("gross_revenue"),
-            cents_to_dollars("net").alias("net_revenue"),
-        )
+def monthly_revenue_by_region(sales_by_month: DataFrame) -> DataFrame:
+    return sales_by_month.select(
+        "year", "month", "region_name", cents_to_dollars("gross_cents").alias("gross_revenue"),
+        cents_to_dollars("net_cents").alias("net_revenue"),
     )
 
 
-def monthly_aov_by_region(mart_sales: DataFrame) -> DataFrame:
-    return (
-        mart_sales.groupBy("year", "month", "region_name")
-        .agg(F.count(F.lit(1)).alias("order_count"), F.sum(_cents("net_revenue")).alias("net"))
-        .select(
-            "year", "month", "region_name", "order_count",
-            guarded_ratio(cents_to_dollars("net"), "order_count").alias("avg_order_value"),
-        )
+def monthly_aov_by_region(sales_by_month: DataFrame) -> DataFrame:
+    return sales_by_month.select(
+        "year", "month", "region_name", F.col(ROWS).alias("order_count"),
+        guarded_ratio(cents_to_dollars("net_cents"), ROWS).alias("avg_order_value"),
     )
 
 
-def orders_by_status(fct_orders: DataFrame) -> DataFrame:
-    """On the fact: the sales mart holds two statuses only."""
-    return fct_orders.groupBy("status").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        cents_to_dollars(F.sum("total_amount_cents")).alias("order_value"),
-    )
+def orders_by_status(status_sums: DataFrame) -> DataFrame:
+    """Of all orders: the sales mart holds two statuses only."""
+    return status_sums.select("status", F.col(ROWS).alias("order_count"), cents_to_dollars("total_cents").alias("order_value"))
 
 
 def repeat_rate(fct_orders: DataFrame) -> DataFrame:
@@ -177,10 +165,10 @@ def return_rate_by_category(
     )
 
 
-def return_impact(mart_sales: DataFrame) -> DataFrame:
+def return_impact(sales_by_month: DataFrame) -> DataFrame:
     """Per month: returned value against gross and net revenue."""
-    monthly = mart_sales.groupBy("year", "month").agg(
-        F.sum("total_amount_cents").alias("gross"), F.sum(_cents("returned_revenue")).alias("returned")
+    monthly = sales_by_month.groupBy("year", "month").agg(
+        F.sum("gross_cents").alias("gross"), F.sum("returned_cents").alias("returned")
     )
     return monthly.select(
         "year", "month", cents_to_dollars("gross").alias("gross_revenue"),

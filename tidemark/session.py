@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch: dict[str, str] = {}
 
+# A listed file as text: "...FileStatus{path=...; isDirectory=...; length=...; modification_time=...; ...}".
+_STATUS = re.compile(r"FileStatus\{path=(.*?); isDirectory=false;(.*?)\}", re.S)
+_SIZE_AND_TIME = re.compile(r"\b(?:length|modification_time)=\d+")
+
 
 def build_session(
     app_name: str = "tidemark", master: str | None = None, shuffle_partitions: int | None = None
@@ -80,14 +86,13 @@ def table_bytes(spark: SparkSession, folder: str) -> list[int]:
 
 
 def input_state(spark: SparkSession, folder: str) -> str:
-    """Changes whenever a file under a folder of tables is added, removed or rewritten: from one listing."""
+    """Changes whenever a file under a folder of tables is added, removed or rewritten: a hash of all paths, sizes and
+    times, from one listing that comes over from the JVM in one piece."""
     location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
-    number = size = latest = 0
-    while files.hasNext():
-        status = files.next()
-        number, size, latest = number + 1, size + status.getLen(), max(latest, status.getModificationTime())
-    return f"{number} {size} {latest}"
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
+    listed = spark._jvm.org.apache.hadoop.util.functional.RemoteIterators.toList(found).toString()
+    files = sorted((path, *_SIZE_AND_TIME.findall(rest)) for path, rest in _STATUS.findall(listed))
+    return hashlib.md5(repr(files).encode()).hexdigest()
 
 
 INPUT_PARTITIONS = "spark.tidemark.inputPartitions"

@@ -133,9 +133,18 @@ class ManifestTable:
     def changes(self, since: int | None, until: int | None = None) -> DataFrame:
         """Rows that version ``since`` has and ``until`` (the current one) has not, and the other way round, with
         ``is_new`` telling which; all rows are new without ``since``."""
+        if since is None:
+            return self.read(until).withColumn("is_new", F.lit(True))
+        marked = self.weighted(since, until)
+        columns = [F.col(f"`{c}`") for c in marked.columns if c != "weight"]
+        return marked.groupBy(*columns).agg(F.sum("weight").alias("n")).where("n <> 0").withColumn("is_new", F.col("n") > 0).drop("n")
+
+    def weighted(self, since: int | None, until: int | None = None) -> DataFrame:
+        """Rows of the folders that only one of two versions lists, with ``weight`` 1 for those of ``until`` (the current
+        one) and -1 for those of ``since``: for sums, in which rows that both versions have cancel out without meeting."""
         new = self._entry(until)
         if since is None:
-            return self._rows(new, self._parts(new)).withColumn("is_new", F.lit(True))
+            return self._rows(new, self._parts(new)).withColumn("weight", F.lit(1))
         old = self._entry(since)
         old_parts, new_parts = self._parts(old), self._parts(new)
         gone = self._rows(old, old_parts.join(new_parts.select("folder"), "folder", "left_anti"))
@@ -143,9 +152,7 @@ class ManifestTable:
         for c in come.columns:
             if c not in gone.columns:
                 gone = gone.withColumn(c, F.lit(None).cast(come.schema[c].dataType))
-        marked = gone.withColumn("is_new", F.lit(-1)).unionByName(come.withColumn("is_new", F.lit(1)), allowMissingColumns=True)
-        columns = [F.col(f"`{c}`") for c in marked.columns if c != "is_new"]
-        return marked.groupBy(*columns).agg(F.sum("is_new").alias("n")).where("n <> 0").withColumn("is_new", F.col("n") > 0).drop("n")
+        return gone.withColumn("weight", F.lit(-1)).unionByName(come.withColumn("weight", F.lit(1)), allowMissingColumns=True)
 
     # Writing
 
@@ -301,9 +308,10 @@ class ManifestTable:
     def _names(parts: DataFrame) -> list[str]:
         return sorted(r.part for r in parts.where("part is not null").distinct().collect())  # one row per partition
 
-    def replace(self, field: str, values: DataFrame, rows: DataFrame, about: dict | None = None) -> int:
+    def replace(self, field: str, values: DataFrame, rows: DataFrame, about: dict | None = None, expected: dict | None = None) -> int:
         """Put ``rows`` in the place of all rows whose indexed column ``field`` has one of ``values`` (one column; a row of
-        ``rows`` may have others). Returns how many partitions were written anew or given up."""
+        ``rows`` may have others). Returns how many partitions were written anew or given up. With ``expected``, the note of
+        the version that ``rows`` were computed from (empty for none), it fails if another one was published since."""
         values = self._kept(values.toDF(field).distinct(), "values")
         rows = self._kept(rows.withColumn("__part", _part(self.partition_by)), "sources")
         touched = 0
@@ -311,6 +319,8 @@ class ManifestTable:
         def prepare(_: int, entry: dict | None) -> dict | None:
             nonlocal touched
             new = rows.drop("__part")
+            if expected is not None and ((entry or {}).get("about") or {}) != expected:
+                raise Conflict(f"another writer changed {self.root}")
             if entry is None:
                 parts = self._write(new)
                 touched = parts.count()

@@ -525,5 +525,12 @@ def _checks() -> str:
 SQL["obs_quality_checks"] = _checks()
 
 
+for _report, _same in (
+    ("daily_net_revenue", "daily_net_revenue"), ("daily_aov", "daily_aov"), ("orders_by_status", "bq03_orders_by_status"),
+    ("monthly_revenue_by_region", "bq01_monthly_revenue_by_region"), ("top_products", "top_products"),
+):
+    SQL[f"incremental_{_report}"] = SQL[_same]
+
+
 def statements() -> dict[str, str]:
     return {name: with_blocks(sql) for name, sql in SQL.items()}
