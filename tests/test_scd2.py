@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins, scd2
 from tidemark.plans import checks, core
+from tidemark.plans.history import VersionHistory
 
 SOURCE = "customer_id string, city string, region_id string, updated_at timestamp_ntz"
 
@@ -104,3 +105,30 @@ def test_customer_source_has_one_row_per_key(spark):
     columns = ", ".join(f"'{c}' {c}" for c in core.CUSTOMER_ATTRIBUTES if c not in ("customer_id", "updated_at"))
     staged = spark.sql(f"select 'C1' customer_id, {columns}, updated_at, 'b' _batch_id, 'f' _source_file, 1L _source_row_number from values (timestamp_ntz'2024-01-01'), (timestamp_ntz'2024-02-01') t(updated_at)")
     assert [str(r.updated_at)[:10] for r in core.customer_source(staged).collect()] == ["2024-02-01"]
+
+
+def test_partitioned_history_opens_no_closed_version(spark, tmp_path):
+    stored = VersionHistory(spark, str(tmp_path / "history"), "customer_id")
+    state, plain, spoilt = {f"C{i}": ("X", "2024-01-01") for i in range(9)}, None, {}
+    for step in range(3):
+        if step:
+            state = {k: ("Y", f"2024-0{step + 1}-01") if i % (step + 1) == 0 else v for i, (k, v) in enumerate(state.items())}
+            state.pop(f"C{step}")
+            state[f"N{step}"] = ("Z", "2024-01-05")
+        rows = source(spark, *[(k, c, "R1", at) for k, (c, at) in state.items()])
+        plain = scd2.open_versions(rows, "customer_id") if plain is None else scd2.snapshot(plain, rows, "customer_id", f"2024-0{step + 5}-01")
+        assert stored.snapshot(rows, f"2024-0{step + 5}-01") == step + 1
+        # Closed files turn to rubbish once they are written; their bytes come back at the end.
+        for part in stored.table.parts().where("value <> 'open'").collect():
+            for file in (tmp_path / "history" / part.folder).glob("*.parquet"):
+                spoilt.setdefault(file, file.read_bytes())
+                file.write_bytes(b"rubbish")
+    assert len({file.parent for file in spoilt}) == 2
+    assert stored.snapshot(rows, "2024-09-01") is None and stored.table.current_version() == 3
+    assert {r.customer_id for r in stored.current().collect()} == set(state)
+    for file, content in spoilt.items():
+        file.write_bytes(content)
+    assert spans(stored.read()) == spans(plain) and set(stored.read().columns) == set(plain.columns)
+    assert len(spans(stored.read(1))) == 9
+    assert stored.snapshot(source(spark), "2024-10-01") == 4 and stored.current().count() == 0
+    assert stored.snapshot(source(spark), "2024-11-01") is None

@@ -71,3 +71,27 @@ def test_upsert_over_runs(spark, tmp_path, rows):
     assert run(("b", "m2", "5"), ("c", "m1", "1")) == [("a", "m1", "2"), ("b", "m2", "5"), ("c", "m1", "1")]
     # An older version that arrives later changes nothing, in its own partition or another.
     assert run(("a", "m1", "1"), ("b", "m3", "4"), ("c", "m1", "2")) == [("a", "m1", "2"), ("b", "m2", "5"), ("c", "m1", "2")]
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path, rows):
+    schema = spark.sql("select '' k, cast(null as timestamp) ts").schema
+
+    def run(n, *events):
+        spark.createDataFrame(list(events), "k string, ts string").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "in" / f"f{n}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*"))
+        jobs.split_late(stream, "ts", str(tmp_path / "out"), str(tmp_path / "cp"), days=2).awaitTermination()
+        return ["".join(sorted(r.k for r in read(spark, str(tmp_path / "out"), schema).collect())) for read in (jobs.on_time, jobs.late)]
+
+    # Within the first batch nothing is late; a row without a time is.
+    assert run(0, ("a", "2026-01-01"), ("b", "2026-01-10"), ("n", None)) == ["ab", "n"]
+    # The watermark is 2026-01-08, also for rows beside a later one.
+    assert run(1, ("c", "2026-01-07 23:59:59"), ("d", "2026-01-08"), ("e", "2026-01-20")) == ["abde", "cn"]
+    # A batch of late rows alone leaves the watermark where it was.
+    assert run(2, ("f", "2026-01-02"), ("g", None)) == ["abde", "cfgn"]
+    assert run(3, ("h", "2026-01-17"), ("i", "2026-01-18")) == ["abdei", "cfghn"]
+    assert rows(jobs.late(spark, str(tmp_path / "out"), schema, since=1).select("k")) == [("f",), ("g",), ("h",)]
+
+    # The last batch once more, as after a failure before it was marked as done: nothing doubles.
+    (tmp_path / "cp" / "stream" / "commits" / "3").unlink()
+    (tmp_path / "cp" / "stream" / "commits" / ".3.crc").unlink(missing_ok=True)
+    assert run(4, ("j", "2026-01-19")) == ["abdeij", "cfghn"]

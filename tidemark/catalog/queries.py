@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import functions as fn
-from tidemark.catalog.inputs import NOW, SECOND_SNAPSHOT, Inputs
+from tidemark.catalog.inputs import FIRST_SNAPSHOT, NOW, SECOND_SNAPSHOT, Inputs
 from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators import dedup, intake, joins, merge, quality, ranking, scd2
-from tidemark.plans import checks, core, increments, ingest, marts, observability, refresh, reports, staging, summaries
+from tidemark.plans import (
+    checks, core, drift, history, increments, ingest, marts, observability, refresh, reports, staging, summaries,
+)
 from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceSpec, contract
 from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
@@ -524,6 +526,16 @@ def scd2_idempotent(w):
     return _union(counts)
 
 
+@query
+def scd2_partitioned(w):
+    """Both snapshots, and the second one once more, applied to a history whose closed versions are never opened again."""
+    kept = history.VersionHistory(w.spark, _fresh(w, "history"), "customer_id")
+    first, second = w.staged("customers"), staging.stg_customers(w.inputs.customers_second())
+    for rows, at in ((first, FIRST_SNAPSHOT), (second, SECOND_SNAPSHOT), (second, SECOND_SNAPSHOT)):
+        kept.snapshot(core.customer_source(rows), at)
+    return kept.read()
+
+
 def _both_snapshots(w):
     """Both snapshot files stacked as open versions, which breaks every rule of a history."""
     stacked = w.staged("customers").unionByName(staging.stg_customers(w.inputs.customers_second()))
@@ -853,6 +865,46 @@ def drift_coverage(w):
     return observability.drift_coverage(_drifted_products(w), "brand")
 
 
+def _yearly_orders(w):
+    """Orders with their year as the batch; amounts of 1996 tripled, and one status for most of its orders."""
+    year, odd = F.year("order_ts"), F.year("order_ts") == 1996
+    return w.table("fct_orders").select(
+        year.alias("batch"), F.when(odd, F.col("total_amount_cents") * 3).otherwise(F.col("total_amount_cents")).alias("amount"),
+        F.when(odd & (F.col("order_id").cast("bigint") % 4 > 0), "returned").otherwise(F.col("status")).alias("status"),
+    )
+
+
+def _sketched(w):
+    sketches = drift.batch_sketches(_yearly_orders(w), "batch", ["amount"])
+    return w.stage(sketches, "sketches")
+
+
+@query
+def drift_numeric(w):
+    """Batches whose amounts are spread otherwise than those before, from stored quantile sketches."""
+    return drift.numeric_drift(_sketched(w)).select("batch", "column", "n", "n_before", "drifted")
+
+
+@query
+def drift_category(w):
+    counts = w.stage(drift.batch_counts(_yearly_orders(w), "batch", ["status"]), "counts")
+    return drift.category_drift(counts).select("batch", "column", "n", "n_before", "distance", "drifted")
+
+
+@query
+def sketch_quantiles(w):
+    """Quantiles of each batch from its sketch, and whether the exact share of rows is within the stated error."""
+    found = w.stage(drift.quantiles(_sketched(w)), "quantiles")
+    points = found.groupBy("batch").agg(F.collect_list(F.struct("probability", "value")).alias("points"))  # 19 each
+    rows = _yearly_orders(w).where("amount is not null").join(points, "batch").select("batch", "amount", F.explode("points").alias("p"))
+    exact = rows.groupBy("batch", "p.probability").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("amount") < F.col("p.value")).cast("int")).alias("below"),
+        F.avg((F.col("amount") <= F.col("p.value")).cast("int")).alias("up_to"),
+    )
+    near = (F.col("below") - drift.SHARE_ERROR <= F.col("probability")) & (F.col("probability") <= F.col("up_to") + drift.SHARE_ERROR)
+    return exact.select("batch", "probability", "n", near.alias("within_error"))
+
+
 @query
 def category_variants(w):
     return observability.top_values(w.inputs.raw("products"), "category", 6, "products")
@@ -1156,6 +1208,26 @@ def events_daily_window(w):
     return jobs.daily_counts(w.inputs.table("events"), "ts", "value", "event_type")
 
 
+@query
+def stream_late_rows(w):
+    """Events in two batches, every third one in the second: rows and value per type, of those in time and of those that came
+    behind the first batch's watermark."""
+    base = _fresh(w, "stream-late")
+    events = w.inputs.table("events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("event_time"))
+    second = F.pmod("event_id", F.lit(3)) == 0
+    for rows in (~second, second):
+        events.where(rows).write.mode("append").parquet(f"{base}/in")
+        stream = w.spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        jobs.split_late(stream, "event_time", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    sides = [
+        read(w.spark, f"{base}/out", events.schema).withColumn("is_late", F.lit(is_late))
+        for read, is_late in ((jobs.on_time, False), (jobs.late, True))
+    ]
+    return _union(sides).groupBy("event_type", "is_late").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("value_cents")
+    )
+
+
 @query
 def stream_upsert(w):
     """Raw order lines streamed into a table partitioned by year in several micro-batches, newest version per

@@ -343,6 +343,24 @@ class ManifestTable:
         self.log.commit(prepare)
         return touched
 
+    def rewrite(self, where: Column, build: Callable[[int, DataFrame | None], DataFrame], unchanged: Callable[[DataFrame, DataFrame], bool]) -> int | None:
+        """Put what ``build`` makes of the rows in the partitions chosen by ``where`` (over ``parts``) in their place, and
+        share all others unopened. ``build`` gets the number of the new version and those rows, None without a version.
+        Nothing is committed where ``unchanged`` says so of the old and the new parts. Returns the new version's number."""
+        chosen = F.coalesce(where, F.lit(False))
+
+        def prepare(number: int, entry: dict | None) -> dict | None:
+            parts = None if entry is None else self._parts(entry)
+            rows = build(number, None if parts is None else self._rows(entry, parts.where(chosen)))
+            written = self._write(rows)
+            if parts is None:
+                return self._staged_entry(written, rows.schema)
+            if unchanged(parts.where(chosen), written):
+                return None
+            return self._staged_entry(parts.where(~chosen).unionByName(written), rows.schema)
+
+        return self.log.commit(prepare)
+
     # Housekeeping
 
     def expire(self, keep: int = 10) -> int:

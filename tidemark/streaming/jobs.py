@@ -3,14 +3,16 @@ then the query ends; the checkpoint remembers what has been seen."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tidemark.operators import intake
 from tidemark.operators.dedup import latest_by_key
 from tidemark.schemas import LOOKBACK_DAYS, SourceSpec
-from tidemark.sources.store import KEPT, MALFORMED, RawStore
+from tidemark.sources.commits import CommitLog
+from tidemark.sources.store import KEPT, MALFORMED, RawStore, write_partitions
 from tidemark.sources.tables import ManifestTable
 
 
@@ -89,6 +91,60 @@ def daily_counts(events: DataFrame, event_time: str, value: str, by: str, days:
     )
 
 
+def split_late(
+    stream: DataFrame, event_time: str, path: str, checkpoint: str, days: int = LOOKBACK_DAYS
+) -> StreamingQuery:
+    """Rows that come behind the watermark are kept apart instead of being dropped: every row of the stream is in exactly
+    one of ``on_time`` and ``late``.
+
+    A batch's watermark is the latest event time of the batches before it, less ``days``. A row without an event time has no
+    window to go to and counts as late. A batch is written in one pass, under its number, and its latest time noted
+    down after that, so a batch that is replayed meets the same watermark and replaces its own rows.
+    """
+    marks = CommitLog(stream.sparkSession, f"{checkpoint}/marks")
+
+    def divide(batch: DataFrame, number: int) -> None:
+        before = marks.read(number)["latest"] if number else None  # entry n is that of batch n - 1
+        at = F.col(event_time)
+        mark = F.lit(before).cast(batch.schema[event_time].dataType) - F.make_dt_interval(F.lit(days))
+        seen = Observation()
+        watched = batch.observe(seen, F.max(at).cast("string").alias("latest"))
+        write_partitions(
+            watched.withColumns({_LATE: F.coalesce(at < mark, at.isNull()), _BATCH: F.lit(number).cast("bigint")}), path, _LATE, _BATCH
+        )
+        latest = seen.get["latest"]
+        if latest is None or (before is not None and not _is_after(batch.sparkSession, latest, before)):
+            latest = before
+        marks.create(number + 1, {"latest": latest})
+
+    return (
+        stream.writeStream.foreachBatch(divide).option("checkpointLocation", f"{checkpoint}/stream")
+        .trigger(availableNow=True).start()
+    )
+
+
+_LATE, _BATCH = "_late", "_batch"
+
+
+def _is_after(spark: SparkSession, one: str, other: str) -> bool:
+    return spark.range(1).select(F.lit(one).cast("timestamp_ntz") > F.lit(other).cast("timestamp_ntz")).first()[0]
+
+
+def on_time(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return _split_rows(spark, path, schema, False)
+
+
+def late(spark: SparkSession, path: str, schema: StructType, since: int | None = None) -> DataFrame:
+    """Late rows, of batches after number ``since`` alone if given: what a later run has still to merge."""
+    rows = _split_rows(spark, path, schema, True)
+    return rows if since is None else rows.where(F.col(_BATCH) > since)
+
+
+def _split_rows(spark: SparkSession, path: str, schema: StructType, is_late: bool) -> DataFrame:
+    stored = StructType([*schema.fields, StructField(_LATE, BooleanType()), StructField(_BATCH, LongType())])
+    return spark.read.schema(stored).parquet(path).where(F.col(_LATE) == is_late).drop(_LATE)
+
+
 def upsert_stream(
     stream: DataFrame, path: str, keys: list[str], order_by: str, partition: str, checkpoint: str
 ) -> StreamingQuery:
