@@ -19,6 +19,7 @@ from tidemark.plans import (
 from tidemark.schemas import CONTRACTED_TABLES, ORDER_STATUSES, SOURCES, SourceSpec, contract
 from tidemark.session import partitions_for, shared_dir, stored_bytes
 from tidemark.sources import files, relational
+from tidemark.sources.known_keys import KnownKeys
 from tidemark.sources.store import RawStore, current_marks
 from tidemark.sources.tables import ManifestTable
 from tidemark.streaming import jobs
@@ -134,6 +135,18 @@ def incremental_scan(w):
     return relational.as_text(relational.increment(w.inputs.table("orders"), columns, "o_orderdate", since))
 
 
+@query
+def equal_depth_ranges(w):
+    """A key whose values lie ever further apart, read in ranges cut by a sketch of it: all rows, in ranges of like size."""
+    orders = w.inputs.table("orders").select((F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    predicates = relational.range_predicates("k", relational.equal_depth_bounds(orders, "k", 16))
+    sizes = orders.agg(F.array(*(F.count_if(F.expr(p)) for p in predicates)).alias("rows"))
+    total = F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return sizes.select(
+        F.size("rows").alias("ranges"), total.alias("rows_read"), (F.array_max("rows") < 2 * F.array_min("rows")).alias("alike")
+    )
+
+
 @query
 def raw_stringify(w):
     return relational.as_text(w.inputs.table("orders"))
@@ -310,6 +323,16 @@ def _quarantine(w):
     return ndjson_quarantine(w).unionByName(_gated(w))
 
 
+@query
+def dup_vs_known_keys(w):
+    """The same as dup_vs_existing from an index of the other batches' keys: their rows are not read for it."""
+    items = w.inputs.raw("order_items").select("_batch_id", "item_id")
+    known = KnownKeys(w.spark, _fresh(w, "known"), ("item_id",))
+    known.add(items)
+    newest = w.stage(items.where("_batch_id = '2001'"), "new-keys")
+    return known.duplicates(newest, "2001")
+
+
 @query
 def quarantine_union(w):
     return _quarantine(w)

@@ -239,6 +239,13 @@ class ManifestTable:
 
     # Merging
 
+    def near(self, keys: DataFrame, where: Column | None = None) -> DataFrame:
+        """The current rows of the partitions, among those ``where`` chooses, whose index may have one of ``keys``."""
+        entry = self._entry(None)
+        parts = self._parts(entry)
+        parts = parts if where is None else parts.where(where)
+        return self._rows(entry, parts.join(self.may_hold(keys, parts), "folder", "left_semi"))
+
     def may_hold(self, keys: DataFrame, parts: DataFrame) -> DataFrame:
         """The folders of ``parts`` whose index may have one of ``keys``: all that do, and few others."""
         return self._may_hold(keys.select(*self.keys), parts, _KEY)

