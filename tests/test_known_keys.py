@@ -59,3 +59,11 @@ def test_ranges_of_one_value_of_none_and_of_no_rows(spark):
     assert relational.equal_depth_bounds(one.limit(0), "k", 4) == [] and relational.equal_depth_bounds(one, "k", 1) == []
     assert relational.equal_depth_bounds(spark.sql("select cast(null as bigint) k"), "k", 4) == []
     assert relational.range_predicates("k", []) == ["1 = 1"]
+
+
+def test_ranges_of_a_decimal_wider_than_bigint(spark):
+    key = F.col("id").cast("decimal(19,0)")
+    cubes = spark.range(8_000_000, 9_000_000, 200, 4).select((key * F.col("id") * F.col("id")).cast("decimal(38,0)").alias("k"))
+    bounds = relational.equal_depth_bounds(cubes, "k", 8)
+    sizes = cubes.agg(*(F.count_if(F.expr(p)) for p in relational.range_predicates("k", bounds))).first()
+    assert bounds[0] > 2**63 and len(sizes) == 8 and sum(sizes) == 5000 and max(sizes) < 2 * min(sizes)

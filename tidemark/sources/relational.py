@@ -29,11 +29,17 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
 
 def equal_depth_bounds(loaded: DataFrame, column: str, splits: int) -> list[int]:
     """Ascending values of a whole-number column that cut ``loaded``, say the last load, into ranges of about equal rows,
-    however its values are spread. A value that many rows share is not cut, so there may be fewer than ``splits`` ranges."""
-    sketch = F.kll_sketch_agg_bigint(F.col(column).cast("bigint"), F.lit(_SKETCH_SIZE))
-    cuts = F.kll_sketch_get_quantile_bigint(sketch, F.array(*(F.lit(k / splits) for k in range(1, splits))))
+    however its values are spread. A value that many rows share is not cut, so there may be fewer than ``splits`` ranges.
+    Decimals, which may be wider than BIGINT, are sketched as doubles; their cuts are rounded down."""
+    shares = F.array(*(F.lit(k / splits) for k in range(1, splits)))
+    if loaded.schema[column].dataType.typeName() == "decimal":
+        sketch = F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(_SKETCH_SIZE))
+        cuts = F.transform(F.kll_sketch_get_quantile_double(sketch, shares), lambda cut: F.floor(cut.cast("decimal(38,0)")))
+    else:
+        sketch = F.kll_sketch_agg_bigint(F.col(column).cast("bigint"), F.lit(_SKETCH_SIZE))
+        cuts = F.kll_sketch_get_quantile_bigint(sketch, shares)
     found = loaded.where(F.col(column).isNotNull()).agg(F.when(F.count(F.lit(1)) > 0, cuts)).first()[0] if splits > 1 else None
-    return sorted(set(found or []))  # splits - 1 values
+    return sorted({int(cut) for cut in found or []})  # splits - 1 values
 
 
 def range_predicates(column: str, bounds: list[int]) -> list[str]:
