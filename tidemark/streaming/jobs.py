@@ -155,7 +155,9 @@ def upsert_stream(
     tiebreak = tuple(c for c in stream.columns if c not in (*keys, order_by))
 
     def merge(batch: DataFrame, number: int) -> None:
-        newest = latest_by_key(batch, keys, order_by, tiebreak=tiebreak)
+        # Dealt out by whole rows first, so that the sorts that choose the newest rows get tasks of an even size and not whole
+        # row groups of large files, and a key with many versions does not meet in one task.
+        newest = latest_by_key(batch.repartition(*batch.columns), keys, order_by, tiebreak=tiebreak)
         ManifestTable(batch.sparkSession, path, tuple(keys), (partition,)).merge(newest, order_by=order_by)
 
     return (
