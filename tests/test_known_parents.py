@@ -55,6 +55,13 @@ def test_returns_meet_items_by_one_copy_of_their_key(spark):
     assert not re.search(r"ReadSchema: struct<[^>]*order_item_sk", plan)
 
 
+def test_written_sales_are_those_of_the_plan_without_its_look_ups(spark, rows):
+    w = Warehouse(spark, SF)
+    assert rows(w.table("mart_sales")) == rows(w.plan("mart_sales"))
+    read = [{t for t in ("fct_order_items", "dim_customer") if any(f"/{t}/" in f for f in df.inputFiles())} for df in (w._rows("mart_sales"), w.plan("mart_sales"))]
+    assert read == [set(), {"fct_order_items", "dim_customer"}]
+
+
 def test_products_of_an_order_from_returns_that_met_their_items_before(spark, rows):
     orders = spark.sql("select 'o1' order_sk, timestamp_ntz'2024-01-02' order_ts, 'delivered' status union all select 'o2', timestamp_ntz'2024-01-03', 'placed' union all select 'o3', timestamp_ntz'2024-01-04', 'shipped'")
     items = spark.createDataFrame(

@@ -166,6 +166,17 @@ def test_shuffles_fit_the_largest_table_of_each_folder(spark, tmp_path):
         assert spark.conf.get(key) == "7"
 
 
+def test_tasks_read_no_more_than_they_can_sort_unless_the_caller_says_so(spark, tmp_path):
+    sparse_table(tmp_path / "t", 1)
+    key = "spark.sql.files.maxPartitionBytes"
+    for given, read in ((None, "32m"), ("64m", "64m")):
+        session = spark.newSession()
+        if given:
+            session.conf.set(key, given)
+        fit_to_input(session, str(tmp_path))
+        assert session.conf.get(key) == read
+
+
 def test_inputs_are_dealt_out_only_on_request(spark):
     scan = spark.range(10)
     assert dealt_out(spark, scan) is scan
