@@ -2,6 +2,7 @@
 
 import contextlib
 import re
+import time
 
 import pytest
 from conftest import SF
@@ -177,6 +178,28 @@ def test_tasks_read_no_more_than_they_can_sort_unless_the_caller_says_so(spark,
         assert session.conf.get(key) == read
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if f.endswith(".data") and "/shuffle_" in f}
+
+
+def test_shuffle_files_go_with_the_action_that_wrote_them(spark, rows, tmp_path):
+    sparse_table(tmp_path / "t", 1)
+    for given in (None, "false"):
+        session = spark.newSession()
+        if given:
+            session.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", given)
+        fit_to_input(session, str(tmp_path))
+        before = shuffle_files(spark)
+        counted = session.range(1000).groupBy((F.col("id") % 3).alias("k")).count()
+        found = rows(counted)
+        until = time.time() + 20
+        while given is None and shuffle_files(spark) - before and time.time() < until:
+            time.sleep(0.2)
+        assert bool(shuffle_files(spark) - before) == (given == "false")
+        assert rows(counted) == found == [(0, 334), (1, 333), (2, 333)]  # and are written again for the same frame
+
+
 def test_inputs_are_dealt_out_only_on_request(spark):
     scan = spark.range(10)
     assert dealt_out(spark, scan) is scan
