@@ -25,6 +25,24 @@ def test_rows_with_a_known_key_are_those_of_the_join_and_stay_in_place(spark, ro
     assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_parent_meets_the_keys_in_one_exchange(spark, tmp_path):
+    keys, parent = (spark.createDataFrame([(n,) for n in ids], "k long") for ids in (range(9), range(3, 7)))
+    plans = []
+
+    def stage(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [r.k for r in with_known(keys, "k", parent, keys, stage).sort("k").collect()] == [3, 4, 5, 6]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans[0].count("hashpartitioning") == 2  # one of the keys, one of the parent
+
+
 def test_marts_from_carried_columns_are_those_from_the_parents(spark, rows):
     w = Warehouse(spark, SF)
     assert set(marts.OF_CUSTOMER) <= set(w.carrying("fct_orders").columns) and not set(marts.OF_CUSTOMER) & set(w.table("fct_orders").columns)

@@ -178,6 +178,17 @@ def test_tasks_read_no_more_than_they_can_sort_unless_the_caller_says_so(spark,
         assert session.conf.get(key) == read
 
 
+def test_merged_shuffle_partitions_stay_small_unless_the_caller_says_so(spark, tmp_path):
+    sparse_table(tmp_path / "t", 1)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for given, merged in ((None, "32m"), ("64m", "64m")):
+        session = spark.newSession()
+        if given:
+            session.conf.set(key, given)
+        fit_to_input(session, str(tmp_path))
+        assert session.conf.get(key) == merged
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
     return {f for f in files.split("\n") if f.endswith(".data") and "/shuffle_" in f}
